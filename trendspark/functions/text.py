@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Code points treated as whitespace (Unicode spaces plus the ASCII separators).
-WHITESPACE = (
-    r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The code points treated as whitespace (ASCII and its separators,
+# then the Unicode spaces), as characters and as a regular expression.
+WHITESPACE_CHARS = "".join(
+    chr(c)
+    for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680]
+    + [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 )
+WHITESPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE_CHARS) + "]"
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    """Cuts whitespace at both ends; unlike a pattern it never scans the middle."""
+    return F.btrim(col, F.lit(WHITESPACE_CHARS))
 
 
 def collapse(col: Column) -> Column:

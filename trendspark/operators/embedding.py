@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import datetime
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,7 @@ from trendspark.functions.timeutil import as_of_column
 
 BATCH_CAP = 2000
 HASH_DIM = 64
+MAX_KNOWN_WORDS = 500_000
 
 Encoder = Callable[[list[str]], list[list[float]]]
 
@@ -43,26 +44,38 @@ def backlog(
     )
 
 
-def hashing_encoder(texts: list[str], dim: int = HASH_DIM) -> list[list[float]]:
+def hashing_encoder(dim: int = HASH_DIM) -> Callable[[], Encoder]:
     """A deterministic stand-in for a model: signed word counts, L2-normalised.
 
-    A text without words gets the first unit vector.
+    A text without words gets the first unit vector. Returns a factory whose
+    inner functions travel to the workers by value.
     """
-    vectors = np.zeros((len(texts), dim))
-    for row, text in enumerate(texts):
-        for word in text.lower().split():
-            slot, sign = _word_slot(word, dim)
-            vectors[row, slot] += sign
-    lengths = np.linalg.norm(vectors, axis=1)
-    vectors[lengths == 0, 0] = 1.0
-    lengths[lengths == 0] = 1.0
-    return (vectors / lengths[:, None]).tolist()
 
+    def build() -> Encoder:
+        slots: dict[str, tuple[int, int]] = {}
 
-@lru_cache(maxsize=200_000)
-def _word_slot(word: str, dim: int) -> tuple[int, int]:
-    digest = hashlib.md5(word.encode()).digest()
-    return int.from_bytes(digest[:4], "big") % dim, 1 if digest[4] % 2 else -1
+        def slot(word: str) -> tuple[int, int]:
+            digest = hashlib.md5(word.encode()).digest()
+            return int.from_bytes(digest[:4], "big") % dim, 1 if digest[4] % 2 else -1
+
+        def encode_texts(texts: list[str]) -> list[list[float]]:
+            if len(slots) > MAX_KNOWN_WORDS:
+                slots.clear()
+            vectors = np.zeros((len(texts), dim))
+            for row, text in enumerate(texts):
+                for word, times in Counter(text.lower().split()).items():
+                    if word not in slots:
+                        slots[word] = slot(word)
+                    position, sign = slots[word]
+                    vectors[row, position] += sign * times
+            lengths = np.linalg.norm(vectors, axis=1)
+            vectors[lengths == 0, 0] = 1.0
+            lengths[lengths == 0] = 1.0
+            return (vectors / lengths[:, None]).tolist()
+
+        return encode_texts
+
+    return build
 
 
 def encode(
@@ -73,8 +86,8 @@ def encode(
 ) -> DataFrame:
     """Embedding rows for documents; the encoder is built once per task.
 
-    Texts reach Python in Arrow batches (``spark.sql.execution.arrow.
-    maxRecordsPerBatch``) and only the key, the hash and the text are sent.
+    Texts reach Python in Arrow batches, and only the key, the hash and the
+    text are sent.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,7 +105,11 @@ def encode(
     texts = df.select(
         "doc_id", "content_hash", embedding_text(F.col("title"), F.col("body")).alias("text")
     )
-    vectors = texts.mapInPandas(run, "doc_id string, content_hash string, vec array<float>")
+    # Encoding costs far more than moving the text, so it gets every core even
+    # where the backlog came out of a few small partitions.
+    vectors = texts.repartition("doc_id").mapInPandas(
+        run, "doc_id string, content_hash string, vec array<float>"
+    )
     return vectors.select(
         "doc_id",
         F.lit(model).alias("model_name"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
 
 import numpy as np
@@ -100,43 +100,44 @@ def document_affinity(
     rows = sorted(topics.rows.to_pylist(), key=lambda r: r["interest_key"])
     vectors = current_vectors(docs, embeddings, model).select("doc_id", "vec")
     schema = "doc_id string, affinity double, interest_key string, label string"
-    return best_interest(vectors.mapInArrow(lambda batches: _match(batches, rows), schema))
-
-
-def _match(
-    batches: Iterator[pa.RecordBatch], topics: list[dict]
-) -> Iterator[pa.RecordBatch]:
-    by_dim: dict[int, tuple[np.ndarray, list[dict]]] = {}
-    for dim in {t["dim"] for t in topics}:
-        same = [t for t in topics if t["dim"] == dim and t["interest_norm"]]
-        if same:
-            matrix = np.array([t["interest_vec"] for t in same], dtype="float64")
-            by_dim[dim] = (matrix / np.linalg.norm(matrix, axis=1, keepdims=True), same)
-    for batch in batches:
-        vecs = batch.column("vec")
-        lengths = vecs.value_lengths().to_numpy(zero_copy_only=False)
-        for dim, (matrix, same) in by_dim.items():
-            chosen = np.flatnonzero(lengths == dim)
-            if not len(chosen):
-                continue
-            taken = vecs.take(pa.array(chosen))
-            flat = taken.flatten().to_numpy(zero_copy_only=False)
-            data = flat.astype("float64").reshape(len(chosen), dim)
-            size = np.linalg.norm(data, axis=1)
-            keep = size > 0
-            scores = (data[keep] / size[keep, None]) @ matrix.T
-            # Among equal maxima take the last, which has the largest key.
-            best = scores.shape[1] - 1 - np.argmax(scores[:, ::-1], axis=1)
-            ids = batch.column("doc_id").take(pa.array(chosen[keep]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array(scores[np.arange(len(best)), best]),
-                    pa.array([same[b]["interest_key"] for b in best], pa.string()),
-                    pa.array([same[b]["label"] for b in best], pa.string()),
-                ],
-                ["doc_id", "affinity", "interest_key", "label"],
-            )
+    return best_interest(vectors.mapInArrow(_matcher(rows), schema))
+
+
+def _matcher(topics: list[dict]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The per-task matching function; nested, so it travels to the workers by value."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_dim: dict[int, tuple[np.ndarray, list[dict]]] = {}
+        for dim in {t["dim"] for t in topics}:
+            same = [t for t in topics if t["dim"] == dim and t["interest_norm"]]
+            if same:
+                matrix = np.array([t["interest_vec"] for t in same], dtype="float64")
+                by_dim[dim] = (matrix / np.linalg.norm(matrix, axis=1, keepdims=True), same)
+        for batch in batches:
+            vecs = batch.column("vec")
+            sizes = vecs.value_lengths().to_numpy(zero_copy_only=False)
+            for dim, (matrix, same) in by_dim.items():
+                chosen = np.flatnonzero(sizes == dim)
+                if not len(chosen):
+                    continue
+                flat = vecs.take(pa.array(chosen)).flatten().to_numpy(zero_copy_only=False)
+                data = flat.astype("float64").reshape(len(chosen), dim)
+                length = np.linalg.norm(data, axis=1)
+                known = length > 0
+                cosines = (data[known] / length[known, None]) @ matrix.T
+                # Among equal maxima take the last, which has the largest key.
+                best = cosines.shape[1] - 1 - np.argmax(cosines[:, ::-1], axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").take(pa.array(chosen[known])),
+                        pa.array(cosines[np.arange(len(best)), best]),
+                        pa.array([same[b]["interest_key"] for b in best], pa.string()),
+                        pa.array([same[b]["label"] for b in best], pa.string()),
+                    ],
+                    ["doc_id", "affinity", "interest_key", "label"],
+                )
+
+    return match
 
 
 def score(

@@ -58,9 +58,9 @@ def json_item_source(spark: SparkSession, sf: str) -> DataFrame:
     )
     kept = stories(parse_items(lines), ("click", "view", "purchase"))
     return kept.select(
-        F.col("item.id").alias("event_id"),
-        F.col("item.score").alias("k"),
-        F.timestamp_seconds("item.time").alias("event_ts"),
+        F.col("id").alias("event_id"),
+        F.col("score").alias("k"),
+        F.timestamp_seconds("time").alias("event_ts"),
     )
 
 

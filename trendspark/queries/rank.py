@@ -26,7 +26,7 @@ def embedding_backlog(spark: SparkSession, sf: str) -> DataFrame:
 def embed_batch(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.documents(spark, sf)
     todo = embedding.backlog(docs, b.embeddings(spark, sf, docs), b.MODEL)
-    vectors = embedding.encode(todo, lambda: embedding.hashing_encoder, b.MODEL, b.AS_OF)
+    vectors = embedding.encode(todo, embedding.hashing_encoder(), b.MODEL, b.AS_OF)
     squares = F.aggregate(
         F.transform("vec", lambda x: x.cast("double") * x.cast("double")),
         F.lit(0.0),

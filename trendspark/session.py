@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; safe to apply to a session somebody else created.
 SESSION_CONF = {
@@ -46,6 +46,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        return tempfile.mkdtemp(prefix=f"trendspark-{name}-")
+        return f"{tempfile.mkdtemp(prefix='trendspark-')}/{name}"
     unique = spark.range(1).selectExpr("uuid() AS u").first()["u"]
     return f"{shared.rstrip('/')}/{name}-{unique}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several later steps read, and read it back.
+
+    Unlike a cache this survives lost executors, and it cuts the plan.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

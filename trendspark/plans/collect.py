@@ -1,4 +1,8 @@
-"""One collection run: plan windows, land new rows, log the run last."""
+"""One collection run: plan windows, land new rows, log the run last.
+
+A run id stands for one call. Repeating a call that crashed replaces its rows;
+repeating one that was logged changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -33,6 +37,8 @@ def collect_by_cursor(
     (source_name, error_msg) of sources that could not be read: they keep their
     cursor and do not hold back the others. Returns the run's log rows.
     """
+    if lake.logged(run_id):
+        return lake.read("run_log").filter(F.col("run_id") == run_id)
     state = ingest.watermark_state(lake.read("run_log"))
     plan = Dimension(ingest.window_plan(state, as_of, sources=sources))
     windows = plan.df
@@ -92,6 +98,8 @@ def collect_full(
     No cursor is kept. ``failures`` holds (source_name, failed), the items that
     could not be read.
     """
+    if lake.logged(run_id):
+        return lake.read("run_log").filter(F.col("run_id") == run_id)
     staged = items.withColumn("fetched_at", as_of_column(as_of)).withColumn(
         "run_id", F.lit(run_id)
     )
@@ -134,7 +142,7 @@ def _land(lake: Lake, staged: DataFrame, run_id: str) -> None:
     columns = [
         "source_name", "native_id", "payload_hash", "payload", "event_ts", "fetched_at", "run_id",
     ]
-    fresh = ingest.idempotent_rows(staged.select(*columns), lake.raw_items())
+    fresh = ingest.idempotent_rows(staged.select(*columns), lake.raw_items(except_run=run_id))
     lake.write_run(fresh, run_id)
 
 

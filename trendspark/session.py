@@ -19,6 +19,12 @@ SESSION_CONF = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "20000",
 }
 
+# Only a session built here can have these.
+STATIC_CONF = {
+    # No call-site capture: it triples the driver calls of building a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_CONF.items():
@@ -32,7 +38,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **(conf or {})}.items():
+    for key, value in {**SESSION_CONF, **STATIC_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -54,12 +54,24 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def raw_items(self) -> DataFrame:
-        """Rows of committed runs only."""
-        return committed_rows(self.read("raw_item"), self.read("run_log"))
+    def raw_items(self, except_run: str | None = None) -> DataFrame:
+        """Rows of committed runs only.
+
+        ``except_run`` prunes the folder of a run that is about to be replaced.
+        """
+        stored = self.read("raw_item")
+        if except_run is not None:
+            stored = stored.filter(F.col("run_id") != except_run)
+        return committed_rows(stored, self.read("run_log"))
+
+    def logged(self, run_id: str) -> bool:
+        return not self.read("run_log").filter(F.col("run_id") == run_id).limit(1).isEmpty()
 
     def write_run(self, rows: DataFrame, run_id: str) -> None:
-        """Replace the raw rows of one run; hidden until the run is logged."""
+        """Replace the raw rows of one run; hidden until the run is logged.
+
+        ``rows`` must not read that run's folder.
+        """
         folder = f"{self.path('raw_item')}/run_id={quote(run_id, safe='')}"
         rows.drop("run_id").write.mode("overwrite").parquet(folder)
 

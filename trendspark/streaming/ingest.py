@@ -30,14 +30,13 @@ def ingest_stream(staged: DataFrame, lake: Lake, checkpoint: str) -> StreamingQu
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{batch_id:012d}"
-        log = lake.read("run_log")
-        if not log.filter(F.col("run_id") == run_id).limit(1).isEmpty():
+        if lake.logged(run_id):
             return
         batch.persist()
         try:
             if batch.isEmpty():
                 return
-            fresh = idempotent_rows(batch, lake.raw_items())
+            fresh = idempotent_rows(batch, lake.raw_items(except_run=run_id))
             lake.write_run(fresh, run_id)
             written = lake.read("raw_item").filter(F.col("run_id") == run_id)
             lake.append("run_log", _log_rows(batch, written, run_id))

@@ -48,6 +48,22 @@ def idempotent_rows(
     return fresh.join(committed.select(*key).distinct(), list(key), "left_anti")
 
 
+def same_event_times(committed: DataFrame, staged: DataFrame) -> DataFrame:
+    """Committed rows inside the event-time range of the staged ones.
+
+    Where ``event_ts`` is read from the payload, equal payloads have equal event
+    times, so no other row can hold a staged key. The bounds are scalar
+    subqueries that the scan gets as pushed filters: landing a small batch then
+    reads a small part of a large table. Rows without event time always stay.
+    """
+    bounds = staged.groupBy().agg(
+        F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")
+    )
+    ts = F.col("event_ts")
+    inside = (ts >= bounds.select("lo").scalar()) & (ts <= bounds.select("hi").scalar())
+    return committed.filter(ts.isNull() | inside)
+
+
 def committed_rows(raw: DataFrame, run_log: DataFrame) -> DataFrame:
     """Rows of runs that reached the run log; rows of a crashed run stay hidden."""
     done = run_log.filter(F.col("status").isin(*COMMITTED)).select("run_id", "source_name")

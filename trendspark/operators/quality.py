@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trendspark.functions.timeutil import as_of_column, day_type, hours_between
 from trendspark.operators.ordering import latest_per_key
@@ -225,10 +225,12 @@ def topic_counts(affinity: DataFrame) -> DataFrame:
 
 
 def topic_share(affinity: DataFrame) -> DataFrame:
-    """Every topic's share of the documents; the total is a scalar subquery."""
-    counts = topic_counts(affinity)
-    total = counts.groupBy().agg(F.sum("n").cast("double").alias("total"))
-    return counts.withColumn("share", F.col("n") / total.scalar())
+    """Every topic's share of the documents.
+
+    The unpartitioned window sees one row per topic, never the documents.
+    """
+    total = F.sum("n").over(Window.partitionBy()).cast("double")
+    return topic_counts(affinity).withColumn("share", F.col("n") / total)
 
 
 def check_topic_domination(

@@ -17,10 +17,9 @@ from trendspark.operators.metrics import velocity_per_day
 FULL_SCALE = 2000
 
 
-def current_vectors(docs: DataFrame, embeddings: DataFrame, model: str) -> DataFrame:
-    """Vectors of one model that belong to the documents' present text."""
-    of_model = embeddings.filter(F.col("model_name") == model)
-    return of_model.join(
+def of_current_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows by (doc_id, content_hash) that belong to the documents' present text."""
+    return rows.join(
         docs.select("doc_id", "content_hash"), ["doc_id", "content_hash"], "left_semi"
     )
 
@@ -36,7 +35,8 @@ def affinity_pairs(
     """
     if not isinstance(interests, Dimension):
         interests = Dimension(interest_vectors(interests, model))
-    vectors = current_vectors(docs, embeddings, model).select(
+    of_model = embeddings.filter(F.col("model_name") == model)
+    vectors = of_current_text(of_model, docs).select(
         "doc_id",
         F.col("vec"),
         F.size("vec").alias("dim"),
@@ -63,16 +63,17 @@ def interest_vectors(interests: DataFrame, model: str) -> DataFrame:
     )
 
 
-def best_interest(pairs: DataFrame) -> DataFrame:
+def best_interest(pairs: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Each document's closest interest; equal affinities go to the larger key.
 
     A maximum, not a mean: interests are alternatives. Partial aggregation
-    leaves one row per document before the shuffle.
+    leaves one row per document before the shuffle. ``keys`` may name more
+    columns that ``doc_id`` determines, to reuse a partitioning by them.
     """
     best = F.max(F.struct("affinity", "interest_key", "label"))
     return (
         pairs.filter(F.col("affinity").isNotNull())
-        .groupBy("doc_id")
+        .groupBy(*keys)
         .agg(best.alias("b"))
         .select(
             "doc_id",
@@ -88,19 +89,26 @@ def document_affinity(
 ) -> DataFrame:
     """Closest interest per document without making the pairs.
 
-    A measured-small interest table becomes one matrix per task and every Arrow
-    batch of vectors is one matrix product, so a document costs one row in and
-    one row out. A larger table goes through the salted pair join. The closing
-    aggregate holds the one-row-per-document grain even if a retried embedding
-    job stored a vector twice.
+    A measured-small interest table becomes one matrix per task, and every
+    Arrow batch of vectors read from the table is one matrix product. Matching
+    comes before the join with the documents, so vectors are never shuffled;
+    only (id, hash, best match) rows are. A larger table goes through the salted
+    pair join. The closing aggregate holds the one-row-per-document grain even
+    if a retried embedding job stored a vector twice; it runs on the
+    partitioning and order that the join left.
     """
     topics = Dimension(interest_vectors(interests, model))
     if not topics.small:
         return best_interest(affinity_pairs(docs, embeddings, topics, model))
     rows = sorted(topics.rows.to_pylist(), key=lambda r: r["interest_key"])
-    vectors = current_vectors(docs, embeddings, model).select("doc_id", "vec")
-    schema = "doc_id string, affinity double, interest_key string, label string"
-    return best_interest(vectors.mapInArrow(_matcher(rows), schema))
+    vectors = embeddings.filter(F.col("model_name") == model).select(
+        "doc_id", "content_hash", "vec"
+    )
+    matched = vectors.mapInArrow(
+        _matcher(rows),
+        "doc_id string, content_hash string, affinity double, interest_key string, label string",
+    )
+    return best_interest(of_current_text(matched, docs), ["doc_id", "content_hash"])
 
 
 def _matcher(topics: list[dict]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -130,11 +138,12 @@ def _matcher(topics: list[dict]) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(chosen[known])),
+                        batch.column("content_hash").take(pa.array(chosen[known])),
                         pa.array(cosines[np.arange(len(best)), best]),
                         pa.array([same[b]["interest_key"] for b in best], pa.string()),
                         pa.array([same[b]["label"] for b in best], pa.string()),
                     ],
-                    ["doc_id", "affinity", "interest_key", "label"],
+                    ["doc_id", "content_hash", "affinity", "interest_key", "label"],
                 )
 
     return match
@@ -206,19 +215,21 @@ def similar_top_k(
     """The ``k`` documents closest to a query vector, best first.
 
     The query is a literal or a one-row, one-column frame (read as a scalar
-    subquery). Only ids and scores are sorted; titles are joined to the k rows.
+    subquery). Scores are made where the vectors are read; only ids, hashes and
+    scores are joined and sorted, and titles are fetched for the k rows.
     """
     if isinstance(query_vec, DataFrame):
         query = query_vec.scalar()
     else:
         query = F.array(*[F.lit(float(x)) for x in query_vec])
     scored = (
-        current_vectors(docs, embeddings, model)
+        embeddings.filter(F.col("model_name") == model)
         .withColumn("_q", query)
         .filter(F.size("vec") == F.size("_q"))
-        .select("doc_id", cosine(F.col("vec"), F.col("_q")).alias("score"))
+        .select("doc_id", "content_hash", cosine(F.col("vec"), F.col("_q")).alias("score"))
     )
-    top = scored.orderBy(F.col("score").desc_nulls_last(), "doc_id").limit(k)
+    current = of_current_text(scored, docs).select("doc_id", "score")
+    top = current.orderBy(F.col("score").desc_nulls_last(), "doc_id").limit(k)
     return top.join(docs.select("doc_id", "source", "title"), "doc_id").orderBy(
         F.col("score").desc_nulls_last(), "doc_id"
     )

@@ -29,6 +29,7 @@ def collect_by_cursor(
     capacity: int = ingest.CAPACITY,
     backfill_capacity: int | None = None,
     failed: DataFrame | None = None,
+    event_time_in_payload: bool = True,
 ) -> DataFrame:
     """Collect every source that has a time cursor, in one job.
 
@@ -36,6 +37,8 @@ def collect_by_cursor(
     payload_hash, event_ts), ``sources`` the names to run and ``failed`` the
     (source_name, error_msg) of sources that could not be read: they keep their
     cursor and do not hold back the others. Returns the run's log rows.
+    ``event_time_in_payload`` says that a payload determines its event time (as
+    for every source of this package), which bounds the stored rows to compare.
     """
     if lake.logged(run_id):
         return lake.read("run_log").filter(F.col("run_id") == run_id)
@@ -61,7 +64,7 @@ def collect_by_cursor(
         forward = staged.filter("kind = 'forward'")
         cursors = ingest.next_cursor(forward, windows, capacity)
         read = staged.filter((F.col("kind") != "forward") | (F.col("rank") <= capacity))
-        _land(lake, read, run_id)
+        _land(lake, read, run_id, event_time_in_payload)
         counts = _counts(lake, read, run_id)
         log = (
             cursors.join(counts, "source_name", "left")
@@ -92,6 +95,7 @@ def collect_full(
     run_id: str,
     as_of: datetime,
     failures: DataFrame | None = None,
+    event_time_in_payload: bool = True,
 ) -> DataFrame:
     """Collect a mutating source: reread everything, keep what changed.
 
@@ -100,32 +104,37 @@ def collect_full(
     """
     if lake.logged(run_id):
         return lake.read("run_log").filter(F.col("run_id") == run_id)
-    staged = items.withColumn("fetched_at", as_of_column(as_of)).withColumn(
-        "run_id", F.lit(run_id)
-    )
-    _land(lake, staged, run_id)
-    counts = _counts(lake, staged, run_id)
-    if failures is None:
-        counts = counts.withColumn("failed", F.lit(0))
-    else:
-        counts = counts.join(failures, "source_name", "full")
-    none = F.lit(None).cast("timestamp")
-    failed = F.col("failed")
-    log = counts.select(
-        F.lit(run_id).alias("run_id"),
-        "source_name",
-        as_of_column(as_of).alias("started_at"),
-        as_of_column(as_of).alias("ended_at"),
-        F.lit("ok").alias("status"),
-        F.coalesce("rows_fetched", F.lit(0)).alias("rows_fetched"),
-        F.coalesce("rows_new", F.lit(0)).alias("rows_new"),
-        none.alias("watermark_before"),
-        none.alias("watermark_after"),
-        F.when(
-            failed > 0, F.concat(F.lit("item "), failed.cast("string"), F.lit("건 실패"))
-        ).alias("error_msg"),
+    staged = (
+        items.withColumn("fetched_at", as_of_column(as_of))
+        .withColumn("run_id", F.lit(run_id))
+        .persist(StorageLevel.DISK_ONLY)
     )
-    lake.append("run_log", log)
+    try:
+        _land(lake, staged, run_id, event_time_in_payload)
+        counts = _counts(lake, staged, run_id)
+        if failures is None:
+            counts = counts.withColumn("failed", F.lit(0))
+        else:
+            counts = counts.join(failures, "source_name", "full")
+        none = F.lit(None).cast("timestamp")
+        failed = F.col("failed")
+        log = counts.select(
+            F.lit(run_id).alias("run_id"),
+            "source_name",
+            as_of_column(as_of).alias("started_at"),
+            as_of_column(as_of).alias("ended_at"),
+            F.lit("ok").alias("status"),
+            F.coalesce("rows_fetched", F.lit(0)).alias("rows_fetched"),
+            F.coalesce("rows_new", F.lit(0)).alias("rows_new"),
+            none.alias("watermark_before"),
+            none.alias("watermark_after"),
+            F.when(
+                failed > 0, F.concat(F.lit("item "), failed.cast("string"), F.lit("건 실패"))
+            ).alias("error_msg"),
+        )
+        lake.append("run_log", log)
+    finally:
+        staged.unpersist()
     return lake.read("run_log").filter(F.col("run_id") == run_id)
 
 
@@ -138,11 +147,14 @@ def record_failure(
     lake.append("run_log", _failure_rows(cursors, failed, run_id, as_of))
 
 
-def _land(lake: Lake, staged: DataFrame, run_id: str) -> None:
+def _land(lake: Lake, staged: DataFrame, run_id: str, event_time_in_payload: bool) -> None:
     columns = [
         "source_name", "native_id", "payload_hash", "payload", "event_ts", "fetched_at", "run_id",
     ]
-    fresh = ingest.idempotent_rows(staged.select(*columns), lake.raw_items(except_run=run_id))
+    committed = lake.raw_items(except_run=run_id)
+    if event_time_in_payload:
+        committed = ingest.same_event_times(committed, staged)
+    fresh = ingest.idempotent_rows(staged.select(*columns), committed)
     lake.write_run(fresh, run_id)
 
 

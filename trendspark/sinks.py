@@ -3,6 +3,9 @@
 A run's raw rows become visible only when its run-log row exists, and that row
 is written last: a crash in between leaves hidden rows and an unmoved cursor,
 and a retry under the same run id replaces its own rows.
+
+Writes are rebalanced: adaptive execution then merges small output partitions
+and splits large ones, so neither a small run nor a hot bucket sets file sizes.
 """
 
 from __future__ import annotations
@@ -73,16 +76,19 @@ class Lake:
         ``rows`` must not read that run's folder.
         """
         folder = f"{self.path('raw_item')}/run_id={quote(run_id, safe='')}"
-        rows.drop("run_id").write.mode("overwrite").parquet(folder)
+        rows.drop("run_id").hint("rebalance").write.mode("overwrite").parquet(folder)
 
     def append(self, table: str, rows: DataFrame) -> None:
         columns = self.spark.createDataFrame([], TABLES[table]).columns
-        rows.select(*columns).write.mode("append").parquet(self.path(table))
+        rows.select(*columns).hint("rebalance").write.mode("append").parquet(self.path(table))
 
     def overwrite(self, table: str, rows: DataFrame) -> None:
         """Full refresh of a table that ``rows`` does not read."""
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            self.path(table)
+        (
+            rows.hint("rebalance")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .parquet(self.path(table))
         )
 
     def replace_partitions(self, table: str, rows: DataFrame, column: str) -> None:
@@ -91,7 +97,8 @@ class Lake:
         An empty result replaces nothing: the earlier rows of that day stay.
         """
         (
-            rows.write.mode("overwrite")
+            rows.hint("rebalance", column)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(column)
             .parquet(self.path(table))
@@ -122,6 +129,6 @@ class Lake:
                 if error.getCondition() != "PATH_NOT_FOUND":
                     raise
                 merged = source
-            self.replace_partitions(table, merged.hint("rebalance", "bucket"), "bucket")
+            self.replace_partitions(table, merged, "bucket")
         finally:
             source.unpersist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trendspark.operators.ingest import idempotent_rows
+from trendspark.operators.ingest import idempotent_rows, same_event_times
 from trendspark.schemas import RAW_ITEM
 from trendspark.sinks import Lake
 
@@ -20,12 +20,16 @@ def read_landed(
     return reader.parquet(path)
 
 
-def ingest_stream(staged: DataFrame, lake: Lake, checkpoint: str) -> StreamingQuery:
+def ingest_stream(
+    staged: DataFrame, lake: Lake, checkpoint: str, event_time_in_payload: bool = False
+) -> StreamingQuery:
     """Land a stream of staged rows; late rows are accepted like any other.
 
     Each micro-batch is one run named after its batch id. A replayed batch
     compares against committed runs other than itself and replaces its own
-    rows, so restarting after a failure neither loses nor repeats a row.
+    rows, so restarting after a failure neither loses nor repeats a row. Set
+    ``event_time_in_payload`` if a payload determines its event time: a batch is
+    then compared with the stored rows of its event-time range only.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -36,7 +40,10 @@ def ingest_stream(staged: DataFrame, lake: Lake, checkpoint: str) -> StreamingQu
         try:
             if batch.isEmpty():
                 return
-            fresh = idempotent_rows(batch, lake.raw_items(except_run=run_id))
+            committed = lake.raw_items(except_run=run_id)
+            if event_time_in_payload:
+                committed = same_event_times(committed, batch)
+            fresh = idempotent_rows(batch, committed)
             lake.write_run(fresh, run_id)
             written = lake.read("raw_item").filter(F.col("run_id") == run_id)
             lake.append("run_log", _log_rows(batch, written, run_id))

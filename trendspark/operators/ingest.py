@@ -154,9 +154,21 @@ def window_plan(
 
 
 def in_windows(items: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
-    """Items inside their source's window of one kind, both ends inclusive."""
-    bounds = windows.filter(F.col("kind") == kind).select("source_name", "lower", "upper")
-    joined = Dimension(bounds).join(items, ["source_name"], spread=["native_id", "event_ts"])
+    """Items inside their source's window of one kind, both ends inclusive.
+
+    The span of all windows goes to the scan as a pushed filter; the join then
+    applies each source's own window.
+    """
+    bounds = Dimension(
+        windows.filter(F.col("kind") == kind).select("source_name", "lower", "upper")
+    )
+    span = bounds.df.groupBy().agg(F.min("lower").alias("lo"), F.max("upper").alias("hi"))
+    in_span = (F.col("event_ts") >= span.select("lo").scalar()) & (
+        F.col("event_ts") <= span.select("hi").scalar()
+    )
+    joined = bounds.join(
+        items.filter(in_span), ["source_name"], spread=["native_id", "event_ts"]
+    )
     return joined.filter(F.col("event_ts").between(F.col("lower"), F.col("upper"))).drop(
         "lower", "upper"
     )

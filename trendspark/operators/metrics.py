@@ -12,12 +12,16 @@ from trendspark.functions.timeutil import as_of_column, days_between
 
 def item_observations(raw: DataFrame, source: str = "hackernews") -> DataFrame:
     """Score and comment count of every fetched revision of mutating items."""
-    numbers = F.from_json("payload", "score string, descendants string")
-    return raw.filter(F.col("source_name").startswith(f"{source}:")).select(
+    parsed = raw.filter(F.col("source_name").startswith(f"{source}:")).select(
         F.concat(F.lit(f"{source}:"), F.col("native_id")).alias("doc_id"),
         "fetched_at",
-        lenient_int(numbers["score"]).alias("score"),
-        lenient_int(numbers["descendants"]).alias("comments"),
+        F.from_json("payload", "score string, descendants string").alias("p"),
+    )
+    return parsed.select(
+        "doc_id",
+        "fetched_at",
+        lenient_int(F.col("p.score")).alias("score"),
+        lenient_int(F.col("p.descendants")).alias("comments"),
     )
 
 

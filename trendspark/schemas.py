@@ -6,7 +6,8 @@ RAW_ITEM = """
     source_name string, native_id string, payload_hash string, payload string,
     event_ts timestamp, fetched_at timestamp, run_id string
 """
-RAW_ITEM_KEY = ["source_name", "native_id", "payload_hash"]
+# The most selective column first: sorts then decide on a short prefix.
+RAW_ITEM_KEY = ["payload_hash", "native_id", "source_name"]
 
 RUN_LOG = """
     run_id string, source_name string, started_at timestamp, ended_at timestamp,

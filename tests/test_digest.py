@@ -208,3 +208,15 @@ def test_tally_warns_only_if_every_attempt_failed(spark):
     assert tally("failed", "skipped").warning == digest.SUMMARY_FAILED
     assert tally("skipped").warning is None
     assert tally().items == 0
+
+
+def test_message_blocks_are_ordered_and_need_items(spark):
+    rendered = digest.render(item(spark).withColumn("rank_in_source", F.lit(1)))
+    warnings = spark.createDataFrame([(2, "b"), (1, "a")], "line_no int, text string")
+    order = ["part", "source", "rank_in_source", "block"]
+    rows = digest.message_blocks(rendered, warnings, "Digest", NOW).orderBy(*order).collect()
+    assert [r.type for r in rows] == ["header", "section", "divider", "section", "context"]
+    assert rows[0].text == "Digest · 2026-09-08" and rows[1].text == "⚠️ a\n⚠️ b"
+    quiet = digest.message_blocks(rendered, warnings.limit(0), "Digest", NOW)
+    assert quiet.count() == 4
+    assert digest.message_blocks(rendered.limit(0), warnings, "Digest", NOW).count() == 0

@@ -86,14 +86,19 @@ def _quota_by_hash(df: DataFrame, order: list[Column], quota: Column) -> DataFra
 def pending_items(
     dispatched: DataFrame, docs: DataFrame, delivery: DataFrame, as_of: datetime | str | Column
 ) -> DataFrame:
-    """Selected today and not delivered with success, with their body."""
+    """Selected today and not delivered with success, with their body.
+
+    A day's selection is small, and if measured so it is broadcast: the bodies
+    are then read in place instead of being shuffled for a few rows.
+    """
     today = F.to_date(as_of_column(as_of))
     sent = delivery.filter(F.col("status") == "sent").select("dispatch_id").distinct()
     open_items = dispatched.filter(F.col("digest_date") == today).join(
         sent, "dispatch_id", "left_anti"
     )
     return (
-        open_items.join(docs.select("doc_id", "body"), "doc_id")
+        Dimension(open_items)
+        .join(docs.select("doc_id", "body"), ["doc_id"], spread=())
         .select(
             "dispatch_id",
             "digest_date",
@@ -178,6 +183,58 @@ def render(
     return items.withColumn("section", section).withColumn("context", context)
 
 
+def message_blocks(
+    rendered: DataFrame, warnings: DataFrame, title: str, as_of: datetime | str | Column
+) -> DataFrame:
+    """The message as ordered rows: a header, the warnings, three blocks per item.
+
+    Sort by (part, source, rank_in_source, block). Without items there is no
+    message. ``warnings`` are the (line_no, text) banner lines.
+    """
+    date = F.to_date(as_of_column(as_of)).cast("string")
+    none = F.lit(None).cast("string")
+    columns = ["part", "source", "rank_in_source", "block", "type", "text"]
+
+    def single(df: DataFrame, part: int, kind: str, text: Column) -> DataFrame:
+        return df.select(
+            F.lit(part).alias("part"),
+            none.alias("source"),
+            F.lit(None).cast("int").alias("rank_in_source"),
+            F.lit(0).alias("block"),
+            F.lit(kind).alias("type"),
+            text.alias("text"),
+        )
+
+    present = rendered.limit(1).select(F.lit(1).alias("one"))
+    header = single(present, 0, "header", F.concat(F.lit(f"{title} · "), date))
+    # At most the listed lines, the overflow and the undecided count.
+    banner = warnings.groupBy().agg(
+        F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("lines")
+    )
+    marked = F.transform("lines", lambda line: F.concat(F.lit("⚠️ "), line["text"]))
+    notice = single(
+        banner.filter(F.size("lines") > 0).join(present, F.lit(True), "left_semi"),
+        1,
+        "section",
+        F.array_join(marked, "\n"),
+    )
+
+    def block(number: int, kind: str, text: Column) -> Column:
+        return F.struct(
+            F.lit(number).alias("block"), F.lit(kind).alias("type"), text.alias("text")
+        )
+
+    blocks = F.array(
+        block(0, "divider", none),
+        block(1, "section", F.col("section")),
+        block(2, "context", F.col("context")),
+    )
+    items = rendered.select(
+        F.lit(2).alias("part"), "source", "rank_in_source", F.inline(blocks)
+    )
+    return header.unionByName(notice).unionByName(items).select(*columns)
+
+
 def delivery_rows(
     items: DataFrame, status: str, as_of: datetime | str | Column, error_msg: str | None = None
 ) -> DataFrame:

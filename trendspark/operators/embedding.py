@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trendspark.functions.text import collapse, embedding_text
 from trendspark.functions.timeutil import as_of_column
+from trendspark.operators.joins import MAX_DIM_ROWS
 
 BATCH_CAP = 2000
 HASH_DIM = 64
@@ -38,7 +39,7 @@ def backlog(
         missing = missing.orderBy(F.col("published_at").desc_nulls_last(), "doc_id").limit(cap)
     chosen = missing.select("doc_id", "content_hash")
     return docs.join(
-        F.broadcast(chosen) if cap is not None and cap <= BATCH_CAP else chosen,
+        F.broadcast(chosen) if cap is not None and cap <= MAX_DIM_ROWS else chosen,
         ["doc_id", "content_hash"],
         "left_semi",
     )

@@ -43,9 +43,13 @@ class Dimension:
         Beyond the broadcast bound each dimension row is copied ``SALTS`` times
         and ``fact`` picks one copy by a hash of ``spread``: a value of ``on``
         that holds most of the rows is joined by ``SALTS`` partitions, not one.
+        An empty ``spread`` says that ``on`` is unique in ``fact``; then a plain
+        join spreads well enough.
         """
         if self.small:
             return fact.join(F.broadcast(self.df), list(on), how)
+        if not spread:
+            return fact.join(self.df, list(on), how)
         copies = self.df.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trendspark.functions.timeutil import as_of_column, hours_between
 from trendspark.functions.vectors import cosine, dot, norm
-from trendspark.operators.joins import Dimension
+from trendspark.operators.joins import MAX_DIM_ROWS, Dimension
 from trendspark.operators.metrics import velocity_per_day
 
 FULL_SCALE = 2000
@@ -230,6 +230,10 @@ def similar_top_k(
     )
     current = of_current_text(scored, docs).select("doc_id", "score")
     top = current.orderBy(F.col("score").desc_nulls_last(), "doc_id").limit(k)
-    return top.join(docs.select("doc_id", "source", "title"), "doc_id").orderBy(
-        F.col("score").desc_nulls_last(), "doc_id"
+    # The limit bounds the broadcast; titles are then read without a shuffle.
+    small = F.broadcast(top) if k <= MAX_DIM_ROWS else top
+    return (
+        docs.select("doc_id", "source", "title")
+        .join(small, "doc_id")
+        .orderBy(F.col("score").desc_nulls_last(), "doc_id")
     )

@@ -102,6 +102,20 @@ def watermark_state(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def consecutive_fail(spark: SparkSession, sf: str) -> DataFrame:
+    """Each user as a source and each event as a run; error events are failed runs."""
+    raw = b.raw_items(spark, sf)
+    runs = raw.select(
+        F.col("native_id").alias("source_name"),
+        F.col("event_id").cast("string").alias("run_id"),
+        F.col("fetched_at").alias("started_at"),
+        F.col("fetched_at").alias("ended_at"),
+        F.when(F.col("event_type") == "error", "error").otherwise("ok").alias("status"),
+        F.col("event_ts").alias("watermark_after"),
+    )
+    return ingest.watermark_state(runs).select("source_name", "consecutive_fail", "last_run_id")
+
+
 def window_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Sources seen in the events but not in the log start cold."""
     raw = b.raw_items(spark, sf)
@@ -261,6 +275,7 @@ QUERIES = {
     "upsert_merge": upsert_merge,
     "incremental_lookback": incremental_lookback,
     "watermark_state": watermark_state,
+    "consecutive_fail": consecutive_fail,
     "window_plan": window_plan,
     "capped_forward_window": capped_forward_window,
     "next_cursor": next_cursor,
@@ -366,6 +381,21 @@ ORACLE = {
         """,
     ),
     "watermark_state": oracle(["watermark"], "SELECT * FROM watermark"),
+    "consecutive_fail": oracle(
+        ["raw_item"],
+        """
+        SELECT native_id AS source_name,
+               min(CASE WHEN event_type <> 'error' THEN back - 1 ELSE n END)
+                   AS consecutive_fail,
+               max(CASE WHEN back = 1 THEN CAST(event_id AS VARCHAR) END) AS last_run_id
+        FROM (SELECT *, row_number() OVER (
+                         PARTITION BY native_id
+                         ORDER BY fetched_at DESC, CAST(event_id AS VARCHAR) DESC) AS back,
+                     count(*) OVER (PARTITION BY native_id) AS n
+              FROM raw_item)
+        GROUP BY native_id
+        """,
+    ),
     "window_plan": oracle(
         ["watermark", "raw_item"],
         f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendspark.operators import digest, embedding, metrics, ranking
+from trendspark.operators import digest, embedding, metrics, quality, ranking
 from trendspark.operators.joins import Dimension
 from trendspark.queries import bindings as b
 from trendspark.queries.bindings import oracle
@@ -119,10 +119,23 @@ def pending_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def render_digest(spark: SparkSession, sf: str) -> DataFrame:
-    rendered = digest.render(_pending(spark, sf), labels={"src1": "논문", "src2": "HN"})
+    rendered = digest.render(_pending(spark, sf), labels=LABELS)
     return rendered.select("dispatch_id", "section", "context")
 
 
+LABELS = {"src1": "논문", "src2": "HN"}
+
+
+def message_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The digest as ordered blocks, warning of documents that share a title."""
+    rendered = digest.render(_pending(spark, sf), labels=LABELS)
+    docs = b.documents(spark, sf)
+    warnings = quality.check_duplicate(docs).select(
+        F.lit(1).alias("line_no"), F.col("detail").alias("text")
+    )
+    return digest.message_blocks(rendered, warnings, "digest", b.AS_OF)
+
+
 def summary_eligibility(spark: SparkSession, sf: str) -> DataFrame:
     eligible = digest.summary_eligibility(b.documents(spark, sf))
     return eligible.select(
@@ -164,6 +177,7 @@ QUERIES = {
     "digest_dispatch": digest_dispatch,
     "pending_items": pending_items,
     "render_digest": render_digest,
+    "message_blocks": message_blocks,
     "summary_eligibility": summary_eligibility,
     "digest_tally": digest_tally,
     "similar_top_k": similar_top_k,
@@ -181,6 +195,18 @@ def _escaped(sql: str) -> str:
     return f"replace(replace(replace({sql}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
+_RENDERED = f"""
+    SELECT dispatch_id, source, rank_in_source,
+           '*<' || url || '|' || replace({_escaped('title')}, '|', '｜') || '>*' || chr(10)
+           || CASE WHEN folded = '' THEN '_(본문 없음 — 링크 참고)_'
+                   ELSE {_escaped('substr(folded, 1, 220)')}
+                        || CASE WHEN length(folded) > 220 THEN '…' ELSE '' END END AS section,
+           '`' || CASE source WHEN 'src1' THEN '논문' WHEN 'src2' THEN 'HN' ELSE source END
+           || '` · ' || best_interest_label || ' · 관심도 ' || printf('%.2f', affinity)
+           || ' · ' || strftime(published_at + INTERVAL 9 HOUR, '%m-%d %H:%M') || ' KST'
+               AS context
+    FROM (SELECT *, {_FOLDED} AS folded FROM pending)
+"""
 _BODY_CHARS = f"length(regexp_replace(body, '^{_WS}|{_WS}$', '', 'g'))"
 
 ORACLE = {
@@ -243,19 +269,24 @@ ORACLE = {
         FROM pending
         """,
     ),
-    "render_digest": oracle(
+    "render_digest": oracle(["pending"], f"SELECT dispatch_id, section, context FROM ({_RENDERED})"),
+    "message_blocks": oracle(
         ["pending"],
         f"""
-        SELECT dispatch_id,
-               '*<' || url || '|' || replace({_escaped('title')}, '|', '｜') || '>*' || chr(10)
-               || CASE WHEN folded = '' THEN '_(본문 없음 — 링크 참고)_'
-                       ELSE {_escaped('substr(folded, 1, 220)')}
-                            || CASE WHEN length(folded) > 220 THEN '…' ELSE '' END END AS section,
-               '`' || CASE source WHEN 'src1' THEN '논문' WHEN 'src2' THEN 'HN' ELSE source END
-               || '` · ' || best_interest_label || ' · 관심도 ' || printf('%.2f', affinity)
-               || ' · ' || strftime(published_at + INTERVAL 9 HOUR, '%m-%d %H:%M') || ' KST'
-                   AS context
-        FROM (SELECT *, {_FOLDED} AS folded FROM pending)
+        SELECT 0 AS part, NULL AS source, NULL AS rank_in_source, 0 AS block, 'header' AS type,
+               'digest · {b.AS_OF[:10]}' AS text
+        WHERE EXISTS (SELECT 1 FROM pending)
+        UNION ALL
+        SELECT 1, NULL, NULL, 0, 'section',
+               '⚠️ ' || CASE WHEN n > 0 THEN '제목이 같은 서로 다른 문서 ' || n || '쌍'
+                             ELSE '중복 없음' END
+        FROM (SELECT count(*) AS n
+              FROM (SELECT lower(trim(title)) FROM doc GROUP BY 1
+                    HAVING count(DISTINCT doc_id) > 1))
+        WHERE EXISTS (SELECT 1 FROM pending)
+        UNION ALL SELECT 2, source, rank_in_source, 0, 'divider', NULL FROM ({_RENDERED})
+        UNION ALL SELECT 2, source, rank_in_source, 1, 'section', section FROM ({_RENDERED})
+        UNION ALL SELECT 2, source, rank_in_source, 2, 'context', context FROM ({_RENDERED})
         """,
     ),
     "summary_eligibility": oracle(

@@ -145,7 +145,6 @@ def test_another_day_has_its_own_items(seeded):
 
 
 def test_replacing_a_day_keeps_the_others(seeded):
-    spark = seeded.spark
     day = seeded.read("digest_dispatch")
     tomorrow = day.withColumn("digest_date", F.date_add("digest_date", 1))
     seeded.replace_partitions("digest_dispatch", tomorrow, "digest_date")
@@ -155,7 +154,7 @@ def test_replacing_a_day_keeps_the_others(seeded):
     )
     seeded.replace_partitions("digest_dispatch", one, "digest_date")
     assert seeded.read("digest_dispatch").count() == 3
-    empty = spark.createDataFrame([], day.schema)
+    empty = day.limit(0)
     seeded.replace_partitions("digest_dispatch", empty, "digest_date")
     assert seeded.read("digest_dispatch").count() == 3
 

@@ -10,6 +10,7 @@ from trendspark.functions.text import collapse, escape_link_label, escape_markup
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators.joins import Dimension
 from trendspark.operators.ordering import top_n_per_group
+from trendspark.operators.spread import parts
 
 AFFINITY_FLOOR = 0.45
 EXCERPT_CHARS = 220
@@ -75,7 +76,8 @@ def dispatch(
 
 def _quota_by_hash(df: DataFrame, order: list[Column], quota: Column) -> DataFrame:
     # Quotas of unknown size: rank inside hashed slices of a source first.
-    sliced = Window.partitionBy("source", F.pmod(F.xxhash64("doc_id"), F.lit(64))).orderBy(*order)
+    slices = F.pmod(F.xxhash64("doc_id"), F.lit(parts(df)))
+    sliced = Window.partitionBy("source", slices).orderBy(*order)
     whole = Window.partitionBy("source").orderBy(*order)
     df = df.withColumn("_rn", F.row_number().over(sliced)).filter(F.col("_rn") <= quota)
     return df.withColumn("rank_in_source", F.row_number().over(whole)).filter(

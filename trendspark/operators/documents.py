@@ -116,7 +116,8 @@ def lookback(
     newest = F.coalesce(F.max(target_column), F.timestamp_seconds(F.lit(0)))
     bound = newest - F.lit(days)
     if whole_days:
-        bound = F.date_trunc("day", bound)
+        midnight = target.groupBy().agg(F.date_trunc("day", bound).alias("bound"))
+        return df.filter(F.col(column) >= midnight.scalar())
     return df.filter(F.col(column) > target.groupBy().agg(bound.alias("bound")).scalar())
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import datetime
 
@@ -48,27 +47,30 @@ def backlog(
 def hashing_encoder(dim: int = HASH_DIM) -> Callable[[], Encoder]:
     """A deterministic stand-in for a model: signed word counts, L2-normalised.
 
-    A text without words gets the first unit vector. Returns a factory whose
-    inner functions travel to the workers by value.
+    A text whose counts cancel or that has no words gets the first unit vector.
+    Returns a factory whose inner functions travel to the workers by value.
     """
 
     def build() -> Encoder:
-        slots: dict[str, tuple[int, int]] = {}
+        class Slots(dict):
+            """Word to 2 * position + (1 if positive), filled on first use."""
 
-        def slot(word: str) -> tuple[int, int]:
-            digest = hashlib.md5(word.encode()).digest()
-            return int.from_bytes(digest[:4], "big") % dim, 1 if digest[4] % 2 else -1
+            def __missing__(self, word: str) -> int:
+                digest = hashlib.md5(word.encode()).digest()
+                slot = 2 * (int.from_bytes(digest[:4], "big") % dim) + digest[4] % 2
+                self[word] = slot
+                return slot
+
+        slots = Slots()
 
         def encode_texts(texts: list[str]) -> list[list[float]]:
             if len(slots) > MAX_KNOWN_WORDS:
                 slots.clear()
             vectors = np.zeros((len(texts), dim))
             for row, text in enumerate(texts):
-                for word, times in Counter(text.lower().split()).items():
-                    if word not in slots:
-                        slots[word] = slot(word)
-                    position, sign = slots[word]
-                    vectors[row, position] += sign * times
+                found = [slots[word] for word in text.lower().split()]
+                counts = np.bincount(np.array(found, dtype="int64"), minlength=2 * dim)
+                vectors[row] = counts[1::2] - counts[0::2]
             lengths = np.linalg.norm(vectors, axis=1)
             vectors[lengths == 0, 0] = 1.0
             lengths[lengths == 0] = 1.0

@@ -70,12 +70,15 @@ def check_expectations(df: DataFrame, rules: list) -> DataFrame:
             )
             parts.append(_violations(repeated, "unique", ",".join(rule.columns)))
         elif isinstance(rule, Relationship):
+            # Counted per key first, so a value that fills the table is one row.
             orphans = (
                 df.filter(F.col(rule.column).isNotNull())
-                .select(F.col(rule.column).alias("_key"))
+                .groupBy(F.col(rule.column).alias("_key"))
+                .agg(F.count(F.lit(1)).alias("n"))
                 .join(rule.to.select(F.col(rule.field).alias("_key")), "_key", "left_anti")
             )
-            parts.append(_violations(orphans, "relationships", rule.column))
+            total = F.coalesce(F.sum("n"), F.lit(0))
+            parts.append(_violations(orphans, "relationships", rule.column, total))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -89,8 +92,11 @@ def _broken(rule: NotNull | Accepted) -> Column:
     return column.isNotNull() & ~column.isin(*rule.values)
 
 
-def _violations(df: DataFrame, rule: str, column: str) -> DataFrame:
-    return df.groupBy().agg(F.count(F.lit(1)).alias("violations")).select(
+def _violations(
+    df: DataFrame, rule: str, column: str, total: Column | None = None
+) -> DataFrame:
+    total = F.count(F.lit(1)) if total is None else total
+    return df.groupBy().agg(total.alias("violations")).select(
         F.lit(rule).alias("rule"), F.lit(column).alias("column"), "violations"
     )
 

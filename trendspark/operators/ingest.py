@@ -78,7 +78,6 @@ def payload_history(raw: DataFrame) -> DataFrame:
     return number_within(
         first_seen,
         ["native_id"],
-        bucket=F.date_trunc("hour", "first_fetched_at"),
         order=[F.col("first_fetched_at"), F.col("payload_hash")],
         out="version_no",
     )

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from trendspark.operators import spread as splitting
+
 MAX_DIM_ROWS = 10_000
 MAX_DIM_BYTES = 64 * 1024 * 1024
-SALTS = 64
 
 
 class Dimension:
@@ -40,9 +41,9 @@ class Dimension:
     ) -> DataFrame:
         """Join ``fact`` to the dimension on ``on``.
 
-        Beyond the broadcast bound each dimension row is copied ``SALTS`` times
-        and ``fact`` picks one copy by a hash of ``spread``: a value of ``on``
-        that holds most of the rows is joined by ``SALTS`` partitions, not one.
+        Beyond the broadcast bound each dimension row is copied once per salt
+        and ``fact`` picks a copy by a hash of ``spread``: a value of ``on`` that
+        holds most of the rows is joined by many partitions, not one.
         An empty ``spread`` says that ``on`` is unique in ``fact``; then a plain
         join spreads well enough.
         """
@@ -50,10 +51,11 @@ class Dimension:
             return fact.join(F.broadcast(self.df), list(on), how)
         if not spread:
             return fact.join(self.df, list(on), how)
+        salts = splitting.parts(fact)
         copies = self.df.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         )
         salted = fact.withColumn(
-            "_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+            "_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
         )
         return salted.join(copies, [*on, "_salt"], how).drop("_salt")

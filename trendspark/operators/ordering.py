@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trendspark.operators import spread
+from trendspark.session import stored
+
 # Above this many rows per key a ranking is taken in two steps.
 ONE_STEP_LIMIT = 16
-SALTS = 64
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -33,12 +35,12 @@ def top_n_per_group(
 
     A large ``n`` is taken in two steps: first per (key, slice of the input
     partitions), then per key over the survivors. No task then sees more than
-    ``n`` rows of each of its map inputs or ``SALTS * n`` rows of a key, and the
-    result does not depend on how rows were sliced. ``per_row_limit`` tightens
-    ``n`` to a column that is constant within a key.
+    ``n`` rows of each of its map inputs, or ``n`` rows of each slice of a key,
+    and the result does not depend on how rows were sliced. ``per_row_limit``
+    tightens ``n`` to a column that is constant within a key.
     """
     if n > ONE_STEP_LIMIT:
-        df = df.withColumn("_slice", F.spark_partition_id() % SALTS)
+        df = df.withColumn("_slice", F.spark_partition_id() % spread.parts(df))
         w = Window.partitionBy(*keys, "_slice").orderBy(*order)
         df = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
         df = df.drop("_rn", "_slice")
@@ -48,25 +50,29 @@ def top_n_per_group(
 
 
 def number_within(
-    df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column], out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str
 ) -> DataFrame:
-    """``row_number`` per key over an order that ``bucket`` follows.
+    """``row_number`` per key for keys of any size.
 
-    ``bucket`` must not decrease along ``order`` (a truncated timestamp, say).
-    Rows are numbered inside (key, bucket) and shifted by the count of earlier
-    buckets, so a key of any size is never sorted in one task.
+    The rows are cut into ranges of (keys, order), so a hot key spans as many
+    ranges as its size asks for, and are numbered inside each range. Only the
+    first key of a range can have rows in earlier ones: the counts to add are at
+    most one row per range, which is what bounds their broadcast. The ranges
+    come from a sample and are therefore stored before two steps rely on them.
     """
-    df = df.withColumn("_bucket", bucket)
-    sizes = df.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *order)
+    ranged = stored(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = sizes.select(
-        *keys, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
+    offsets = sizes.select(*keys, "_range", F.sum("_n").over(earlier).alias("_before")).filter(
+        "_before > 0"
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
     return (
-        df.join(offsets, [*keys, "_bucket"])
-        .withColumn(out, F.row_number().over(inside) + F.col("_offset"))
-        .drop("_bucket", "_offset")
+        ranged.withColumn("_rn", F.row_number().over(inside))
+        .join(F.broadcast(offsets), [*keys, "_range"], "left")
+        .withColumn(out, F.col("_rn") + F.coalesce("_before", F.lit(0)))
+        .drop("_range", "_rn", "_before")
     )

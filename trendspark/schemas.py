@@ -47,6 +47,20 @@ METRIC_DAILY = """
     doc_id string, metric_date date, score int, comments int, observed_at timestamp
 """
 
+DOCUMENT_SCORE = """
+    doc_id string, source string, title string, url string, published_at timestamp,
+    best_interest string, best_interest_label string, affinity double, age_hours bigint,
+    recency_decay double, engagement_boost double, velocity_per_day double,
+    engagement_score int, score double, scored_at timestamp
+"""
+
+DISPATCH = """
+    dispatch_id string, digest_date date, doc_id string, source string, title string,
+    url string, published_at timestamp, best_interest_label string, affinity double,
+    recency_decay double, engagement_boost double, score double, rank_in_source int,
+    selected_at timestamp
+"""
+
 ALERT = """
     alert_id string, check_name string, check_date date, source_name string,
     severity string, observed_value double, expected_value double,

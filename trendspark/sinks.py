@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trendspark import schemas
 from trendspark.operators.documents import upsert
 from trendspark.operators.ingest import committed_rows
+from trendspark.session import configure
 
 TABLES = {
     "raw_item": schemas.RAW_ITEM,
@@ -28,6 +29,8 @@ TABLES = {
     "delivery": schemas.DELIVERY,
     "document": schemas.DOCUMENT,
     "metric_daily": schemas.METRIC_DAILY,
+    "document_score": schemas.DOCUMENT_SCORE,
+    "digest_dispatch": schemas.DISPATCH,
     "alert": schemas.ALERT,
     "check_result": schemas.CHECK_RESULT,
 }
@@ -37,7 +40,7 @@ BUCKETS = 64
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark = spark
+        self.spark = configure(spark)
         self.root = root.rstrip("/")
         # Hash buckets of the merged tables; about one output file's worth of
         # rows per bucket is a good size. Fixed for the life of a table.
@@ -48,12 +51,11 @@ class Lake:
 
     def read(self, table: str) -> DataFrame:
         """A table with its declared schema; empty before the first write."""
-        schema = TABLES.get(table)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        schema = TABLES[table]
         try:
-            return reader.parquet(self.path(table))
+            return self.spark.read.schema(schema).parquet(self.path(table))
         except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND" or schema is None:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 

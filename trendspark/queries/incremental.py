@@ -246,16 +246,24 @@ def version_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_last_metric(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.daily_last(b.observations(b.raw_items(spark, sf)))
+    daily = metrics.daily_last(b.observations(b.raw_items(spark, sf)))
+    return daily.withColumns(
+        {
+            "comments": F.col("comments").cast("double"),
+            "metric_date": F.col("metric_date").cast("string"),
+        }
+    )
 
 
 def metric_daily_delta(spark: SparkSession, sf: str) -> DataFrame:
     daily = metrics.daily_last(b.observations(b.raw_items(spark, sf)))
-    return metrics.daily_delta(daily).select("doc_id", "metric_date", "score", "observed_delta")
+    delta = F.col("observed_delta").cast("double").alias("observed_delta")
+    return metrics.daily_delta(daily).select("doc_id", "metric_date", "score", delta)
 
 
 def metric_delta(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.latest_delta(metrics.daily_last(b.observations(b.raw_items(spark, sf))))
+    latest = metrics.latest_delta(metrics.daily_last(b.observations(b.raw_items(spark, sf))))
+    return latest.withColumn("observed_delta", F.col("observed_delta").cast("double"))
 
 
 def velocity(spark: SparkSession, sf: str) -> DataFrame:
@@ -492,9 +500,22 @@ ORACLE = {
                CASE WHEN source <> 'src0' THEN 'v' || substr(source, 4) END AS version
         FROM documents
     """,
-    "daily_last_metric": oracle(["metric_daily"], "SELECT * FROM metric_daily"),
-    "metric_daily_delta": oracle(["metric_delta"], "SELECT * FROM metric_delta"),
-    "metric_delta": oracle(["metric_latest"], "SELECT * FROM metric_latest"),
+    "daily_last_metric": oracle(
+        ["metric_daily"],
+        """
+        SELECT * REPLACE (CAST(comments AS DOUBLE) AS comments,
+                          CAST(metric_date AS VARCHAR) AS metric_date)
+        FROM metric_daily
+        """,
+    ),
+    "metric_daily_delta": oracle(
+        ["metric_delta"],
+        "SELECT * REPLACE (CAST(observed_delta AS DOUBLE) AS observed_delta) FROM metric_delta",
+    ),
+    "metric_delta": oracle(
+        ["metric_latest"],
+        "SELECT * REPLACE (CAST(observed_delta AS DOUBLE) AS observed_delta) FROM metric_latest",
+    ),
     "velocity": oracle(
         ["velocity"], "SELECT doc_id, round(velocity_per_day, 6) AS velocity_per_day FROM velocity"
     ),

@@ -133,13 +133,17 @@ def message_blocks(spark: SparkSession, sf: str) -> DataFrame:
     warnings = quality.check_duplicate(docs).select(
         F.lit(1).alias("line_no"), F.col("detail").alias("text")
     )
-    return digest.message_blocks(rendered, warnings, "digest", b.AS_OF)
+    blocks = digest.message_blocks(rendered, warnings, "digest", b.AS_OF)
+    return blocks.withColumn("rank_in_source", F.col("rank_in_source").cast("double"))
 
 
 def summary_eligibility(spark: SparkSession, sf: str) -> DataFrame:
     eligible = digest.summary_eligibility(b.documents(spark, sf))
     return eligible.select(
-        "doc_id", "body_chars", "status", F.length("prompt_body").alias("prompt_chars")
+        "doc_id",
+        "body_chars",
+        "status",
+        F.length("prompt_body").cast("double").alias("prompt_chars"),
     )
 
 
@@ -273,7 +277,7 @@ ORACLE = {
     "message_blocks": oracle(
         ["pending"],
         f"""
-        SELECT 0 AS part, NULL AS source, NULL AS rank_in_source, 0 AS block, 'header' AS type,
+        SELECT 0 AS part, NULL AS source, CAST(NULL AS DOUBLE) AS rank_in_source, 0 AS block, 'header' AS type,
                'digest · {b.AS_OF[:10]}' AS text
         WHERE EXISTS (SELECT 1 FROM pending)
         UNION ALL
@@ -294,7 +298,8 @@ ORACLE = {
         f"""
         SELECT doc_id, body_chars,
                CASE WHEN body_chars >= 200 THEN 'eligible' ELSE 'too_short' END AS status,
-               CASE WHEN body_chars >= 200 THEN least(length(body), 3000) END AS prompt_chars
+               CAST(CASE WHEN body_chars >= 200 THEN least(length(body), 3000) END AS DOUBLE)
+                   AS prompt_chars
         FROM (SELECT *, {_BODY_CHARS} AS body_chars FROM doc)
         """,
     ),

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from trendspark import messages
 from trendspark.operators import digest, joins, ranking
 from trendspark.plans.build import open_items, record_delivery
 
@@ -204,7 +205,7 @@ def test_tally_warns_only_if_every_attempt_failed(spark):
         return digest.tally(df).first()
 
     assert tuple(tally("summarized", "failed", "skipped")) == (3, 1, 1, 1, None)
-    assert tally("failed", "skipped").warning == digest.SUMMARY_FAILED
+    assert tally("failed", "skipped").warning == messages.SUMMARY_FAILED
     assert tally("skipped").warning is None
     assert tally().items == 0
 

@@ -6,14 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trendspark import messages as say
 from trendspark.functions.timeutil import as_of_column, hours_between
 
 COOLDOWN_HOURS = 20
 MAX_LISTED = 5
 
-# Severities that are announced, in order, and their wording.
-SEVERITY_LABELS = {"critical": "심각", "warn": "경고"}
-
 
 def alert_dispatch(
     results: DataFrame,
@@ -29,7 +27,7 @@ def alert_dispatch(
     now = as_of_column(as_of)
     key = ["check_name", "source_name", "severity"]
     last = sent.groupBy(*key).agg(F.max("alerted_at").alias("_last"))
-    findings = results.filter(F.col("status").isin(*SEVERITY_LABELS)).withColumnRenamed(
+    findings = results.filter(F.col("status").isin(*say.SEVERITY_LABELS)).withColumnRenamed(
         "status", "severity"
     )
     due = F.col("_last").isNull() | (hours_between(F.col("_last"), now) >= cooldown_hours)
@@ -80,19 +78,16 @@ def warning_lines(
         F.col("detail").asc_nulls_last(),
         F.col("severity"),
     ]
-    labels = F.create_map(*[F.lit(x) for pair in SEVERITY_LABELS.items() for x in pair])
+    labels = F.create_map(*[F.lit(x) for pair in say.SEVERITY_LABELS.items() for x in pair])
     # The limit leaves a handful of rows, so numbering them in one task is fine.
     listed = todays.orderBy(*by_urgency).limit(max_listed).select(
         F.row_number().over(Window.orderBy(*by_urgency)).alias("line_no"),
-        F.concat(
-            F.lit("["),
-            F.coalesce(F.try_element_at(labels, F.col("severity")), F.col("severity")),
-            F.lit("] "),
-            F.col("check_name"),
-            F.lit(" · "),
-            F.col("source_name"),
-            F.lit(" — "),
-            F.col("detail"),
+        say.fill(
+            say.WARNING,
+            severity=F.coalesce(F.try_element_at(labels, F.col("severity")), F.col("severity")),
+            check=F.col("check_name"),
+            source=F.col("source_name"),
+            detail=F.col("detail"),
         ).alias("text"),
     )
     overflow = (
@@ -101,9 +96,9 @@ def warning_lines(
         .filter(F.col("n") > max_listed)
         .select(
             F.lit(max_listed + 1).alias("line_no"),
-            F.concat(
-                F.lit("…외 "), (F.col("n") - max_listed).cast("string"), F.lit(f"건{hint}")
-            ).alias("text"),
+            say.fill(say.MORE_WARNINGS + "{hint}", n=F.col("n") - max_listed, hint=F.lit(hint)).alias(
+                "text"
+            ),
         )
     )
     undecided = (
@@ -115,11 +110,7 @@ def warning_lines(
         .filter(F.col("n") > 0)
         .select(
             F.lit(max_listed + 2).alias("line_no"),
-            F.concat(
-                F.lit("판정 불가 "),
-                F.col("n").cast("string"),
-                F.lit("건 (기준선 미확보 — 이력이 쌓이면 자동 해소)"),
-            ).alias("text"),
+            say.fill(say.UNDECIDED, n=F.col("n")).alias("text"),
         )
     )
     return listed.unionByName(overflow).unionByName(undecided)

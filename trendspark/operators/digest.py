@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trendspark import messages as say
 from trendspark.functions.text import collapse, escape_link_label, escape_markup, strip
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators.joins import Dimension
@@ -18,11 +19,6 @@ MIN_BODY_CHARS = 200
 PROMPT_CHARS = 3000
 DISPLAY_ZONE = "Asia/Seoul"
 
-# Wording of the rendered message.
-SOURCE_LABELS = {"arxiv": "논문", "hackernews": "HN", "github": "GitHub"}
-NO_BODY = "_(본문 없음 — 링크 참고)_"
-SUMMARY_FAILED = "요약 생성 실패 — 원문으로 대체했습니다."
-
 
 def dispatch(
     scores: DataFrame,
@@ -142,7 +138,7 @@ def fallback_excerpt(body: Column, limit: int = EXCERPT_CHARS) -> Column:
     cut = F.concat(
         F.substring(text, 1, limit), F.when(F.length(text) > limit, "…").otherwise("")
     )
-    return F.when(text == "", NO_BODY).otherwise(cut)
+    return F.when(text == "", say.NO_BODY).otherwise(cut)
 
 
 def render(
@@ -157,30 +153,24 @@ def render(
     Uses the ``summary`` column where present and non-empty, else an excerpt of
     the body. The link target is not escaped, its label is.
     """
-    labels = SOURCE_LABELS if labels is None else labels
+    labels = say.SOURCE_LABELS if labels is None else labels
     known = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
     excerpt = fallback_excerpt(F.col("body"), excerpt_chars)
     if "summary" in items.columns:
         excerpt = F.coalesce(F.nullif(F.col("summary"), F.lit("")), excerpt)
     local_time = F.date_format(F.from_utc_timestamp("published_at", zone), "MM-dd HH:mm")
-    section = F.concat(
-        F.lit("*<"),
-        F.col("url"),
-        F.lit("|"),
-        escape_link_label(F.col("title")),
-        F.lit(">*\n"),
-        escape_markup(excerpt),
+    section = say.fill(
+        say.ITEM_SECTION,
+        url=F.col("url"),
+        title=escape_link_label(F.col("title")),
+        summary=escape_markup(excerpt),
     )
-    context = F.concat(
-        F.lit("`"),
-        F.coalesce(F.try_element_at(known, F.col("source")), F.col("source")),
-        F.lit("` · "),
-        escape_markup(F.col("best_interest_label")),
-        F.lit(" · 관심도 "),
-        F.format_string("%.2f", F.col("affinity")),
-        F.lit(" · "),
-        local_time,
-        F.lit(f" {zone_label}"),
+    context = say.fill(
+        say.ITEM_CONTEXT,
+        source=F.coalesce(F.try_element_at(known, F.col("source")), F.col("source")),
+        label=escape_markup(F.col("best_interest_label")),
+        affinity=F.format_string("%.2f", F.col("affinity")),
+        time=F.concat(local_time, F.lit(f" {zone_label}")),
     )
     return items.withColumn("section", section).withColumn("context", context)
 
@@ -213,7 +203,7 @@ def message_blocks(
     banner = warnings.groupBy().agg(
         F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("lines")
     )
-    marked = F.transform("lines", lambda line: F.concat(F.lit("⚠️ "), line["text"]))
+    marked = F.transform("lines", lambda line: F.concat(F.lit(say.BANNER_MARK), line["text"]))
     notice = single(
         banner.filter(F.size("lines") > 0).join(present, F.lit(True), "left_semi"),
         1,
@@ -265,4 +255,4 @@ def tally(items: DataFrame) -> DataFrame:
         F.count(F.when(status == "skipped", 1)).alias("skipped"),
     )
     all_failed = (F.col("failed") > 0) & (F.col("failed") == F.col("items") - F.col("skipped"))
-    return counted.withColumn("warning", F.when(all_failed, SUMMARY_FAILED))
+    return counted.withColumn("warning", F.when(all_failed, say.SUMMARY_FAILED))

@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from trendspark import messages as say
 from trendspark.functions.timeutil import as_of_column, day_type, hours_between
 from trendspark.operators.ordering import latest_per_key
 
@@ -21,9 +22,6 @@ FRESH_WARN_HOURS = 26
 FRESH_CRITICAL_HOURS = 48
 DOMINATION_RATIO = 0.40
 
-# Fixed value: source_name of checks that are not about one source.
-ALL_SOURCES = "(전체)"
-
 
 def last_run_per_day(run_log: DataFrame) -> DataFrame:
     """The day's result of a source is its last run of that day."""
@@ -71,9 +69,9 @@ def check_ingest_error(state: DataFrame, latest: DataFrame) -> DataFrame:
         .otherwise("ok"),
         fails,
         0.0,
-        F.when(fails > 0, F.concat(F.lit("연속 실패 "), fails.cast("string"), F.lit("회")))
-        .when(failed_last, F.coalesce(F.col("error_msg"), F.lit("수집 실패")))
-        .otherwise("정상"),
+        F.when(fails > 0, say.fill(say.FAILS_IN_A_ROW, n=fails))
+        .when(failed_last, F.coalesce(F.col("error_msg"), F.lit(say.FETCH_FAILED)))
+        .otherwise(say.NORMAL),
     )
 
 
@@ -87,9 +85,7 @@ def check_volume_zero(latest: DataFrame) -> DataFrame:
         F.when(silent, "critical").otherwise("ok"),
         fetched,
         None,
-        F.when(silent, "성공으로 기록됐으나 수신 0건 — 조용한 중단").otherwise(
-            F.concat(F.lit("수신 "), fetched.cast("string"), F.lit("건"))
-        ),
+        F.when(silent, say.SILENT_STOP).otherwise(say.fill(say.RECEIVED, n=fetched)),
     )
 
 
@@ -109,8 +105,8 @@ def check_freshness(
         .otherwise("ok"),
         hours,
         float(warn_hours),
-        F.when(F.col("last_success_at").isNull(), "성공 이력 없음").otherwise(
-            F.concat(F.lit("마지막 성공 "), hours.cast("string"), F.lit("시간 전"))
+        F.when(F.col("last_success_at").isNull(), say.NEVER_SUCCEEDED).otherwise(
+            say.fill(say.LAST_SUCCESS, hours=hours)
         ),
     )
 
@@ -137,11 +133,9 @@ def check_watermark_stall(daily_runs: DataFrame) -> DataFrame:
         F.when(runs < 2, "insufficient_data").when(stuck, "warn").otherwise("ok"),
         runs,
         None,
-        F.when(
-            runs < 2, F.concat(F.lit("실행 "), runs.cast("string"), F.lit("회 — 판정 불가"))
-        )
-        .when(stuck, "커서 미전진 + 신규 0건 — 무증상 정체 의심")
-        .otherwise("커서 정상 전진"),
+        F.when(runs < 2, say.fill(say.TOO_FEW_RUNS, n=runs))
+        .when(stuck, say.CURSOR_STUCK)
+        .otherwise(say.CURSOR_MOVES),
     )
 
 
@@ -199,20 +193,13 @@ def check_volume_drop(
         F.col("baseline_median"),
         F.when(
             few,
-            F.concat(
-                F.lit("동일 요일유형 관측 "),
-                F.col("baseline_n").cast("string"),
-                F.lit(f"일 — 기준선 부족(최소 {min_observations}일)"),
-            ),
+            say.fill(say.NO_BASELINE, n=F.col("baseline_n"), least=F.lit(min_observations)),
         ).otherwise(
-            F.concat(
-                F.lit("신규 "),
-                F.col("rows_new").cast("string"),
-                F.lit("건 ("),
-                F.col("day_type"),
-                F.lit(" 중앙값 "),
-                F.col("baseline_median").cast("string"),
-                F.lit(")"),
+            say.fill(
+                say.VOLUME,
+                n=F.col("rows_new"),
+                day_type=F.col("day_type"),
+                median=F.col("baseline_median"),
             )
         ),
     )
@@ -254,13 +241,8 @@ def check_topic_domination(
         F.when(share > ratio, "warn").otherwise("ok"),
         F.round(share, 3),
         ratio,
-        F.concat(
-            F.col("label"),
-            F.lit(" 토픽이 "),
-            F.round(share * 100, 1).cast("string"),
-            F.lit("% 차지"),
-        ),
-        source=F.lit(ALL_SOURCES),
+        say.fill(say.TOPIC_SHARE, label=F.col("label"), percent=F.round(share * 100, 1)),
+        source=F.lit(say.ALL_SOURCES),
     )
 
 
@@ -288,11 +270,8 @@ def check_duplicate(docs: DataFrame) -> DataFrame:
         F.when(n > 0, "warn").otherwise("ok"),
         n,
         0.0,
-        F.when(
-            n > 0,
-            F.concat(F.lit("제목이 같은 서로 다른 문서 "), n.cast("string"), F.lit("쌍")),
-        ).otherwise("중복 없음"),
-        source=F.lit(ALL_SOURCES),
+        F.when(n > 0, say.fill(say.SAME_TITLES, n=n)).otherwise(say.NO_DUPLICATES),
+        source=F.lit(say.ALL_SOURCES),
     )
 
 

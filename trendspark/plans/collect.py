@@ -11,14 +11,12 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
+from trendspark import messages as say
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators import ingest
 from trendspark.operators.joins import Dimension
 from trendspark.sinks import Lake
 
-# Run-log messages.
-STALLED = "커서 정체: 런 용량 < 동일 시각 항목 수"
-
 
 def collect_by_cursor(
     lake: Lake,
@@ -78,7 +76,7 @@ def collect_by_cursor(
                 F.coalesce("rows_new", F.lit(0)).alias("rows_new"),
                 F.col("cursor_ts").alias("watermark_before"),
                 F.greatest("cursor_ts", "next_cursor").alias("watermark_after"),
-                F.when(F.col("stalled"), STALLED).alias("error_msg"),
+                F.when(F.col("stalled"), say.CURSOR_STALLED).alias("error_msg"),
             )
         )
         if failed is not None:
@@ -128,9 +126,7 @@ def collect_full(
             F.coalesce("rows_new", F.lit(0)).alias("rows_new"),
             none.alias("watermark_before"),
             none.alias("watermark_after"),
-            F.when(
-                failed > 0, F.concat(F.lit("item "), failed.cast("string"), F.lit("건 실패"))
-            ).alias("error_msg"),
+            F.when(failed > 0, say.fill(say.ITEMS_FAILED, n=failed)).alias("error_msg"),
         )
         lake.append("run_log", log)
     finally:

@@ -96,9 +96,9 @@ def warning_lines(
         .filter(F.col("n") > max_listed)
         .select(
             F.lit(max_listed + 1).alias("line_no"),
-            say.fill(say.MORE_WARNINGS + "{hint}", n=F.col("n") - max_listed, hint=F.lit(hint)).alias(
-                "text"
-            ),
+            F.concat(
+                say.fill(say.MORE_WARNINGS, n=F.col("n") - max_listed), F.lit(hint)
+            ).alias("text"),
         )
     )
     undecided = (

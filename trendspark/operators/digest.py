@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from trendspark import messages as say
 from trendspark.functions.text import collapse, escape_link_label, escape_markup, strip
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators.joins import Dimension
-from trendspark.operators.ordering import top_n_per_group
-from trendspark.operators.spread import parts
+from trendspark.operators.ordering import number_within, top_n_per_group
 
 AFFINITY_FLOOR = 0.45
 EXCERPT_CHARS = 220
@@ -51,7 +50,8 @@ def dispatch(
             with_quota, ["source"], order, largest, "rank_in_source", per_row_limit=quota
         )
     else:
-        chosen = _quota_by_hash(with_quota, order, quota)
+        ranked = number_within(with_quota, ["source"], order, "rank_in_source")
+        chosen = ranked.filter(F.col("rank_in_source") <= quota)
     return chosen.select(
         F.concat(F.to_date(now).cast("string"), F.lit(":"), F.col("doc_id")).alias("dispatch_id"),
         F.to_date(now).alias("digest_date"),
@@ -65,22 +65,11 @@ def dispatch(
         "recency_decay",
         "engagement_boost",
         "score",
-        "rank_in_source",
+        F.col("rank_in_source").cast("int").alias("rank_in_source"),
         now.alias("selected_at"),
     )
 
 
-def _quota_by_hash(df: DataFrame, order: list[Column], quota: Column) -> DataFrame:
-    # Quotas of unknown size: rank inside hashed slices of a source first.
-    slices = F.pmod(F.xxhash64("doc_id"), F.lit(parts(df)))
-    sliced = Window.partitionBy("source", slices).orderBy(*order)
-    whole = Window.partitionBy("source").orderBy(*order)
-    df = df.withColumn("_rn", F.row_number().over(sliced)).filter(F.col("_rn") <= quota)
-    return df.withColumn("rank_in_source", F.row_number().over(whole)).filter(
-        F.col("rank_in_source") <= quota
-    )
-
-
 def pending_items(
     dispatched: DataFrame, docs: DataFrame, delivery: DataFrame, as_of: datetime | str | Column
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from trendspark.operators import spread as splitting
+from trendspark.operators.spread import parts
 
 MAX_DIM_ROWS = 10_000
 MAX_DIM_BYTES = 64 * 1024 * 1024
@@ -51,7 +51,7 @@ class Dimension:
             return fact.join(F.broadcast(self.df), list(on), how)
         if not spread:
             return fact.join(self.df, list(on), how)
-        salts = splitting.parts(fact)
+        salts = parts(fact)
         copies = self.df.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
         )

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendspark.operators import spread
+from trendspark.operators.spread import parts
 from trendspark.session import stored
 
 # Above this many rows per key a ranking is taken in two steps.
 ONE_STEP_LIMIT = 16
+# Above this many they are no longer gathered per key at all.
+GATHER_LIMIT = 100_000
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -36,16 +38,21 @@ def top_n_per_group(
     A large ``n`` is taken in two steps: first per (key, slice of the input
     partitions), then per key over the survivors. No task then sees more than
     ``n`` rows of each of its map inputs, or ``n`` rows of each slice of a key,
-    and the result does not depend on how rows were sliced. ``per_row_limit``
+    and the result does not depend on how rows were sliced. Beyond
+    ``GATHER_LIMIT`` the rows are numbered in ranges instead. ``per_row_limit``
     tightens ``n`` to a column that is constant within a key.
     """
-    if n > ONE_STEP_LIMIT:
-        df = df.withColumn("_slice", F.spark_partition_id() % spread.parts(df))
-        w = Window.partitionBy(*keys, "_slice").orderBy(*order)
-        df = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-        df = df.drop("_rn", "_slice")
-    w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
+    if n > GATHER_LIMIT:
+        ranked = number_within(df, keys, order, rank_col)
+    else:
+        if n > ONE_STEP_LIMIT:
+            df = df.withColumn("_slice", F.spark_partition_id() % parts(df))
+            w = Window.partitionBy(*keys, "_slice").orderBy(*order)
+            df = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+            df = df.drop("_rn", "_slice")
+        w = Window.partitionBy(*keys).orderBy(*order)
+        ranked = df.withColumn(rank_col, F.row_number().over(w))
+    ranked = ranked.filter(F.col(rank_col) <= n)
     return ranked if per_row_limit is None else ranked.filter(F.col(rank_col) <= per_row_limit)
 
 

@@ -273,12 +273,14 @@ ORACLE = {
         FROM pending
         """,
     ),
-    "render_digest": oracle(["pending"], f"SELECT dispatch_id, section, context FROM ({_RENDERED})"),
+    "render_digest": oracle(
+        ["pending"], f"SELECT dispatch_id, section, context FROM ({_RENDERED})"
+    ),
     "message_blocks": oracle(
         ["pending"],
         f"""
-        SELECT 0 AS part, NULL AS source, CAST(NULL AS DOUBLE) AS rank_in_source, 0 AS block, 'header' AS type,
-               'digest · {b.AS_OF[:10]}' AS text
+        SELECT 0 AS part, NULL AS source, CAST(NULL AS DOUBLE) AS rank_in_source, 0 AS block,
+               'header' AS type, 'digest · {b.AS_OF[:10]}' AS text
         WHERE EXISTS (SELECT 1 FROM pending)
         UNION ALL
         SELECT 1, NULL, NULL, 0, 'section',

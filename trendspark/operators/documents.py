@@ -95,30 +95,34 @@ def unify(*staged: DataFrame) -> DataFrame:
     return union.withColumn("content_hash", content_hash(F.col("title"), F.col("body")))
 
 
-def lookback(
-    df: DataFrame,
+def lookback_bound(
     target: DataFrame,
     days: timedelta = LOOKBACK,
-    column: str = "fetched_at",
     target_column: str = "fetched_at",
     whole_days: bool = False,
-) -> DataFrame:
-    """Rows fetched after the target's newest row less a margin.
+) -> Column:
+    """The fetch time after which stored rows are processed again.
 
-    The bound is on fetch time: an old item that surfaced today must pass. It is
-    a scalar subquery, so the scan gets it as a pushed filter. An empty target
-    passes everything since 1970. ``whole_days`` moves the bound to midnight, for
-    results grouped by day.
-
-    Applied to stored revisions before ``latest_revision`` it keeps the outcome:
-    the newest revision of an item is inside the lookback if any revision is.
+    The target's newest row less a margin, 1970 for an empty target, as a scalar
+    subquery. ``whole_days`` moves it to just before midnight, for results that
+    are grouped by day.
     """
     newest = F.coalesce(F.max(target_column), F.timestamp_seconds(F.lit(0)))
     bound = newest - F.lit(days)
     if whole_days:
-        midnight = target.groupBy().agg(F.date_trunc("day", bound).alias("bound"))
-        return df.filter(F.col(column) >= midnight.scalar())
-    return df.filter(F.col(column) > target.groupBy().agg(bound.alias("bound")).scalar())
+        bound = F.date_trunc("day", bound) - F.expr("interval 1 microsecond")
+    return target.groupBy().agg(bound.alias("bound")).scalar()
+
+
+def lookback(df: DataFrame, target: DataFrame, column: str = "fetched_at", **options) -> DataFrame:
+    """Rows fetched after ``lookback_bound``.
+
+    The bound is on fetch time: an old item that surfaced today must pass. The
+    scan gets it as a pushed filter. Applied to stored revisions before
+    ``latest_revision`` it keeps the outcome: the newest revision of an item is
+    inside the lookback if any revision is.
+    """
+    return df.filter(F.col(column) > lookback_bound(target, **options))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -19,17 +19,19 @@ def refresh_documents(lake: Lake) -> None:
     The first run and later runs share this plan; an empty table only moves
     the lookback to 1970.
     """
-    raw = documents.lookback(lake.raw_items(), lake.read("document"))
+    bound = documents.lookback_bound(lake.read("document"))
+    raw = lake.raw_items(fetched_after=bound)
     docs = documents.unify(documents.parse_feed(raw), documents.parse_items(raw))
     lake.write_upsert("document", docs, ["doc_id"])
 
 
 def refresh_metrics(lake: Lake) -> None:
     """Merge the daily observations of every day in the lookback, day by day whole."""
-    raw = documents.lookback(
-        lake.raw_items(), lake.read("metric_daily"), target_column="observed_at", whole_days=True
+    bound = documents.lookback_bound(
+        lake.read("metric_daily"), target_column="observed_at", whole_days=True
     )
-    daily = metrics.daily_last(metrics.item_observations(raw))
+    observations = metrics.item_observations(lake.raw_items(fetched_after=bound))
+    daily = metrics.daily_last(observations)
     lake.write_upsert("metric_daily", daily, ["doc_id", "metric_date"])
 
 

@@ -14,7 +14,7 @@ from urllib.parse import quote
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendspark import schemas
 from trendspark.operators.documents import upsert
@@ -49,25 +49,37 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def columns(self, table: str) -> list[str]:
+        return self.spark.createDataFrame([], TABLES[table]).columns
+
     def read(self, table: str) -> DataFrame:
         """A table with its declared schema; empty before the first write."""
         schema = TABLES[table]
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
+            stored = self.spark.read.schema(schema).parquet(self.path(table))
+            # Without the bucket folders of merged tables.
+            return stored.select(*self.columns(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def raw_items(self, except_run: str | None = None) -> DataFrame:
+    def raw_items(
+        self, except_run: str | None = None, fetched_after: Column | None = None
+    ) -> DataFrame:
         """Rows of committed runs only.
 
         ``except_run`` prunes the folder of a run that is about to be replaced.
+        ``fetched_after`` keeps later rows; a run ends no earlier than its rows
+        were fetched, so the run log prunes the folders of earlier runs.
         """
-        stored = self.read("raw_item")
+        stored, log = self.read("raw_item"), self.read("run_log")
         if except_run is not None:
             stored = stored.filter(F.col("run_id") != except_run)
-        return committed_rows(stored, self.read("run_log"))
+        if fetched_after is not None:
+            stored = stored.filter(F.col("fetched_at") > fetched_after)
+            log = log.filter(F.col("ended_at") > fetched_after)
+        return committed_rows(stored, log)
 
     def logged(self, run_id: str) -> bool:
         return not self.read("run_log").filter(F.col("run_id") == run_id).limit(1).isEmpty()
@@ -81,8 +93,7 @@ class Lake:
         rows.drop("run_id").hint("rebalance").write.mode("overwrite").parquet(folder)
 
     def append(self, table: str, rows: DataFrame) -> None:
-        columns = self.spark.createDataFrame([], TABLES[table]).columns
-        rows.select(*columns).hint("rebalance").write.mode("append").parquet(self.path(table))
+        rows.select(*self.columns(table)).hint("rebalance").write.mode("append").parquet(self.path(table))
 
     def overwrite(self, table: str, rows: DataFrame) -> None:
         """Full refresh of a table that ``rows`` does not read."""
@@ -115,8 +126,7 @@ class Lake:
         """
         bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
         schema = TABLES[table]
-        columns = self.spark.createDataFrame([], schema).columns
-        source = source.select(*columns).withColumn("bucket", bucket)
+        source = source.select(*self.columns(table)).withColumn("bucket", bucket)
         source = source.persist(StorageLevel.DISK_ONLY)
         try:
             touched = [r["bucket"] for r in source.select("bucket").distinct().collect()]

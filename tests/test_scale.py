@@ -162,3 +162,23 @@ def test_payload_versions_of_a_hot_item(spark):
         ordered = sorted((t, h) for (i, h), t in first.items() if i == item)
         expected.update({(item, h): n + 1 for n, (_, h) in enumerate(ordered)})
     assert {(r.native_id, r.payload_hash): r.version_no for r in got.collect()} == expected
+
+
+def test_a_small_batch_does_not_shuffle_the_stored_keys(spark, tmp_path, monkeypatch):
+    staged(spark, [(str(i), "h", i, "x") for i in range(300)]).write.parquet(
+        f"{tmp_path}/stored"
+    )
+    stored = spark.read.schema(RAW_ITEM).parquet(f"{tmp_path}/stored")
+    batch = staged(spark, [("7", "h", 7, "y"), ("7", "h", 8, "y"), ("7", "new", 1, "y")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = ingest.known_keys(stored, batch)
+        assert known.count() == 1
+        assert "Exchange hashpartitioning" not in plan(known)
+        new = ingest.idempotent_rows(batch, known).collect()
+        monkeypatch.setattr(ingest, "MAX_BATCH_KEYS", 1)
+        assert ingest.known_keys(stored, batch).count() == 300
+        again = ingest.idempotent_rows(batch, ingest.known_keys(stored, batch)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    assert [r.payload_hash for r in new] == [r.payload_hash for r in again] == ["new"]

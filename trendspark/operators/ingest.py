@@ -17,6 +17,8 @@ SAFETY_LAG = timedelta(minutes=15)
 OVERLAP = timedelta(days=2)
 COLD_START = timedelta(days=7)
 CAPACITY = 1000
+# Up to this many keys (and the byte bound of a dimension) a batch is broadcast.
+MAX_BATCH_KEYS = 500_000
 
 # A stalled run did land its rows and counts as a success for its source.
 COMMITTED = ("ok", "stalled")
@@ -64,6 +66,20 @@ def same_event_times(committed: DataFrame, staged: DataFrame) -> DataFrame:
     return committed.filter(ts.isNull() | inside)
 
 
+def known_keys(
+    committed: DataFrame, staged: DataFrame, key: Sequence[str] = tuple(RAW_ITEM_KEY)
+) -> DataFrame:
+    """Committed keys, cut to those of a small staged batch.
+
+    A batch whose keys are measured small is broadcast, so a large table is
+    scanned for its key columns but not shuffled. A larger batch leaves the
+    cut to the join that follows. ``staged`` is read once more; persist it.
+    """
+    keys = Dimension(staged.select(*key), max_rows=MAX_BATCH_KEYS)
+    stored = committed.select(*key)
+    return keys.join(stored, key, spread=(), how="left_semi") if keys.small else stored
+
+
 def committed_rows(raw: DataFrame, run_log: DataFrame) -> DataFrame:
     """Rows of runs that reached the run log; rows of a crashed run stay hidden."""
     done = run_log.filter(F.col("status").isin(*COMMITTED)).select("run_id", "source_name")

@@ -150,7 +150,8 @@ def _land(lake: Lake, staged: DataFrame, run_id: str, event_time_in_payload: boo
     committed = lake.raw_items(except_run=run_id)
     if event_time_in_payload:
         committed = ingest.same_event_times(committed, staged)
-    fresh = ingest.idempotent_rows(staged.select(*columns), committed)
+    known = ingest.known_keys(committed, staged)
+    fresh = ingest.idempotent_rows(staged.select(*columns), known)
     lake.write_run(fresh, run_id)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trendspark.operators.ingest import idempotent_rows, same_event_times
+from trendspark.operators.ingest import idempotent_rows, known_keys, same_event_times
 from trendspark.schemas import RAW_ITEM
 from trendspark.sinks import Lake
 
@@ -43,7 +43,7 @@ def ingest_stream(
             committed = lake.raw_items(except_run=run_id)
             if event_time_in_payload:
                 committed = same_event_times(committed, batch)
-            fresh = idempotent_rows(batch, committed)
+            fresh = idempotent_rows(batch, known_keys(committed, batch))
             lake.write_run(fresh, run_id)
             written = lake.read("raw_item").filter(F.col("run_id") == run_id)
             lake.append("run_log", _log_rows(batch, written, run_id))

@@ -117,28 +117,46 @@ def test_incremental_documents_equal_a_full_build(spark, tmp_path):
     assert read(step) == read(full)
 
 
-def test_upsert_touches_only_its_buckets(spark, lake):
+def test_upsert_rewrites_only_the_touched_buckets(spark, lake):
+    schema = lake.read("document").schema
+    blank = {f.name: None for f in schema.fields}
+
+    def put(*rows):
+        data = [tuple({**blank, "doc_id": i, "title": t}.values()) for i, t in rows]
+        lake.write_upsert("document", spark.createDataFrame(data, schema), ["doc_id"])
+
+    put(*[(str(i), f"t{i}") for i in range(40)])
+    before = _files(lake, "document")
+    put(("7", "changed"))
+    rows = {r.doc_id: r.title for r in lake.read("document").collect()}
+    assert len(rows) == 40 and rows["7"] == "changed" and rows["8"] == "t8"
+    assert len(_rewritten(before, _files(lake, "document"))) == 1
+    assert "bucket" not in lake.read("document").columns
+
+
+def test_metrics_rewrite_only_the_touched_days(spark, lake):
     schema = "doc_id string, metric_date date, score int, comments int, observed_at timestamp"
-    first = spark.createDataFrame(
-        [(str(i), date(2026, 3, 1), i, 0, T0) for i in range(40)], schema
-    )
-    lake.write_upsert("metric_daily", first, ["doc_id", "metric_date"])
-    before = {r.path: r.t for r in _files(lake)}
-    changed = spark.createDataFrame([("7", date(2026, 3, 1), 700, 1, T0)], schema)
-    lake.write_upsert("metric_daily", changed, ["doc_id", "metric_date"])
-    rows = {r.doc_id: r.score for r in lake.read("metric_daily").collect()}
-    assert len(rows) == 40 and rows["7"] == 700 and rows["8"] == 8
-    after = {r.path: r.t for r in _files(lake)}
-    untouched = {p for p in before if after.get(p) == before[p]}
-    folders = {p.rsplit("/", 2)[-2] for p in set(before) - untouched}
-    assert len(folders) == 1
-
-
-def _files(lake):
+    days = [date(2026, 3, d) for d in (1, 2, 3)]
+    keys = ["doc_id", "metric_date"]
+    data = [(str(i), d, i, 0, T0) for i in range(10) for d in days]
+    lake.write_upsert("metric_daily", spark.createDataFrame(data, schema), keys)
+    before = _files(lake, "metric_daily")
+    changed = [("7", days[2], 700, 1, T0), ("new", days[2], 1, 1, T0)]
+    lake.write_upsert("metric_daily", spark.createDataFrame(changed, schema), keys)
+    rows = {(r.doc_id, r.metric_date): r.score for r in lake.read("metric_daily").collect()}
+    assert len(rows) == 31 and rows[("7", days[2])] == 700 and rows[("7", days[1])] == 7
+    assert _rewritten(before, _files(lake, "metric_daily")) == {"metric_date=2026-03-03"}
+
+
+def _files(lake, table):
     listing = lake.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-    return listing.option("recursiveFileLookup", True).load(lake.path("metric_daily")).select(
-        "path", F.col("modificationTime").alias("t")
-    ).collect()
+    files = listing.option("recursiveFileLookup", True).load(lake.path(table))
+    return {r.path: r.modificationTime for r in files.collect()}
+
+
+def _rewritten(before, after):
+    gone = {path for path in before if after.get(path) != before[path]}
+    return {path.rsplit("/", 2)[-2] for path in gone}
 
 
 def test_empty_target_passes_everything(spark, lake):

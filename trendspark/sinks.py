@@ -37,6 +37,10 @@ TABLES = {
 
 BUCKETS = 64
 
+# Merged tables laid out by a column of their key instead of a hash bucket:
+# a lookback then rewrites its own days only.
+LAYOUT = {"metric_daily": "metric_date"}
+
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
@@ -118,29 +122,31 @@ class Lake:
         )
 
     def write_upsert(self, table: str, source: DataFrame, keys: list[str]) -> None:
-        """Merge rows into a table stored by hash bucket of its keys.
+        """Merge rows into a table stored by a part of its key.
 
-        Only the buckets that ``source`` touches are read and rewritten. Their
-        numbers come to the driver, at most ``self.buckets`` integers, so the
-        scan of the target is pruned before it starts.
+        The part is the table's ``LAYOUT`` column or a hash bucket. Only parts
+        that ``source`` touches are read and rewritten. Their values come to the
+        driver, at most ``self.buckets`` numbers or the days of the lookback, so
+        the scan of the target is pruned before it starts.
         """
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        part = LAYOUT.get(table, "bucket")
         schema = TABLES[table]
-        source = source.select(*self.columns(table)).withColumn("bucket", bucket)
+        source = source.select(*self.columns(table))
+        if part == "bucket":
+            hashed = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+            source, schema = source.withColumn(part, hashed), f"{schema}, bucket int"
         source = source.persist(StorageLevel.DISK_ONLY)
         try:
-            touched = [r["bucket"] for r in source.select("bucket").distinct().collect()]
+            touched = [r[part] for r in source.select(part).distinct().collect()]
             if not touched:
                 return
             try:
-                target = self.spark.read.schema(f"{schema}, bucket int").parquet(
-                    self.path(table)
-                )
-                merged = upsert(target.filter(F.col("bucket").isin(touched)), source, keys)
+                target = self.spark.read.schema(schema).parquet(self.path(table))
+                merged = upsert(target.filter(F.col(part).isin(touched)), source, keys)
             except AnalysisException as error:
                 if error.getCondition() != "PATH_NOT_FOUND":
                     raise
                 merged = source
-            self.replace_partitions(table, merged, "bucket")
+            self.replace_partitions(table, merged, part)
         finally:
             source.unpersist()

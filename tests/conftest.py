@@ -34,7 +34,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    return Lake(spark, str(tmp_path / "lake"), buckets=4)
+    return Lake(spark, str(tmp_path / "lake"), block_chars=1)
 
 
 @pytest.fixture

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+from trendspark import sinks
 from trendspark.functions.text import lenient_int, split_version
 from trendspark.functions.timeutil import day_type, days_between, hours_between
 from trendspark.operators import documents, metrics
@@ -103,7 +105,7 @@ def test_incremental_documents_equal_a_full_build(spark, tmp_path):
             ("hackernews:top", "9", {"title": "late"}, T0 + timedelta(days=6)),
         ),
     ]
-    step, full = Lake(spark, f"{tmp_path}/s", 4), Lake(spark, f"{tmp_path}/f", 4)
+    step, full = Lake(spark, f"{tmp_path}/s", 1), Lake(spark, f"{tmp_path}/f", 9)
     for i, batch in enumerate(batches):
         log_run(step, f"r{i}", batch)
         refresh_documents(step)
@@ -117,7 +119,9 @@ def test_incremental_documents_equal_a_full_build(spark, tmp_path):
     assert read(step) == read(full)
 
 
-def test_upsert_rewrites_only_the_touched_buckets(spark, lake):
+@pytest.mark.parametrize("listed", [10_000, 0])
+def test_upsert_rewrites_only_the_touched_blocks(spark, lake, monkeypatch, listed):
+    monkeypatch.setattr(sinks, "MAX_LISTED_PARTS", listed)
     schema = lake.read("document").schema
     blank = {f.name: None for f in schema.fields}
 
@@ -130,8 +134,8 @@ def test_upsert_rewrites_only_the_touched_buckets(spark, lake):
     put(("7", "changed"))
     rows = {r.doc_id: r.title for r in lake.read("document").collect()}
     assert len(rows) == 40 and rows["7"] == "changed" and rows["8"] == "t8"
-    assert len(_rewritten(before, _files(lake, "document"))) == 1
-    assert "bucket" not in lake.read("document").columns
+    assert _rewritten(before, _files(lake, "document")) == {"block=b"}
+    assert "block" not in lake.read("document").columns
 
 
 def test_metrics_rewrite_only_the_touched_days(spark, lake):

@@ -5,7 +5,7 @@ is written last: a crash in between leaves hidden rows and an unmoved cursor,
 and a retry under the same run id replaces its own rows.
 
 Writes are rebalanced: adaptive execution then merges small output partitions
-and splits large ones, so neither a small run nor a hot bucket sets file sizes.
+and splits large ones, so neither a small run nor a hot part sets file sizes.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from trendspark import schemas
 from trendspark.operators.documents import upsert
 from trendspark.operators.ingest import committed_rows
+from trendspark.operators.joins import Dimension
 from trendspark.session import configure
 
 TABLES = {
@@ -35,20 +36,21 @@ TABLES = {
     "check_result": schemas.CHECK_RESULT,
 }
 
-BUCKETS = 64
-
-# Merged tables laid out by a column of their key instead of a hash bucket:
-# a lookback then rewrites its own days only.
-LAYOUT = {"metric_daily": "metric_date"}
+# The column a merged table is stored by. A document's block is its id without
+# the last characters: ids grow with time, so the documents of one run share few
+# blocks and a merge leaves the rest of the table alone.
+LAYOUT = {"document": "block", "metric_daily": "metric_date"}
+BLOCK_CHARS = 4
+MAX_LISTED_PARTS = 10_000
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, block_chars: int = BLOCK_CHARS):
         self.spark = configure(spark)
         self.root = root.rstrip("/")
-        # Hash buckets of the merged tables; about one output file's worth of
-        # rows per bucket is a good size. Fixed for the life of a table.
-        self.buckets = buckets
+        # 4 makes blocks of ten thousand numeric ids, 6 of a million. Fixed for the
+        # life of a table.
+        self.block_chars = block_chars
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -61,7 +63,7 @@ class Lake:
         schema = TABLES[table]
         try:
             stored = self.spark.read.schema(schema).parquet(self.path(table))
-            # Without the bucket folders of merged tables.
+            # Without the block of merged tables.
             return stored.select(*self.columns(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
@@ -122,27 +124,31 @@ class Lake:
         )
 
     def write_upsert(self, table: str, source: DataFrame, keys: list[str]) -> None:
-        """Merge rows into a table stored by a part of its key.
+        """Merge rows into a table stored by its ``LAYOUT`` column.
 
-        The part is the table's ``LAYOUT`` column or a hash bucket. Only parts
-        that ``source`` touches are read and rewritten. Their values come to the
-        driver, at most ``self.buckets`` numbers or the days of the lookback, so
-        the scan of the target is pruned before it starts.
+        Only the parts of the table that ``source`` touches are read and
+        rewritten. A list of them that is measured short prunes the target's
+        scan before it starts, a longer one through a join.
         """
-        part = LAYOUT.get(table, "bucket")
-        schema = TABLES[table]
+        part = LAYOUT[table]
         source = source.select(*self.columns(table))
-        if part == "bucket":
-            hashed = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
-            source, schema = source.withColumn(part, hashed), f"{schema}, bucket int"
+        schema = TABLES[table]
+        if part not in source.columns:
+            source = source.withColumn(part, self._block(keys[0]))
+            schema = f"{schema}, {part} string"
         source = source.persist(StorageLevel.DISK_ONLY)
         try:
-            touched = [r[part] for r in source.select(part).distinct().collect()]
-            if not touched:
+            touched = Dimension(source.select(part).distinct(), max_rows=MAX_LISTED_PARTS)
+            if touched.small and not touched.rows.num_rows:
                 return
             try:
                 target = self.spark.read.schema(schema).parquet(self.path(table))
-                merged = upsert(target.filter(F.col(part).isin(touched)), source, keys)
+                if touched.small:
+                    listed = touched.rows.column(part).to_pylist()
+                    target = target.filter(F.col(part).isin(listed))
+                else:
+                    target = target.join(touched.df, part, "left_semi")
+                merged = upsert(target, source, keys)
             except AnalysisException as error:
                 if error.getCondition() != "PATH_NOT_FOUND":
                     raise
@@ -150,3 +156,8 @@ class Lake:
             self.replace_partitions(table, merged, part)
         finally:
             source.unpersist()
+
+    def _block(self, key: str) -> Column:
+        # The leading letter keeps the name of a short id's block from being empty.
+        kept = F.greatest(F.length(key) - self.block_chars, F.lit(0))
+        return F.concat(F.lit("b"), F.substring(F.col(key), F.lit(1), kept))

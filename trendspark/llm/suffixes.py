@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import node_id, ship, stored, texts
@@ -251,3 +251,17 @@ def without_words(text: str, cuts: list[tuple[int, int]]) -> str:
         out.append(text[at : places[start]])
         at = places[end]
     return "".join([*out, text[at:]])
+
+
+def cut_text(text: str, cuts: str) -> Column:
+    """Column ``text`` without the words of the column ``cuts`` (structs start_word, end_word; null for none)."""
+
+    @F.pandas_udf("string")
+    def cut(bodies: pd.Series, spans: pd.Series) -> pd.Series:
+        found = [
+            body if found is None else without_words(body, [(x["start_word"], x["end_word"]) for x in found])
+            for body, found in zip(bodies, spans, strict=True)
+        ]
+        return pd.Series(found, dtype=object)
+
+    return cut(text, cuts)

@@ -14,13 +14,12 @@ import re
 import uuid
 from collections.abc import Callable
 
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.llm import exact_dedup, minhash, packing, quality, suffixes
-from trendspark.llm.common import keep_documents, node_id, shared_dir, ship
+from trendspark.llm.common import keep_documents, node_id, shared_dir
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +45,6 @@ def kept_nodes(found: DataFrame) -> DataFrame:
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the later copies of repeated passages; documents of which nothing is left go."""
-    ship(spark)
     cuts = (
         suffixes.spans(docs)
         .filter("NOT is_first")
@@ -55,7 +53,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     )
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node_id().alias("node"))
     joined = rows.join(cuts, F.col("node") == F.col("cut_node"), "left")
-    changed = cut_text("row.text", "cuts")
+    changed = suffixes.cut_text("row.text", "cuts")
     out = joined.select("row", F.when(F.col("cuts").isNull(), F.col("row.text")).otherwise(changed).alias("left"), "cuts")
     out = out.filter(F.col("cuts").isNull() | (F.length(F.trim("left")) > 0))
     said = {"text": F.col("left")}
@@ -66,17 +64,6 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return out.select(*[said.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
-@F.pandas_udf("string")
-def cut_text(text: pd.Series, cuts: pd.Series) -> pd.Series:
-    found = []
-    for body, spans in zip(text, cuts, strict=True):
-        if spans is None:
-            found.append(body)
-        else:
-            found.append(suffixes.without_words(body, [(x["start_word"], x["end_word"]) for x in spans]))
-    return pd.Series(found, dtype=object)
-
-
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens, neighbours on the Hilbert curve together."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -33,10 +33,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, ship, stored, texts
+from .common import partitions, ship, texts
 
-BLOCK_CHARS = 16 << 20
-MEMO = 200_000
+BLOCK_CHARS = 8 << 20
+MEMO = 50_000
 
 PIECES = "block string, share int, at long, doc_id long, data binary"
 
@@ -180,40 +180,30 @@ def joined(sizes: np.ndarray, ids: np.ndarray) -> bytes:
     return len(first).to_bytes(4, "little") + first + pack(ids)
 
 
-def assemble() -> object:
-    """Pieces sorted by block, lists first, to (doc_id, ids)."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, parts, sizes, starts, ids = None, [], None, None, None
-        for frame in frames:
-            docs, out, held = [], [], 0
-            for name, share, doc, data in zip(
-                frame["block"], frame["share"], frame["doc_id"], frame["data"], strict=True
-            ):
-                if name != block:
-                    block, parts, sizes, starts, ids = name, [], None, None, None
-                if not pd.isna(share):
-                    cut = 4 + int.from_bytes(data[:4], "little")
-                    parts.append((unpack(data[4:cut]), unpack(data[cut:])))
-                    continue
-                if sizes is None:
-                    empty = np.empty(0, "<u4")
-                    sizes = np.concatenate([x for x, _ in parts] or [empty]).astype("i8")
-                    ids = np.concatenate([x for _, x in parts] or [empty]).astype("i4")
-                    starts, parts = np.cumsum(sizes) - sizes, []
-                places = unpack(data)
-                lengths = sizes[places]
-                shift = np.repeat(starts[places] - (np.cumsum(lengths) - lengths), lengths)
-                docs.append(None if pd.isna(doc) else int(doc))
-                out.append(ids[shift + np.arange(len(shift))])
-                held += len(out[-1])
-                if held > 1 << 20:
-                    yield pd.DataFrame({"doc_id": pd.array(docs, "Int64"), "ids": out})
-                    docs, out, held = [], [], 0
-            if docs:
-                yield pd.DataFrame({"doc_id": pd.array(docs, "Int64"), "ids": out})
-
-    return run
+def lists_only(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The word lists among the pieces; a filter of its own would be moved below the shuffle that both sides read."""
+    for frame in frames:
+        yield frame[frame["share"].notna()]
+
+
+def assemble(pieces: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+    """The pieces and the encoded words of one block to (doc_id, ids)."""
+    parts = []
+    for data in words.sort_values("share")["data"]:
+        cut = 4 + int.from_bytes(data[:4], "little")
+        parts.append((unpack(data[4:cut]), unpack(data[cut:])))
+    empty = np.empty(0, "<u4")
+    sizes = np.concatenate([x for x, _ in parts] or [empty]).astype("i8")
+    ids = np.concatenate([x for _, x in parts] or [empty]).astype("i4")
+    starts = np.cumsum(sizes) - sizes
+    rows = pieces[pieces["share"].isna()].sort_values("at")
+    out = []
+    for data in rows["data"]:
+        places = unpack(data)
+        lengths = sizes[places]
+        shift = np.repeat(starts[places] - (np.cumsum(lengths) - lengths), lengths)
+        out.append(ids[shift + np.arange(len(shift))])
+    return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64").array, "ids": out})
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, own_cuts: bool = True) -> DataFrame:
@@ -222,13 +212,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, own_cuts: bool = True
     ship(spark)
     n = partitions(spark)
     rows = texts(docs, F.col("doc_id").cast("long").alias("doc_id"))
-    pieces = stored(rows.mapInPandas(split_blocks(pattern, own_cuts, n), PIECES), "pieces")
-    lists = pieces.filter(F.col("share").isNotNull()).repartition(n, "share")
+    # One shuffle by block; the lists leave it for the words' tasks, the positions wait in it for the ids.
+    pieces = rows.mapInPandas(split_blocks(pattern, own_cuts, n), PIECES).repartition(n, "block")
+    lists = pieces.mapInPandas(lists_only, PIECES).repartition(n, "share")
     words = lists.mapInPandas(encode_words(ranks_path, pattern), PIECES)
-    positions = pieces.filter(F.col("share").isNull())
-    together = words.unionByName(positions).repartition(n, "block")
-    ordered = together.sortWithinPartitions("block", F.col("share").asc_nulls_last(), "at")
-    return ordered.mapInPandas(assemble(), "doc_id long, ids array<int>")
+    return pieces.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(assemble, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:

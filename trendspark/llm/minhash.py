@@ -5,7 +5,7 @@
 3. Candidates are pairs of one bucket: each member with the smallest one, and all members of a small
    bucket. A first round verifies one candidate of each node. Further candidates count only between
    components that are still apart; their signatures are compared before their sets.
-   What a large bucket leaves in several components is compared block by block, so that no pair is lost
+   What a large bucket leaves in several components is compared block by block, so that no link is lost
    and no task holds a whole bucket.
 4. Links, confirmed on full sets, become components by alternating large-star and small-star.
 
@@ -31,8 +31,8 @@ SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 26, 5
 #: Buckets up to this size give all their pairs at once.
 SMALL_BUCKET = 8
-#: Nodes in a block of a large bucket.
-BLOCK = 256
+#: Nodes, and characters, in a block of a large bucket.
+BLOCK, BLOCK_CHARS = 256, 8 << 20
 #: Signatures of linked sets agree in at least this share of places, but for one pair in about 10^6.
 SIGNATURE_SHARE = 0.62
 MEMO = 300_000
@@ -126,14 +126,18 @@ def _signatures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.drop(columns="text").assign(n_shingles=sizes, digest=digests, signature=signatures)
 
 
+def band_keys(signatures: np.ndarray) -> np.ndarray:
+    """The bucket of each band (columns) of signatures (rows)."""
+    table = signatures.reshape(len(signatures), BANDS, ROWS).astype("u8")
+    keys = np.zeros((len(signatures), BANDS), "u8") + np.arange(BANDS, dtype="u8")
+    for i in range(ROWS):
+        keys = mixed(keys * _MULTIPLIER + table[:, :, i])
+    return keys
+
+
 def _bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        if not len(frame):
-            continue
-        table = np.frombuffer(b"".join(frame["signature"]), "<u4").reshape(len(frame), BANDS, ROWS).astype("u8")
-        keys = np.zeros((len(frame), BANDS), "u8") + np.arange(BANDS, dtype="u8")
-        for i in range(ROWS):
-            keys = mixed(keys * _MULTIPLIER + table[:, :, i])
+        keys = band_keys(np.frombuffer(b"".join(frame["signature"]), "<u4").reshape(len(frame), BANDS * ROWS))
         yield pd.DataFrame({"bucket": keys.ravel().view("i8"), "node": np.repeat(frame["node"].to_numpy(), BANDS)})
 
 
@@ -205,46 +209,72 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return known.filter(~(F.coalesce("of_a", "a") == F.coalesce("of_b", "b"))).select("a", "b")
 
 
-def _left_over(members: DataFrame, found: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs of alike signatures in different components of a large bucket, found block by block.
+def _block_links(key: tuple, one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+    """Links between a block of nodes outside the leading component and any block of the same bucket.
+
+    A pair is taken up in the first of the buckets that hold both, and only if its signatures are alike; one
+    link of a node with a component is enough.
+    """
+    out = []
+    if len(one) and len(two):
+        x, y = (np.frombuffer(b"".join(z["signature"]), "<u4").reshape(len(z), -1) for z in (one, two))
+        band = int(np.flatnonzero(band_keys(x[:1])[0].view("i8") == key[0])[0])
+        ids, parts, outside = two["node"].to_numpy("i8"), two["component"].to_numpy("i8"), two["outside"].to_numpy(bool)
+        bodies, hashes, sets = two["text"].tolist(), WordHashes(), {}
+        for node, component, text, mine in zip(one["node"], one["component"], one["text"], x, strict=True):
+            agree = y == mine
+            share = agree.mean(axis=1)
+            near = (share >= SIGNATURE_SHARE) & (parts != component) & (~outside | (ids > node))
+            near &= ~agree.reshape(len(y), BANDS, ROWS).all(axis=2)[:, :band].any(axis=1)
+            found, met = None, set()
+            for at in sorted(np.flatnonzero(near).tolist(), key=lambda k: -share[k]):
+                if parts[at] in met:
+                    continue
+                found = shingles(text, hashes) if found is None else found
+                if at not in sets:
+                    sets[at] = shingles(bodies[at], hashes)
+                if linked(found, sets[at]):
+                    met.add(parts[at])
+                    out.append((min(node, int(ids[at])), max(node, int(ids[at]))))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("i8")
+
+
+def _left_over(members: DataFrame, found: DataFrame, signatures: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Links between components that share a large bucket, verified block by block; no pair leaves a task unverified.
 
     Each block of nodes outside the bucket's leading component meets each block of its nodes.
     """
     known = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = known.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    known = known.join(bodies.select("node", F.length("text").alias("chars")), "node")
+    sizes = known.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    blocks = lambda n, chars: F.ceil(F.greatest(n / BLOCK, chars / BLOCK_CHARS)).cast("long")
     leads = (
         sizes.groupBy("bucket")
         .agg(
-            F.max(F.struct("n", F.negative("component").alias("c"))).alias("top"),
+            F.max(F.struct("n", F.negative("component").alias("c"), "chars")).alias("top"),
             F.count(F.lit(1)).alias("parts"),
-            F.sum("n").alias("size"),
+            F.sum("n").alias("n"),
+            F.sum("chars").alias("chars"),
         )
         .filter("parts > 1")
-        .select("bucket", F.negative("top.c").alias("lead"), "size", (F.col("size") - F.col("top.n")).alias("others"))
+        .select(
+            "bucket",
+            F.negative("top.c").alias("lead"),
+            blocks(F.col("n"), F.col("chars")).alias("all_blocks"),
+            blocks(F.col("n") - F.col("top.n"), F.col("chars") - F.col("top.chars")).alias("outer_blocks"),
+        )
     )
-    rows = known.join(stored(leads, "leads"), "bucket").join(signatures, "node")
-    here = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK).cast("long"))
-    there = F.pmod(F.xxhash64("node"), F.ceil(F.col("others") / BLOCK).cast("long"))
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.ceil(F.col(n) / BLOCK).cast("long") - 1)
-    columns = ["bucket", "i", "j", "node", "component", "signature"]
-    left = rows.filter("component <> lead").withColumn("i", there).withColumn("j", F.explode(upto("size")))
+    rows = known.drop("chars").join(stored(leads, "leads"), "bucket").join(signatures, "node").join(bodies, "node")
+    rows = rows.withColumn("outside", F.col("component") != F.col("lead"))
+    number = lambda n: F.pmod(F.xxhash64("node"), F.greatest(F.col(n), F.lit(1)))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col(n), F.lit(1)) - 1))
+    columns = ["bucket", "i", "j", "node", "component", "outside", "signature", "text"]
+    left = rows.filter("outside").withColumn("i", number("outer_blocks")).withColumn("j", upto("all_blocks"))
     again = rows.select(*[F.col(c).alias(c) for c in rows.columns])  # columns of its own for the second side
-    right = again.withColumn("j", here).withColumn("i", F.explode(upto("others")))
+    right = again.withColumn("j", number("all_blocks")).withColumn("i", upto("outer_blocks"))
     keys = ["bucket", "i", "j"]
-
-    def compare(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        if not len(one) or not len(two):
-            return pd.DataFrame({"a": [], "b": []}, dtype="i8")
-        x, y = (np.frombuffer(b"".join(z["signature"]), "<u4").reshape(len(z), -1) for z in (one, two))
-        ids, others = two["node"].to_numpy("i8"), two["component"].to_numpy("i8")
-        out = []
-        for node, component, mine in zip(one["node"], one["component"], x, strict=True):
-            hit = ((y == mine).mean(axis=1) >= SIGNATURE_SHARE) & (others != component)
-            out += [(min(node, b), max(node, b)) for b in ids[hit].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("i8")
-
     met = left.select(*columns).groupBy(*keys).cogroup(right.select(*columns).groupBy(*keys))
-    return met.applyInPandas(compare, "a long, b long").distinct()
+    return met.applyInPandas(_block_links, "a long, b long").distinct()
 
 
 def _pairs(one: Column, two: Column) -> list[Column]:
@@ -311,9 +341,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # What large buckets still leave apart.
     large = members.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node")
-    rest = stored(_left_over(large, found, signatures), "rest")
+    rest = stored(_left_over(large, found, signatures, bodies), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(verify(rest, bodies))
+        links = links.unionByName(rest)
         found = stored(components(links), "components")
 
     of_sets = sets.join(found, "node", "left").select(

@@ -196,7 +196,7 @@ def test_summary_gate_counts_the_trimmed_body(spark):
     )
     rows = {r.doc_id: r for r in digest.summary_eligibility(docs).collect()}
     assert [rows[k].status for k in "abcd"] == ["too_short", "eligible", "too_short", "eligible"]
-    assert rows["d"].body_chars == 9000 and len(rows["d"].prompt_body) == 3000
+    assert rows["d"].body_chars == 9000 and len(rows["d"].prompt_body) == 9000
 
 
 def test_tally_warns_only_if_every_attempt_failed(spark):

@@ -15,7 +15,6 @@ from trendspark.operators.ordering import number_within, top_n_per_group
 AFFINITY_FLOOR = 0.45
 EXCERPT_CHARS = 220
 MIN_BODY_CHARS = 200
-PROMPT_CHARS = 3000
 DISPLAY_ZONE = "Asia/Seoul"
 
 
@@ -105,20 +104,21 @@ def pending_items(
 
 
 def summary_eligibility(
-    docs: DataFrame, min_chars: int = MIN_BODY_CHARS, prompt_chars: int = PROMPT_CHARS
+    docs: DataFrame, min_chars: int = MIN_BODY_CHARS, prompt_chars: int | None = None
 ) -> DataFrame:
     """Whether a body is long enough to summarise, and the text to send.
 
-    The length is that of the whole body; the prompt carries its head only,
-    which is what the summariser is given.
+    The length is that of the whole body, and so is the prompt's, unless
+    ``prompt_chars`` says how much of it the summariser takes.
     """
+    prompt = F.col("body") if prompt_chars is None else F.substring("body", 1, prompt_chars)
     chars = F.length(strip(F.coalesce("body", F.lit(""))))
     enough = chars >= min_chars
     return docs.select(
         "doc_id",
         chars.alias("body_chars"),
         F.when(enough, "eligible").otherwise("too_short").alias("status"),
-        F.when(enough, F.substring("body", 1, prompt_chars)).alias("prompt_body"),
+        F.when(enough, prompt).alias("prompt_body"),
     )
 
 

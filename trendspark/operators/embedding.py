@@ -14,7 +14,6 @@ from trendspark.functions.text import collapse, embedding_text
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators.joins import MAX_DIM_ROWS
 
-BATCH_CAP = 2000
 HASH_DIM = 64
 MAX_KNOWN_WORDS = 500_000
 

@@ -40,7 +40,7 @@ def embed_backlog(
     encoder_factory: Callable[[], embedding.Encoder],
     model: str,
     as_of: datetime,
-    cap: int | None = embedding.BATCH_CAP,
+    cap: int | None = None,
 ) -> None:
     """Embed what is missing and append it; the same model name drives both."""
     todo = embedding.backlog(lake.read("document"), lake.read("embedding"), model, cap)
@@ -55,7 +55,12 @@ def sync_interests(
     as_of: datetime,
     rebuild: bool = False,
 ) -> None:
-    """Bring the interest table in line with the profile, one partition per model."""
+    """Bring the interest table in line with the profile, one partition per model.
+
+    A profile without topics is an error: it would leave the stored ones in place.
+    """
+    if profile.isEmpty():
+        raise ValueError("the profile has no topics")
     current = lake.read("interest_embedding").filter(F.col("model_name") == model)
     state = embedding.sync_dimension(profile, current, encoder_factory, model, as_of, rebuild)
     lake.replace_partitions("interest_embedding", state, "model_name")

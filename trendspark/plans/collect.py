@@ -35,6 +35,8 @@ def collect_by_cursor(
     payload_hash, event_ts), ``sources`` the names to run and ``failed`` the
     (source_name, error_msg) of sources that could not be read: they keep their
     cursor and do not hold back the others. Returns the run's log rows.
+    The backfill reads its whole window unless ``backfill_capacity`` bounds it: its
+    lower bound is the same in every run, so rows behind a bound would never land.
     ``event_time_in_payload`` says that a payload determines its event time (as
     for every source of this package), which bounds the stored rows to compare.
     """
@@ -45,15 +47,15 @@ def collect_by_cursor(
     windows = plan.df
     if failed is not None:
         windows = windows.join(failed.select("source_name"), "source_name", "left_anti")
-    back_cap = capacity if backfill_capacity is None else backfill_capacity
+    if backfill_capacity is None:
+        backfill = ingest.in_windows(items, windows, "backfill").withColumn("rank", F.lit(0))
+    else:
+        backfill = ingest.capped_window(items, windows, backfill_capacity, "backfill")
+        backfill = backfill.filter(F.col("rank") <= backfill_capacity)
     staged = (
         ingest.capped_window(items, windows, capacity, "forward")
         .withColumn("kind", F.lit("forward"))
-        .unionByName(
-            ingest.capped_window(items, windows, back_cap, "backfill")
-            .filter(F.col("rank") <= back_cap)
-            .withColumn("kind", F.lit("backfill"))
-        )
+        .unionByName(backfill.withColumn("kind", F.lit("backfill")))
         .withColumn("fetched_at", as_of_column(as_of))
         .withColumn("run_id", F.lit(run_id))
         .persist(StorageLevel.DISK_ONLY)

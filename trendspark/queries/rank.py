@@ -15,7 +15,7 @@ def embedding_backlog(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.documents(spark, sf)
     vectors = b.embeddings(spark, sf, docs)
     per_model = [
-        embedding.backlog(docs, vectors, model, cap=embedding.BATCH_CAP).select(
+        embedding.backlog(docs, vectors, model).select(
             F.lit(model).alias("model_name"), "doc_id"
         )
         for model in (b.MODEL, "m1")
@@ -219,10 +219,9 @@ ORACLE = {
         """
         (SELECT 'm0' AS model_name, d.doc_id FROM doc d
          WHERE NOT EXISTS (SELECT 1 FROM emb e WHERE e.doc_id = d.doc_id
-                             AND e.content_hash = d.content_hash)
-         ORDER BY d.published_at DESC, d.doc_id LIMIT 2000)
+                             AND e.content_hash = d.content_hash))
         UNION ALL
-        (SELECT 'm1', d.doc_id FROM doc d ORDER BY d.published_at DESC, d.doc_id LIMIT 2000)
+        (SELECT 'm1', d.doc_id FROM doc d)
         """,
     ),
     "embed_batch": oracle(
@@ -300,7 +299,7 @@ ORACLE = {
         f"""
         SELECT doc_id, body_chars,
                CASE WHEN body_chars >= 200 THEN 'eligible' ELSE 'too_short' END AS status,
-               CAST(CASE WHEN body_chars >= 200 THEN least(length(body), 3000) END AS DOUBLE)
+               CAST(CASE WHEN body_chars >= 200 THEN length(body) END AS DOUBLE)
                    AS prompt_chars
         FROM (SELECT *, {_BODY_CHARS} AS body_chars FROM doc)
         """,

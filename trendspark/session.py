@@ -47,11 +47,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables and stream checkpoints.
 
     On a cluster this lives under the shared folder named by
-    ``spark.checkpoint.dir``; only where that is unset (local tests) is a
-    temporary folder made.
+    ``spark.checkpoint.dir``, without which it is an error; only in a local
+    session (tests) is a temporary folder made.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
+        if spark.sparkContext.master.startswith("local-cluster") or not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all hosts share")
         return f"{tempfile.mkdtemp(prefix='trendspark-')}/{name}"
     unique = spark.range(1).selectExpr("uuid() AS u").first()["u"]
     return f"{shared.rstrip('/')}/{name}-{unique}"

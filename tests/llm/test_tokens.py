@@ -133,3 +133,16 @@ def test_neighbours_on_the_curve_are_neighbours_in_space(dimensions, bits):
     assert sorted(index.tolist()) == list(range(len(cells)))
     walk = cells[np.argsort(index)]
     assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_pieces_have_the_ids_of_the_text():
+    import random
+
+    library, special, _ = packing.word_ids(WORDS)
+    chance = random.Random(4)
+    marks = ["'", "'s", "'LL", " ", "\n", "\t", "\x0b", "\x1c", "\x00", "\x85", " ", "　", ".", "<", "|", "12"]
+    letters = ["a", "T", "e", "́", "̸", "É", "ß", "ς", "Σ", "İ", "ı", "ж", "你", "が", "゙", "한", "ᆨ", "ب", "²", "ǅ", "😀"]
+    for _ in range(20000):
+        text = "".join(chance.choices([*marks, *letters, *special] if chance.random() < 0.1 else [*marks, *letters], k=12))
+        found = library.encode_batch_fast(packing.pieces(text, special), add_special_tokens=False)
+        assert [x for piece in found for x in piece.ids] == library.encode(text, add_special_tokens=False).ids, repr(text)

@@ -1,6 +1,6 @@
 """Packing of neighbouring documents into sequences of a fixed length along a Hilbert curve.
 
-Each document gets a hashed word vector, projected to four dimensions; its place on the Hilbert
+Each document gets a hashed vector of its token ids, projected to four dimensions; its place on the Hilbert
 curve through that space is the sort key. Documents are laid end to end in that order over the
 whole corpus, and the line is cut every ``length`` tokens: every sequence but the last is full.
 
@@ -15,7 +15,9 @@ table gives an empty result; columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,29 +29,54 @@ from pyspark.sql import functions as F
 from .common import batches, key_range, partitions, ship, stored, texts
 
 DIMENSIONS, BITS = 4, 8
-HASHED = 256
+HASHED = 256  # 8 bits: the top ones of an id times HASH
+HASH = 2654435769
 TIE_BITS = 20
-MEMO = 200_000
+MEMO, MEMO_CHARS = 400_000, 16 << 20
 
 ROWS = "row long, doc_id long, curve long, n_tokens long, ids binary"
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
-_words: dict[str, tuple[tokenizers.Tokenizer, dict[str, tuple[bytes, int]]]] = {}
+#: Letters that no normal form changes and whose lower case is one letter.
+_LETTERS = (
+    "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0391-\u03a1\u03a3-\u03a9\u03ac-\u03ce"
+    "\u0400-\u0481\u048a-\u052f\u0621-\u063a\u0641-\u064a\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+)
+_PLAIN = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \t\n\r\x0b\x0c0-9{_LETTERS}]+"
+_OTHER = f"[^\x00-\x7f{_LETTERS}]"
+_has_other = re.compile(_OTHER).search
+_plain_pieces = re.compile(_PLAIN).findall
+_mixed_pieces = re.compile(rf"(?<![^ \n\r])(?:(?! |\n|\r|{_OTHER})[\s\S])*{_OTHER}[^ \n\r]*|{_PLAIN}").findall
+
+_words: dict[str, tuple[tokenizers.Tokenizer, list[str], dict[str, bytes]]] = {}
 
 
-def word_ids(path: str) -> tuple[tokenizers.Tokenizer, dict[str, tuple[bytes, int]]]:
-    """The tokenizer and the ids of words seen by this worker, at most ``MEMO`` of them."""
+def word_ids(path: str) -> tuple[tokenizers.Tokenizer, list[str], dict[str, bytes]]:
+    """The tokenizer, its special strings, and the ids of pieces seen by this worker, about ``MEMO`` of them."""
     if path not in _words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         loaded = tokenizers.Tokenizer.from_file(path)
         loaded.no_truncation()
         loaded.no_padding()
-        _words[path] = loaded, {}
+        _words[path] = loaded, [x.content for x in loaded.get_added_tokens_decoder().values()], {}
     return _words[path]
 
 
+def pieces(text: str, special: list[str]) -> list[str]:
+    """Parts of a text whose ids, one after the other, are those of the text.
+
+    The tokenizer lower-cases, drops white space and never joins two of its pre-tokens in an id. Those
+    of runs of ASCII and plain letters are found here; runs with other characters go to the library
+    whole, and so do all runs of a text with a special string, which is looked for before lower-casing.
+    """
+    if any(x in text for x in special):
+        return text.replace("\n", " ").replace("\r", " ").split(" ")
+    low = text.encode().lower().decode()  # A-Z only
+    return _mixed_pieces(low) if _has_other(low) else _plain_pieces(low)
+
+
 def hilbert_index(places: np.ndarray, bits: int) -> np.ndarray:
     """Place on the Hilbert curve of points with ``bits`` bits in each dimension (columns).
 
@@ -85,7 +112,7 @@ def projection() -> np.ndarray:
 
 
 def curve_keys(vectors: np.ndarray) -> np.ndarray:
-    """Hilbert index of each hashed word-count vector; counts are damped and scaled to length one."""
+    """Hilbert index of each hashed count vector; counts are damped and scaled to length one."""
     damped = np.sqrt(vectors)
     norms = np.linalg.norm(damped, axis=1, keepdims=True)
     points = damped / np.where(norms == 0, 1, norms) @ projection()
@@ -97,27 +124,30 @@ def curve_keys(vectors: np.ndarray) -> np.ndarray:
 def tokenise(path: str, end_id: int):
     """Rows (row, doc_id, text) to ids with the end id, their number, and the place on the curve.
 
-    The tokenizer drops white space, and no id spans it; a text's ids are those of its runs
-    between blanks and line ends, which are encoded once and remembered.
+    Each distinct piece is encoded once and remembered; the hashed vector counts the ids.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end = np.array([end_id], "<u4").tobytes()
-        library, memo = word_ids(path)
+        library, special, memo = word_ids(path)
         for frame in batches(frames, "text", 1 << 21):
-            if len(memo) > MEMO:
+            if len(memo) > MEMO or sum(map(len, memo)) > MEMO_CHARS:
                 memo.clear()
-            runs = [text.replace("\n", " ").replace("\r", " ").split(" ") for text in frame["text"]]
-            new = list({x for words in runs for x in words if x not in memo})
+            found = [pieces(text, special) for text in frame["text"]]
+            known = [list(map(memo.get, parts)) for parts in found]
+            gaps = [at for at, seen in enumerate(known) if None in seen]
+            new = list({x for at in gaps for x, seen in zip(found[at], known[at], strict=True) if seen is None})
             for start in range(0, len(new), 5000):
                 part = new[start : start + 5000]
-                for word, found in zip(part, library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    memo[word] = np.array(found.ids, "<u4").tobytes(), zlib.crc32(word.lower().encode()) % HASHED
-            ids, vectors = [], np.zeros((len(runs), HASHED))
-            for at, words in enumerate(runs):
-                found = [memo[x] for x in words]
-                ids.append(b"".join([x for x, _ in found]) + end)
-                vectors[at] = np.bincount(np.array([h for x, h in found if x], "i8"), minlength=HASHED)
+                for piece, seen in zip(part, library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                    memo[piece] = array("I", seen.ids).tobytes()
+            for at in gaps:
+                known[at] = map(memo.__getitem__, found[at])
+            ids, vectors = [], np.zeros((len(found), HASHED))
+            for at, parts in enumerate(known):
+                data = b"".join(parts)
+                ids.append(data + end)
+                vectors[at] = np.bincount(np.frombuffer(data, "<u4") * np.uint32(HASH) >> np.uint32(24), minlength=HASHED)
             yield pd.DataFrame(
                 {
                     "row": frame["row"].array,

@@ -152,111 +152,94 @@ QUERIES = {
     "source_freshness": bronze_freshness,
 }
 
-_HOURS = f"date_diff('hour', last_success_at, TIMESTAMP '{b.CHECK_AS_OF}')"
-
-CHECKS: dict[str, tuple[list[str], str]] = {
+# What each check finds, a row for each subject: its level (0 ok, 1 warn, 2 critical, 3 insufficient
+# data), the figures and the wording. ``_judged`` turns levels into statuses.
+_FACTS: dict[str, tuple[list[str], str]] = {
     "ingest_error": (
         ["watermark", "latest_run"],
         """
-        SELECT 'ingest_error' AS check_name, w.source_name,
-               CASE WHEN w.consecutive_fail >= 2 THEN 'critical'
-                    WHEN w.consecutive_fail = 1 THEN 'warn'
-                    WHEN r.status = 'error' THEN 'critical' ELSE 'ok' END AS status,
-               CAST(w.consecutive_fail AS DOUBLE) AS observed_value,
-               CAST(0 AS DOUBLE) AS expected_value,
-               CASE WHEN w.consecutive_fail > 0 THEN '연속 실패 ' || w.consecutive_fail || '회'
-                    WHEN r.status = 'error' THEN coalesce(r.error_msg, '수집 실패')
-                    ELSE '정상' END AS detail
-        FROM watermark w LEFT JOIN latest_run r ON r.source_name = w.source_name
+        SELECT source_name AS subject, consecutive_fail AS seen, 0 AS wanted,
+               if(seen > 0, least(seen, 2), 2 * CAST(coalesce(status = 'error', FALSE) AS INT)) AS level,
+               if(seen > 0, format('연속 실패 {}회', seen),
+                  if(level = 0, '정상', coalesce(error_msg, '수집 실패'))) AS words
+        FROM latest_run RIGHT JOIN watermark USING (source_name)
         """,
     ),
     "volume_zero": (
         ["latest_run"],
         """
-        SELECT 'volume_zero' AS check_name, source_name,
-               CASE WHEN status = 'ok' AND rows_fetched = 0 THEN 'critical' ELSE 'ok' END
-                   AS status,
-               CAST(rows_fetched AS DOUBLE) AS observed_value,
-               CAST(NULL AS DOUBLE) AS expected_value,
-               CASE WHEN status = 'ok' AND rows_fetched = 0
-                    THEN '성공으로 기록됐으나 수신 0건 — 조용한 중단'
-                    ELSE '수신 ' || rows_fetched || '건' END AS detail
+        SELECT source_name AS subject, rows_fetched AS seen, NULL AS wanted,
+               2 * CAST(seen = 0 AND status = 'ok' AS INT) AS level,
+               if(level = 0, format('수신 {}건', seen), '성공으로 기록됐으나 수신 0건 — 조용한 중단') AS words
         FROM latest_run
         """,
     ),
     "freshness": (
         ["watermark"],
         f"""
-        SELECT 'freshness' AS check_name, source_name,
-               CASE WHEN last_success_at IS NULL THEN 'insufficient_data'
-                    WHEN {_HOURS} >= 48 THEN 'critical'
-                    WHEN {_HOURS} >= 26 THEN 'warn' ELSE 'ok' END AS status,
-               CAST({_HOURS} AS DOUBLE) AS observed_value,
-               CAST(26 AS DOUBLE) AS expected_value,
-               CASE WHEN last_success_at IS NULL THEN '성공 이력 없음'
-                    ELSE '마지막 성공 ' || {_HOURS} || '시간 전' END AS detail
+        SELECT source_name AS subject, 26 AS wanted,
+               date_diff('hour', last_success_at, TIMESTAMP '{b.CHECK_AS_OF}') AS seen,
+               coalesce(CAST(seen >= 26 AS INT) + CAST(seen >= 48 AS INT), 3) AS level,
+               coalesce('마지막 성공 ' || seen || '시간 전', '성공 이력 없음') AS words
         FROM watermark
         """,
     ),
     "watermark_stall": (
         ["daily_run"],
         """
-        SELECT 'watermark_stall' AS check_name, source_name,
-               CASE WHEN run_count < 2 THEN 'insufficient_data'
-                    WHEN watermark_before = watermark_after AND rows_new = 0 THEN 'warn'
-                    ELSE 'ok' END AS status,
-               CAST(run_count AS DOUBLE) AS observed_value,
-               CAST(NULL AS DOUBLE) AS expected_value,
-               CASE WHEN run_count < 2 THEN '실행 ' || run_count || '회 — 판정 불가'
-                    WHEN watermark_before = watermark_after AND rows_new = 0
-                    THEN '커서 미전진 + 신규 0건 — 무증상 정체 의심'
-                    ELSE '커서 정상 전진' END AS detail
-        FROM (SELECT *, count(*) OVER (PARTITION BY source_name) AS run_count FROM daily_run
-              WHERE watermark_after IS NOT NULL
-              QUALIFY row_number() OVER (PARTITION BY source_name ORDER BY run_date DESC) = 1)
+        SELECT source_name AS subject, count(*) AS seen, NULL AS wanted,
+               arg_max(rows_new = 0 AND watermark_after IS NOT DISTINCT FROM watermark_before, run_date) AS stuck,
+               if(seen < 2, 3, CAST(stuck AS INT)) AS level,
+               if(level = 3, format('실행 {}회 — 판정 불가', seen),
+                  if(stuck, '커서 미전진 + 신규 0건 — 무증상 정체 의심', '커서 정상 전진')) AS words
+        FROM daily_run WHERE watermark_after IS NOT NULL GROUP BY source_name
         """,
     ),
     "volume_drop": (
         ["baseline"],
         """
-        SELECT 'volume_drop' AS check_name, source_name,
-               CASE WHEN baseline_n < 7 THEN 'insufficient_data'
-                    WHEN rows_new < baseline_median * 0.4 THEN 'warn' ELSE 'ok' END AS status,
-               CAST(rows_new AS DOUBLE) AS observed_value,
-               CAST(baseline_median AS DOUBLE) AS expected_value,
-               CASE WHEN baseline_n < 7
-                    THEN '동일 요일유형 관측 ' || baseline_n || '일 — 기준선 부족(최소 7일)'
-                    ELSE '신규 ' || rows_new || '건 (' || day_type || ' 중앙값 '
-                         || baseline_median || ')' END AS detail
+        SELECT source_name AS subject, rows_new AS seen, baseline_median AS wanted,
+               if(baseline_n < 7, 3, CAST(seen < 0.4 * wanted AS INT)) AS level,
+               if(level = 3, format('동일 요일유형 관측 {}일 — 기준선 부족(최소 7일)', baseline_n),
+                  '신규 ' || seen || '건 (' || day_type || ' 중앙값 ' || wanted || ')') AS words
         FROM baseline
         """,
     ),
     "topic_domination": (
         ["affinity"],
         """
-        SELECT 'topic_domination' AS check_name, '(전체)' AS source_name,
-               CASE WHEN share > 0.40 THEN 'warn' ELSE 'ok' END AS status,
-               round(share, 3) AS observed_value, CAST(0.40 AS DOUBLE) AS expected_value,
-               label || ' 토픽이 ' || round(share * 100, 1) || '% 차지' AS detail
-        FROM (SELECT best_interest_label AS label, count(*) AS n,
-                     CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
-              FROM affinity GROUP BY 1 ORDER BY n DESC, label DESC LIMIT 1)
+        SELECT '(전체)' AS subject, CAST(n AS DOUBLE) / total AS share, round(share, 3) AS seen,
+               0.40 AS wanted, CAST(share > 0.40 AS INT) AS level,
+               label || ' 토픽이 ' || round(share * 100, 1) || '% 차지' AS words
+        FROM (SELECT best_interest_label AS label, count(*) AS n FROM affinity GROUP BY ALL),
+             (SELECT count(*) AS total FROM affinity)
+        ORDER BY n DESC, label DESC LIMIT 1
         """,
     ),
     "duplicate_candidate": (
         ["doc"],
         """
-        SELECT 'duplicate_candidate' AS check_name, '(전체)' AS source_name,
-               CASE WHEN count(*) > 0 THEN 'warn' ELSE 'ok' END AS status,
-               CAST(count(*) AS DOUBLE) AS observed_value, CAST(0 AS DOUBLE) AS expected_value,
-               CASE WHEN count(*) > 0 THEN '제목이 같은 서로 다른 문서 ' || count(*) || '쌍'
-                    ELSE '중복 없음' END AS detail
-        FROM (SELECT lower(trim(title)) FROM doc WHERE title IS NOT NULL
-              GROUP BY 1 HAVING count(DISTINCT doc_id) > 1)
+        SELECT '(전체)' AS subject, count(*) AS seen, 0 AS wanted, CAST(seen > 0 AS INT) AS level,
+               if(level = 1, format('제목이 같은 서로 다른 문서 {}쌍', seen), '중복 없음') AS words
+        FROM (SELECT lower(trim(title)) AS said FROM doc GROUP BY said
+              HAVING said IS NOT NULL AND min(doc_id) < max(doc_id))
         """,
     ),
 }
 
+
+def _judged(name: str, facts: str) -> str:
+    return f"""
+        SELECT '{name}' AS check_name, subject AS source_name,
+               (['ok', 'warn', 'critical', 'insufficient_data'])[level + 1] AS status,
+               CAST(seen AS DOUBLE) AS observed_value, CAST(wanted AS DOUBLE) AS expected_value,
+               words AS detail
+        FROM ({facts})
+        """
+
+
+CHECKS = {name: (views, _judged(name, facts)) for name, (views, facts) in _FACTS.items()}
+
 _ALL_VIEWS = sorted({view for views, _ in CHECKS.values() for view in views})
 _ALL = "\nUNION ALL\n".join(f"SELECT * FROM ({body})" for _, body in CHECKS.values())
 _TODAY = f"DATE '{b.CHECK_AS_OF[:10]}'"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -17,11 +18,22 @@ from pyspark.sql import functions as F
 #: Bytes that separate words where a contract names them.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
+#: Bytes of an Arrow batch between an executor and its Python workers.
+BATCH_BYTES = 8 << 20
+
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, once for each application."""
+    """Give this package to the Python workers, once for each application, and bound their batches.
+
+    Whole texts travel in these batches, and a task holds several copies of one, on both sides. Smaller settings
+    of the session stay.
+    """
+    number, unit = re.match(r"(\d+)\s*(\w?)", spark.conf.get(_BATCH_SETTING)).groups()
+    if int(number) << 10 * max(0, "bkmgtp".index(unit.lower() or "b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

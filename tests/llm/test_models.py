@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -145,3 +146,26 @@ def test_license_lines_of_documents(spark):
     for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect():
         named = {v for k, v in said.items() if k in r["text"]}
         assert (found[r["doc_id"]] in named) if named else found[r["doc_id"]] is None
+
+
+@pytest.mark.parametrize("common", [50_000, 3])
+def test_a_lines_license_does_not_depend_on_the_number_of_files(spark, monkeypatch, common):
+    """Common words beside a statement weigh by their own frequency, whether every task holds it or not."""
+    monkeypatch.setattr(license_scan, "COMMON", common)
+    line = "you may copy all rights reserved"
+    scores = []
+    for times in (1, 40):
+        kinds = [line, "you may copy", "you may copy this file", "you may", "you copy may rest"]
+        rows = [(i, f"f{i}", kinds[i % 5] + f" w{i % 5}x") for i in range(5 * times)]
+        rows += [(10_000 + i, "odd", "rights reserved unheard-of-" + str(i)) for i in range(times)]
+        found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+        verdicts = {r["doc_id"]: (r["own_license"], r["score"]) for r in found}
+        words = [set(license_scan.terms(x)) for _, _, x in rows]
+        held = Counter(w for x in words for w in x)
+        match = license_scan.Matcher(license_scan.TEMPLATES, held, len(rows), license_scan.THRESHOLD)
+        for doc, _, text in rows:
+            expected = match.score(text)
+            assert verdicts[doc][0] == (expected and expected[1])
+            assert expected is None or abs(verdicts[doc][1] - expected[0]) < 1e-9
+        scores.append(verdicts[0])
+    assert scores[0][0] == scores[1][0] == "proprietary" and abs(scores[0][1] - scores[1][1]) < 0.1

@@ -4,9 +4,10 @@ A statement is a line of a file. Its sparse TF-IDF vector is compared with that
 own license is that of its best line. A file without one takes the license of the licence file in
 the nearest directory above it, by a join on directory paths.
 
-Document frequencies of the templates' words are counted over all files; a word of no template
-weighs as one that no file has. Lines that cannot reach the wanted cosine, because too much
-of their length lies in other words, are left out before the dot products.
+Document frequencies of all words are counted over all files. Those of the ``COMMON`` most frequent words go to
+every task; any other word is in no more files than the least of these, which bounds its weight from below. Lines
+that cannot reach the wanted cosine under that bound are left out at once; the remaining ones that hold such
+words are joined with the table of frequencies and get their exact cosine there.
 
 Defined cases: null and empty texts have no license of their own and may inherit one; a null path stands for
 a file in the root; ties go to the template's name, then to the licence file's path; repeated rows
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 from .common import ship, stored
 
 THRESHOLD = 0.6
+#: Words whose frequencies every task holds, and words counted at once in a task.
+COMMON, TASK_TERMS = 50_000, 500_000
+UNSURE = "unsure array<struct<name string, dot double, held double, missing array<struct<term string, n long>>>>"
 LICENSE_FILES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([-_. ].*)?$"
 
 #: Usual statements of licenses.
@@ -53,15 +57,20 @@ def terms(line: str) -> list[str]:
 
 
 class Matcher:
-    """Template vectors under given document frequencies (of ``files`` files)."""
+    """Template vectors under given document frequencies (of ``files`` files).
 
-    def __init__(self, templates: dict[str, str], frequencies: dict[str, int], files: int, least: float):
-        self.least = least
-        self.most = 1 + math.log(1 + files)
+    A word that ``frequencies`` does not hold is in ``rare`` files at most.
+    """
+
+    def __init__(
+        self, templates: dict[str, str], frequencies: dict[str, int], files: int, least: float, rare: int = 0
+    ):
+        self.least, self.rare = least, rare
         self.names = sorted(templates)
-        self.weights = {
-            w: 1 + math.log((1 + files) / (1 + frequencies.get(w, 0))) for x in templates.values() for w in terms(x)
-        }
+        wanted = {w for x in templates.values() for w in terms(x)}
+        self.squares = {w: weight(n, files) ** 2 for w, n in frequencies.items()}
+        self.low = weight(rare, files) ** 2  # of a word that is not held, at least
+        self.weights = {w: weight(frequencies.get(w, 0), files) for w in wanted}
         self.postings: dict[str, list[tuple[int, float]]] = {}
         for at, name in enumerate(self.names):
             found = {w: n * self.weights[w] for w, n in Counter(terms(templates[name])).items()}
@@ -69,13 +78,16 @@ class Matcher:
             for w, v in found.items():
                 self.postings.setdefault(w, []).append((at, v / length))
 
-    def score(self, line: str) -> tuple[float, str] | None:
-        """The best cosine of at least ``least`` and its template."""
-        counts = Counter(terms(line))
+    def bounded(self, words: list[str]) -> tuple[float, str, float, float, dict[str, int]] | None:
+        """The best cosine at most and its template, dot product, squared length, and the words to be added to that."""
+        counts = Counter(words)
         known = {w: n * self.weights[w] for w, n in counts.items() if w in self.weights}
+        if not known:
+            return None
         inside = sum(v * v for v in known.values())
-        whole = inside + self.most**2 * sum(n * n for w, n in counts.items() if w not in self.weights)
-        if not whole or inside < self.least**2 * whole:  # the cosine is at most sqrt(inside / whole)
+        other = {w: n for w, n in counts.items() if w not in self.weights}
+        whole = inside + sum(n * n * self.squares.get(w, self.low) for w, n in other.items())
+        if inside < self.least**2 * whole:  # the cosine is at most sqrt(inside / whole)
             return None
         dots = np.zeros(len(self.names))
         for w, v in known.items():
@@ -83,24 +95,65 @@ class Matcher:
                 dots[at] += v * x
         best = int(dots.argmax())
         cosine = float(dots[best]) / math.sqrt(whole)
-        return (min(1.0, cosine), self.names[best]) if cosine >= self.least else None
-
+        if cosine < self.least:
+            return None
+        missing = {w: n for w, n in other.items() if w not in self.squares} if self.rare else {}
+        held = whole - self.low * sum(n * n for n in missing.values())
+        return min(1.0, cosine), self.names[best], float(dots[best]), held, missing
 
-def frequencies(files: DataFrame, templates: dict[str, str]) -> tuple[dict[str, int], int]:
-    """In how many files each word of the templates occurs, and the number of files."""
-    wanted = frozenset(w for x in templates.values() for w in terms(x))
+    def score(self, line: str) -> tuple[float, str] | None:
+        """The best cosine of at least ``least`` and its template; at most that if words are not held."""
+        found = self.bounded(terms(line))
+        return found[:2] if found else None
+
+    def statements(self, text: str) -> Iterator[list[str]]:
+        """The words of each line."""
+        return map(terms, text.splitlines())
+
+    def best(self, text: str) -> tuple[float | None, str | None, list[dict]]:
+        """Score and template of the best statement whose words are all held, and others that might be better."""
+        found, top, name = {}, 0.0, None
+        for words in self.statements(text):
+            one = self.bounded(words)
+            if not one:
+                continue
+            if one[4]:
+                found[one[1:4], tuple(sorted(one[4].items()))] = one
+            elif name is None or (-one[0], one[1]) < (-top, name):
+                top, name = one[:2]
+        unsure = [
+            {"name": x[1], "dot": x[2], "held": x[3], "missing": [{"term": w, "n": n} for w, n in x[4].items()]}
+            for x in found.values()
+            if x[0] >= top
+        ]
+        return (top if name else None), name, unsure
+
+
+def weight(n: int, files: int) -> float:
+    """Inverse document frequency of a word that ``n`` of ``files`` files hold."""
+    return 1 + math.log((1 + files) / (1 + n))
+
+
+def frequencies(files: DataFrame) -> DataFrame:
+    """term, n: in how many files each word occurs; the empty term has the number of files."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: Counter[str] = Counter()
+
+        def flush() -> pd.DataFrame:
+            return pd.DataFrame({"term": list(counts), "n": list(counts.values())}).astype({"n": "i8", "term": object})
+
         for frame in frames:
             for text in frame["text"]:
-                counts.update(wanted.intersection(terms(text)))
+                counts.update(set(terms(text)))
+                if len(counts) >= TASK_TERMS:
+                    yield flush()
+                    counts.clear()
             counts[""] += len(frame)
-        yield pd.DataFrame({"term": list(counts), "n": list(counts.values())}).astype({"n": "i8", "term": object})
+        yield flush()
 
     found = files.select(F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "term string, n long")
-    table = {row["term"]: row["n"] for row in found.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return table, table.pop("", 0)
+    return found.groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def directory(path: Column) -> Column:
@@ -108,29 +161,60 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(F.coalesce(path, F.lit("")), r"/?[^/]*$", "")
 
 
+def _settled(first: DataFrame, words: DataFrame, total: int, least: float) -> DataFrame:
+    """The rows of ``first`` with the best of their statements, those with uncommon words at their exact cosine."""
+    open_ = first.filter(F.size("unsure") > 0).dropDuplicates(["key"])
+    each = open_.select("key", F.posexplode("unsure").alias("at", "u"))
+    terms_ = each.select("key", "at", "u.name", "u.dot", "u.held", F.explode("u.missing").alias("m"))
+    idf = 1 + F.log((1 + F.lit(total)) / (1 + F.col("files")))
+    counted = words.select("term", F.col("n").alias("files"))
+    weighed = terms_.select("*", "m.term", F.col("m.n").alias("times")).join(counted, "term")
+    cosines = weighed.groupBy("key", "at").agg(
+        F.first("name").alias("name"),
+        F.least(F.lit(1.0), F.first("dot") / F.sqrt(F.first("held") + F.sum((F.col("times") * idf) ** 2))).alias("score"),
+    )
+    late = (
+        cosines.filter(F.col("score") >= least)
+        .groupBy("key")
+        .agg(F.min(F.struct(F.negative("score").alias("low"), "name")).alias("late"))
+    )
+    mine = F.when(F.col("score").isNotNull(), F.struct(F.negative("score").alias("low"), F.col("own_license").alias("name")))
+    best = F.least(mine, F.col("late"))  # nulls are passed over
+    joined = first.join(late, "key", "left").withColumn("best", best)
+    return joined.select("doc_id", "path", F.negative("best.low").alias("score"), F.col("best.name").alias("own_license"), "dir")
+
+
 def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = THRESHOLD) -> DataFrame:
     """doc_id, path, own_license, score, license, license_path of every row of ``files`` (doc_id, path, text).
 
     ``license`` is the file's own or the inherited one, ``license_path`` says where the latter stands.
     """
     ship(files.sparkSession)
-    counted, total = frequencies(files, templates)
+    table = stored(frequencies(files), "frequencies")
+    total = (table.filter("term = ''").first() or {"n": 0})["n"]
+    words = table.filter("term <> ''")
+    common = {r["term"]: r["n"] for r in words.orderBy(F.desc("n"), "term").limit(COMMON).collect()}
+    wanted = sorted({w for x in templates.values() for w in terms(x)})
+    rare = min(common.values()) if len(common) >= COMMON else 0
+    counted = common | {r["term"]: r["n"] for r in words.filter(F.col("term").isin(wanted)).collect()}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        match = Matcher(templates, counted, total, least)
+        match = Matcher(templates, counted, total, least, rare)
         for frame in frames:
-            out = frame[["doc_id", "path"]].astype({"doc_id": "Int64"})
-            best = []
-            for text in frame["text"]:
-                found = [x for x in map(match.score, text.splitlines()) if x]
-                best.append(max(found, key=lambda x: (x[0], [-ord(c) for c in x[1]])) if found else (None, None))
-            out["score"] = pd.array([x for x, _ in best], "Float64")
-            out["own_license"] = [x for _, x in best]
+            out = frame[["key", "doc_id", "path"]].astype({"doc_id": "Int64"})
+            best = [match.best(text) for text in frame["text"]]
+            out["score"] = pd.array([x for x, _, _ in best], "Float64")
+            out["own_license"] = [x for _, x, _ in best]
+            out["unsure"] = [x for _, _, x in best]
             yield out
 
     rows = files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", F.coalesce("text", F.lit("")).alias("text"))
-    schema = "doc_id long, path string, score double, own_license string"
-    own = stored(rows.mapInPandas(run, schema).withColumn("dir", directory(F.col("path"))), "own")
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "path", "text"))
+    schema = "key long, doc_id long, path string, score double, own_license string, " + UNSURE
+    first = stored(rows.mapInPandas(run, schema).withColumn("dir", directory(F.col("path"))), "first")
+    own = first.drop("key", "unsure")
+    if rare:
+        own = stored(_settled(first, words, total, least), "own")
 
     named = own.filter(F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENSE_FILES) & F.col("own_license").isNotNull())
     of_dir = named.groupBy(F.col("dir").alias("above")).agg(

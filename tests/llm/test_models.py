@@ -152,7 +152,7 @@ def test_license_lines_of_documents(spark):
 def test_a_lines_license_does_not_depend_on_the_number_of_files(spark, monkeypatch, common):
     """Common words beside a statement weigh by their own frequency, whether every task holds it or not."""
     monkeypatch.setattr(license_scan, "COMMON", common)
-    line = "you may copy all rights reserved"
+    line = "all you may rights copy reserved"  # no run of three words is like the statement
     scores = []
     for times in (1, 40):
         kinds = [line, "you may copy", "you may copy this file", "you may", "you copy may rest"]
@@ -169,3 +169,34 @@ def test_a_lines_license_does_not_depend_on_the_number_of_files(spark, monkeypat
             assert expected is None or abs(verdicts[doc][1] - expected[0]) < 1e-9
         scores.append(verdicts[0])
     assert scores[0][0] == scores[1][0] == "proprietary" and abs(scores[0][1] - scores[1][1]) < 0.1
+
+
+def wrapped(text, mark):
+    words = text.split()
+    return "\n".join(mark + " ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+
+
+@pytest.mark.parametrize("common", [50_000, 20])
+def test_wrapped_headers_inner_statements_and_license_texts(spark, monkeypatch, common):
+    monkeypatch.setattr(license_scan, "COMMON", common)
+    bodies = {k: [x for name, x in license_scan.PASSAGES if name == k] for k in ("MIT", "GPL-2.0", "GPL-3.0", "Apache-2.0")}
+    prose = " ".join(f"some prose of the kind that goes on number{i}" for i in range(30))
+    rows = [
+        (1, "m/LICENSE", "The MIT text\n\nCopyright (c) 2024 Acme\n\n" + wrapped(bodies["MIT"][0], "")),
+        (2, "m/code.py", "print(1)"),
+        (3, "a.py", "# Copyright 2024 Acme\n" + wrapped(bodies["Apache-2.0"][0], "# ") + "\n" + prose),
+        (4, "g.c", "/*\n" + wrapped(bodies["GPL-2.0"][0], " * ") + "\n */\n" + prose),
+        (5, "h.c", wrapped(bodies["GPL-3.0"][0], "// ")),
+        (6, "one-line", f"{prose} Released under the MIT License. {prose}"),
+        (7, "two-lines", f"{prose} Licensed under\nCC BY-NC 4.0. {prose}"),
+        (8, "prose", prose + " the rights of some and the terms of a version"),
+        (9, "g/COPYING", wrapped(bodies["GPL-3.0"][1], "\t\t") + "\nPreamble\n" + prose),
+        (10, "g/x/y.c", ""),
+    ]
+    rows += [(100 + i, f"p/{i}", prose) for i in range(20)]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = {r["doc_id"]: r["license"] for r in license_scan.scan(files).collect()}
+    assert [found[i] for i in range(1, 11)] == [
+        "MIT", "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MIT", "CC-BY-NC-4.0", None, "GPL-3.0", "GPL-3.0",
+    ]
+    assert not any(found[100 + i] for i in range(20))

@@ -1,7 +1,9 @@
 """License scan: TF-IDF cosine of lines to templates, then inheritance by directory.
 
-A statement is a line of a file. Its sparse TF-IDF vector is compared with that of each template; a file's
-own license is that of its best line. A file without one takes the license of the licence file in
+A statement is a line of a file, or a run of as many words as a template has, from any word on and
+across line ends. The sparse TF-IDF vector of a line is compared with those of the one-line ``TEMPLATES``, that of a
+run with its template, be it such a line, a header or a license's text (``PASSAGES``); a run must reach ``RUN_LEAST``,
+since it holds no words beside the template's. A file's own license is that of its best statement. A file without one takes the license of the licence file in
 the nearest directory above it, by a join on directory paths.
 
 Document frequencies of all words are counted over all files. Those of the ``COMMON`` most frequent words go to
@@ -20,6 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -29,9 +32,11 @@ from pyspark.sql import functions as F
 from .common import ship, stored
 
 THRESHOLD = 0.6
+#: Wanted cosine of a run of words.
+RUN_LEAST = 0.8
 #: Words whose frequencies every task holds, and words counted at once in a task.
 COMMON, TASK_TERMS = 50_000, 500_000
-UNSURE = "unsure array<struct<name string, dot double, held double, missing array<struct<term string, n long>>>>"
+UNSURE = "unsure array<struct<name string, dot double, held double, least double, missing array<struct<term string, n long>>>>"
 LICENSE_FILES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([-_. ].*)?$"
 
 #: Usual statements of licenses.
@@ -49,6 +54,83 @@ TEMPLATES = {
     "proprietary": "All rights reserved.",
 }
 
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General "
+    "Public License as published by the Free Software Foundation, either version {n} of the License, or (at your "
+    "option) any later version."
+)
+_GNU_TITLE = (
+    "GNU {kind}GENERAL PUBLIC LICENSE Version {n}, {date} Everyone is permitted to copy and distribute verbatim copies "
+    "of this license document, but changing it is not allowed."
+)
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. "
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED."
+)
+
+#: Headers of files and texts of licenses; of a long one the words that it opens with.
+PASSAGES = [
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    ),
+    (
+        "Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION 1. Definitions.",
+    ),
+    ("BSD-2-Clause", _BSD_START + _BSD_END),
+    ("BSD-3-Clause", _BSD_START + _BSD_THIRD + _BSD_END),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    (
+        "CC0-1.0",
+        "Creative Commons Legal Code CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT "
+        "PROVIDE LEGAL SERVICES.",
+    ),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("AGPL-3.0", _GNU.format(what="program", kind="Affero ", n=3)),
+    ("AGPL-3.0", _GNU_TITLE.format(kind="AFFERO ", n=3, date="19 November 2007")),
+    ("GPL-2.0", _GNU.format(what="program", kind="", n=2)),
+    ("GPL-2.0", _GNU_TITLE.format(kind="", n=2, date="June 1991")),
+    ("GPL-3.0", _GNU.format(what="program", kind="", n=3)),
+    ("GPL-3.0", _GNU_TITLE.format(kind="", n=3, date="29 June 2007")),
+    ("LGPL-2.1", _GNU.format(what="library", kind="Lesser ", n="2.1")),
+    ("LGPL-2.1", _GNU_TITLE.format(kind="LESSER ", n="2.1", date="February 1999")),
+    ("LGPL-3.0", _GNU.format(what="library", kind="Lesser ", n=3)),
+    ("LGPL-3.0", _GNU_TITLE.format(kind="LESSER ", n=3, date="29 June 2007")),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
+        "and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The "
+        "above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        'the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    ("MPL-2.0", 'Mozilla Public License Version 2.0 1. Definitions 1.1. "Contributor" means each individual or legal entity'),
+]
+
 _TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 
@@ -106,29 +188,79 @@ class Matcher:
         found = self.bounded(terms(line))
         return found[:2] if found else None
 
-    def statements(self, text: str) -> Iterator[list[str]]:
-        """The words of each line."""
-        return map(terms, text.splitlines())
-
-    def best(self, text: str) -> tuple[float | None, str | None, list[dict]]:
+    def best(self, text: str, runs: Runs) -> tuple[float | None, str | None, list[dict]]:
         """Score and template of the best statement whose words are all held, and others that might be better."""
         found, top, name = {}, 0.0, None
-        for words in self.statements(text):
-            one = self.bounded(words)
-            if not one:
-                continue
+        lines = filter(None, (self.bounded(terms(x)) for x in text.splitlines()))
+        for one, least in chain(zip(lines, repeat(self.least)), zip(runs.found(text), repeat(RUN_LEAST))):
             if one[4]:
-                found[one[1:4], tuple(sorted(one[4].items()))] = one
+                found[one[1:4], least, tuple(sorted(one[4].items()))] = one, least
             elif name is None or (-one[0], one[1]) < (-top, name):
                 top, name = one[:2]
         unsure = [
-            {"name": x[1], "dot": x[2], "held": x[3], "missing": [{"term": w, "n": n} for w, n in x[4].items()]}
-            for x in found.values()
+            {
+                "name": x[1], "dot": x[2], "held": x[3], "least": y,
+                "missing": [{"term": w, "n": n} for w, n in x[4].items()],
+            }
+            for x, y in found.values()
             if x[0] >= top
         ]
         return (top if name else None), name, unsure
 
 
+class Runs:
+    """Runs of words that are like a template of as many words, under the frequencies of a ``Matcher``."""
+
+    def __init__(self, templates: list[tuple[str, str]], frequencies: dict[str, int], files: int, rare: int = 0):
+        self.low = weight(rare, files) ** 2
+        self.held, self.rare = frequencies, rare
+        self.ids = {w: i for i, w in enumerate(sorted({w for _, x in templates for w in terms(x)}))}
+        weights = np.array([weight(frequencies.get(w, 0), files) for w in self.ids] or [0.0])
+        self.weights, self.files = weights, files
+        self.templates = []
+        for name, text in templates:
+            vector = np.bincount([self.ids[w] for w in terms(text)], minlength=len(weights)) * weights
+            self.templates.append((name, len(terms(text)), vector / np.sqrt((vector**2).sum())))
+
+    def found(self, text: str) -> Iterator[tuple[float, str, float, float, dict[str, int]]]:
+        """The cosine at most, template, dot product, squared length and unheld words of every run with ``RUN_LEAST``."""
+        words = terms(text)
+        at = np.fromiter((self.ids.get(w, -1) for w in words), "i8", len(words))
+        if not (at >= 0).any():
+            return
+        # Words of no template add this to the squared length at least; a word said twice adds more.
+        squares = np.where(at >= 0, self.weights[at] ** 2, 1.0)
+        lengths = np.concatenate([[0.0], np.cumsum(squares)])
+        seen = set()
+        for number, (name, n, vector) in enumerate(self.templates):
+            if len(words) < n:
+                continue
+            gains = np.concatenate([[0.0], np.cumsum(np.where(at >= 0, self.weights[at] * vector[at], 0.0))])
+            dots, least = gains[n:] - gains[:-n], lengths[n:] - lengths[:-n]
+            for start in np.flatnonzero(dots >= (RUN_LEAST - 1e-6) * np.sqrt(np.maximum(least, 0))).tolist():
+                run = words[start : start + n]
+                if (number, *run) not in seen:
+                    seen.add((number, *run))
+                    one = self.cosine(run, name, vector)
+                    if one[0] >= RUN_LEAST:
+                        yield one
+
+    def cosine(self, run: list[str], name: str, vector: np.ndarray) -> tuple[float, str, float, float, dict[str, int]]:
+        dot = held = below = 0.0
+        missing = {}
+        for w, n in sorted(Counter(run).items()):
+            if w in self.ids:
+                v = n * self.weights[self.ids[w]]
+                dot += v * vector[self.ids[w]]
+                held += v * v
+            elif w in self.held or not self.rare:
+                held += (n * weight(self.held.get(w, 0), self.files)) ** 2
+            else:
+                missing[w] = n
+                below += n * n * self.low
+        return (min(1.0, float(dot / math.sqrt(held + below))), name, float(dot), float(held), missing)
+
+
 def weight(n: int, files: int) -> float:
     """Inverse document frequency of a word that ``n`` of ``files`` files hold."""
     return 1 + math.log((1 + files) / (1 + n))
@@ -161,20 +293,21 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(F.coalesce(path, F.lit("")), r"/?[^/]*$", "")
 
 
-def _settled(first: DataFrame, words: DataFrame, total: int, least: float) -> DataFrame:
+def _settled(first: DataFrame, words: DataFrame, total: int) -> DataFrame:
     """The rows of ``first`` with the best of their statements, those with uncommon words at their exact cosine."""
     open_ = first.filter(F.size("unsure") > 0).dropDuplicates(["key"])
     each = open_.select("key", F.posexplode("unsure").alias("at", "u"))
-    terms_ = each.select("key", "at", "u.name", "u.dot", "u.held", F.explode("u.missing").alias("m"))
+    terms_ = each.select("key", "at", "u.name", "u.dot", "u.held", "u.least", F.explode("u.missing").alias("m"))
     idf = 1 + F.log((1 + F.lit(total)) / (1 + F.col("files")))
     counted = words.select("term", F.col("n").alias("files"))
     weighed = terms_.select("*", "m.term", F.col("m.n").alias("times")).join(counted, "term")
     cosines = weighed.groupBy("key", "at").agg(
         F.first("name").alias("name"),
+        F.first("least").alias("least"),
         F.least(F.lit(1.0), F.first("dot") / F.sqrt(F.first("held") + F.sum((F.col("times") * idf) ** 2))).alias("score"),
     )
     late = (
-        cosines.filter(F.col("score") >= least)
+        cosines.filter("score >= least")
         .groupBy("key")
         .agg(F.min(F.struct(F.negative("score").alias("low"), "name")).alias("late"))
     )
@@ -184,7 +317,12 @@ def _settled(first: DataFrame, words: DataFrame, total: int, least: float) -> Da
     return joined.select("doc_id", "path", F.negative("best.low").alias("score"), F.col("best.name").alias("own_license"), "dir")
 
 
-def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = THRESHOLD) -> DataFrame:
+def scan(
+    files: DataFrame,
+    templates: dict[str, str] = TEMPLATES,
+    least: float = THRESHOLD,
+    passages: list[tuple[str, str]] = PASSAGES,
+) -> DataFrame:
     """doc_id, path, own_license, score, license, license_path of every row of ``files`` (doc_id, path, text).
 
     ``license`` is the file's own or the inherited one, ``license_path`` says where the latter stands.
@@ -194,15 +332,16 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     total = (table.filter("term = ''").first() or {"n": 0})["n"]
     words = table.filter("term <> ''")
     common = {r["term"]: r["n"] for r in words.orderBy(F.desc("n"), "term").limit(COMMON).collect()}
-    wanted = sorted({w for x in templates.values() for w in terms(x)})
+    all_ = [*templates.items(), *passages]
+    wanted = sorted({w for _, x in all_ for w in terms(x)})
     rare = min(common.values()) if len(common) >= COMMON else 0
     counted = common | {r["term"]: r["n"] for r in words.filter(F.col("term").isin(wanted)).collect()}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        match = Matcher(templates, counted, total, least, rare)
+        match, runs = Matcher(templates, counted, total, least, rare), Runs(all_, counted, total, rare)
         for frame in frames:
             out = frame[["key", "doc_id", "path"]].astype({"doc_id": "Int64"})
-            best = [match.best(text) for text in frame["text"]]
+            best = [match.best(text, runs) for text in frame["text"]]
             out["score"] = pd.array([x for x, _, _ in best], "Float64")
             out["own_license"] = [x for _, x, _ in best]
             out["unsure"] = [x for _, _, x in best]
@@ -214,7 +353,7 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     first = stored(rows.mapInPandas(run, schema).withColumn("dir", directory(F.col("path"))), "first")
     own = first.drop("key", "unsure")
     if rare:
-        own = stored(_settled(first, words, total, least), "own")
+        own = stored(_settled(first, words, total), "own")
 
     named = own.filter(F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENSE_FILES) & F.col("own_license").isNotNull())
     of_dir = named.groupBy(F.col("dir").alias("above")).agg(

@@ -46,7 +46,7 @@ def kept_nodes(found: DataFrame) -> DataFrame:
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the later copies of repeated passages; documents of which nothing is left go."""
     cuts = (
-        suffixes.spans(docs)
+        suffixes.spans(docs, firsts=False)
         .filter("NOT is_first")
         .groupBy(F.col("node").alias("cut_node"))
         .agg(F.collect_list(F.struct("start_word", "end_word")).alias("cuts"))

@@ -236,3 +236,33 @@ def test_similar_pairs(given):
     }
     found = spotsigs.similar_pairs(prints).collect()
     assert {(r["a"], r["b"]) for r in found} == expected and len(found) == len(expected) > 0
+
+
+def test_first_documents_of_spans_in_several_tasks(spark):
+    """Ids descend over the partitions, so most tasks meet a later copy first; two passages join to one span."""
+    hot, cold = prose(41, 60), prose(42, 60)
+    rows = [(i, " ".join(prose(500 + i, 20) + hot + prose(700 + i, 20))) for i in range(40, 1, -1)]
+    rows += [(1, " ".join(hot)), (9000, " ".join(cold))]
+    rows += [(9100 + i, " ".join(prose(900 + i, 15) + hot + cold)) for i in range(12)]
+    where = defaultdict(set)
+    for doc, text in rows:
+        words = lowered(text).split()
+        for i in range(len(words) - 49):
+            where[tuple(words[i : i + 50])].add((doc, i))
+    texts = dict(rows)
+    given = spark.createDataFrame(spark.sparkContext.parallelize(rows, 13), "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or one task sees all
+    try:
+        found = suffixes.repeated_passages(given).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found
+    for r in found:
+        words = lowered(texts[r["doc_id"]]).split()
+        expected = set()
+        for i in range(r["start_word"], r["end_word"] - 49):
+            places = where[tuple(words[i : i + 50])]
+            if len(places) > 1 and ((r["doc_id"], i) == min(places)) == r["is_first"]:
+                expected.add(min(places)[0])
+        assert r["first_doc_ids"] == sorted(expected) and r["first_doc_id"] == min(expected)
+    assert any(len(r["first_doc_ids"]) > 1 for r in found)

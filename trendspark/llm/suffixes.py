@@ -39,7 +39,7 @@ GRAM = 4
 #: Rows combined at once in a task.
 TASK_ROWS = 1 << 20
 
-SPANS = "node long, start_word long, end_word long, n_words long, first_node long, is_first boolean"
+SPANS = "node long, start_word long, end_word long, n_words long, first_node long, is_first boolean, first_nodes array<long>"
 
 
 def word_hashes(text: str, hashes: WordHashes) -> np.ndarray:
@@ -120,8 +120,8 @@ def _first_of_runs(key: np.ndarray, node: np.ndarray, start: np.ndarray) -> np.n
 def _extended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (node, text, keys) to passages around suffixes with those keys.
 
-    Copies found inside a task are settled there (``first_node`` given) and travel by ``route``
-    with no key in common; of each passage the first copy goes on, to meet those of other tasks.
+    Copies found inside a task are settled there (``first_node`` is the task's first copy) and travel by ``route``
+    with no key in common; of each passage that first copy goes on, to meet those of other tasks.
     """
     hashes, held, size = WordHashes(), [], 0
 
@@ -138,6 +138,7 @@ def _extended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             {
                 "route": np.where(copy, node * 31 + start, key.view("i8")),
                 "settled": copy,
+                "key": key.view("i8"),
                 "node": node,
                 "start": start,
                 "first_node": node[first],
@@ -161,7 +162,9 @@ def _extended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
-MATCHES = "node long, start long, first_node long, is_first boolean"
+MATCHES = "kind int, key long, node long, start long, first_node long, is_first boolean"
+#: Kinds of rows: a match; one settled in its task; a task's first copy (node) that is not the first (first_node) of all.
+FINAL, SETTLED, MOVED = 0, 1, 2
 
 
 def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +172,7 @@ def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     waiting = None  # the first copy of the passage in hand; whether it has others is known at its end
     for frame in frames:
         settled = frame["settled"].to_numpy(bool)
-        out = [frame.loc[settled, ["node", "start", "first_node"]].assign(is_first=False)]
+        out = [frame.loc[settled, ["key", "node", "start", "first_node"]].assign(kind=SETTLED, is_first=False)]
         rows = frame[~settled]
         if len(rows):
             if waiting is not None:
@@ -182,12 +185,32 @@ def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ended = repeated.copy()
             ended[first[-1]] = False
             waiting = rows.iloc[[first[-1]]].assign(again=bool(repeated[first[-1]]))
-            for told, is_first in ((copy, False), (ended, True)):
-                found = {"node": node[told], "start": start[told], "first_node": node[first][told]}
-                out.append(pd.DataFrame(found).assign(is_first=is_first))
-        yield pd.concat(out, ignore_index=True)
+            moved = rows["again"].to_numpy(bool) & (node != node[first])
+            for told, kind, is_first in ((copy, FINAL, False), (ended, FINAL, True), (moved, MOVED, False)):
+                found = {"key": key[told], "node": node[told], "start": start[told], "first_node": node[first][told]}
+                out.append(pd.DataFrame(found).assign(kind=kind, is_first=is_first))
+        yield pd.concat(out, ignore_index=True)[MATCH_COLUMNS]
     if waiting is not None and bool(waiting["again"].iloc[0]):
-        yield waiting.assign(first_node=waiting["node"], is_first=True)[["node", "start", "first_node", "is_first"]]
+        yield waiting.assign(first_node=waiting["node"], kind=FINAL, is_first=True)[MATCH_COLUMNS]
+
+
+MATCH_COLUMNS = [x.split()[0] for x in MATCHES.split(", ")]
+
+
+def _with_firsts(matches: DataFrame) -> DataFrame:
+    """Matches with the first copy of all tasks.
+
+    Settled rows meet the table of what moved by passage and their task's first copy, so a passage that very many
+    documents share is dealt out by the tasks that found it.
+    """
+    told = stored(matches, "matches")
+    moved = told.filter(F.col("kind") == MOVED)
+    moved = moved.select(F.col("key").alias("of"), F.col("node").alias("old"), F.col("first_node").alias("new")).distinct()
+    settled = told.filter(F.col("kind") == SETTLED)
+    settled = settled.join(moved, (F.col("key") == F.col("of")) & (F.col("first_node") == F.col("old")), "left")
+    settled = settled.select("node", "start", F.coalesce("new", "first_node").alias("first_node"), "is_first")
+    final = told.filter(F.col("kind") == FINAL).select("node", "start", "first_node", "is_first")
+    return final.unionByName(settled)
 
 
 def _spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,21 +220,27 @@ def _spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for node, matches in zip(frame["node"], frame["matches"], strict=True):
             for is_first in (True, False):
                 found = sorted((m["start"], m["first_node"]) for m in matches if m["is_first"] == is_first)
-                begin = end = least = None
+                begin = end = None
+                firsts = set()
                 for start, first in found:
                     if end is not None and start <= end:
-                        end, least = start + PASSAGE, min(least, first)
+                        end = start + PASSAGE
+                        firsts.add(first)
                         continue
                     if end is not None:
-                        out.append((node, begin, end, end - begin, least, is_first))
-                    begin, end, least = start, start + PASSAGE, first
+                        out.append((node, begin, end, end - begin, min(firsts), is_first, sorted(firsts)))
+                    begin, end, firsts = start, start + PASSAGE, {first}
                 if end is not None:
-                    out.append((node, begin, end, end - begin, least, is_first))
+                    out.append((node, begin, end, end - begin, min(firsts), is_first, sorted(firsts)))
         yield pd.DataFrame(out, columns=[x.split()[0] for x in SPANS.split(", ")])
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """node, start_word, end_word, n_words, first_node, is_first: one row for each span of repeated words."""
+def spans(docs: DataFrame, firsts: bool = True) -> DataFrame:
+    """node, start_word, end_word, n_words, first_node, is_first, first_nodes: one row for each span of repeated words.
+
+    ``first_nodes`` are the documents with the first copies of the span's passages, ``first_node`` is the least of
+    them. Without ``firsts`` both may name the first copy of a task; the spans are the same.
+    """
     ship(docs.sparkSession)
     rows = texts(docs, node_id().alias("node"))
     counted = rows.select("text").mapInPandas(_count_keys, "key long, again boolean")
@@ -221,22 +250,29 @@ def spans(docs: DataFrame) -> DataFrame:
     kept = suffixes.join(repeated, "key", "left_semi").groupBy("node").agg(F.collect_set("key").alias("keys"))
     wanted = stored(kept, "suffixes")
     found = rows.join(wanted.hint("shuffle_hash"), "node").select("node", "text", "keys")
-    schema = "route long, settled boolean, node long, start long, first_node long, again boolean"
+    schema = "route long, settled boolean, key long, node long, start long, first_node long, again boolean"
     passages = found.mapInPandas(_extended, schema)
     dealt = passages.repartition("route").sortWithinPartitions("settled", "route", "node", "start")
     matches = dealt.mapInPandas(_compare, MATCHES)
+    matches = _with_firsts(matches) if firsts else matches.filter(F.col("kind") != MOVED)
     of_node = matches.groupBy("node").agg(F.collect_list(F.struct("start", "first_node", "is_first")).alias("matches"))
     return of_node.mapInPandas(_spans, SPANS)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, start_word, end_word, n_words, first_doc_id, is_first of every span."""
+    """doc_id, start_word, end_word, n_words, first_doc_id, is_first, first_doc_ids of every span."""
     found = spans(docs)
     nulls = docs.filter(F.col("doc_id").isNull()).select(node_id().alias("nameless")).distinct()
     named = found.join(nulls, F.col("node") == F.col("nameless"), "left")
     doc = F.when(F.col("nameless").isNull(), F.col("node"))
     return named.select(
-        doc.alias("doc_id"), "start_word", "end_word", "n_words", F.col("first_node").alias("first_doc_id"), "is_first"
+        doc.alias("doc_id"),
+        "start_word",
+        "end_word",
+        "n_words",
+        F.col("first_node").alias("first_doc_id"),
+        "is_first",
+        F.col("first_nodes").alias("first_doc_ids"),
     )
 
 

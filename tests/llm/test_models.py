@@ -200,3 +200,20 @@ def test_wrapped_headers_inner_statements_and_license_texts(spark, monkeypatch,
         "MIT", "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "MIT", "CC-BY-NC-4.0", None, "GPL-3.0", "GPL-3.0",
     ]
     assert not any(found[100 + i] for i in range(20))
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_the_cut_is_the_quantile_of_all_labelled_rows(spark, monkeypatch, few):
+    """The fit sees few rows of a class, the cut all of them."""
+    monkeypatch.setattr(quality, "PER_CLASS", 15)
+    monkeypatch.setattr(quality, "FEW_LABELS", few)
+    monkeypatch.setattr(quality, "LAST_VALUES", 4)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    ranker = quality.train(docs, labels)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if not held_out(r["doc_id"], 5, 0)}
+    bodies = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect() if r["doc_id"] in known}
+    assert len(bodies) == len(known)
+    strengths = np.sort(ranker.strengths(np.array([quality.features(x) for x in bodies.values()])))
+    bad = sum(q == 0 for q in known.values())
+    assert abs(ranker.cut - (strengths[bad - 1] + strengths[bad]) / 2) < 1e-9

@@ -5,9 +5,9 @@ document, a bad one) the good one should win; the weights minimise the logistic
 feature differences. The cut is the quantile of the strengths that equals the share of
 bad labels; the score is a logistic curve which passes ``THRESHOLD`` there.
 
-The fit uses at most ``PER_CLASS`` labelled rows of each class (those with the smallest hashes of
+The weights are fit on at most ``PER_CLASS`` labelled rows of each class (those with the smallest hashes of
 doc_id) and ``PAIRS`` pairs of them, whatever the size of the corpus. Shares are counted over
-all labels, scores cover all rows.
+all labels, the cut is the quantile over all labelled rows outside the held-out fold, scores cover all rows.
 
 Defined cases: null and empty texts get the score of their (zero) features; null labels are
 ignored; several labels of one doc_id count as the largest; without labels of both classes all
@@ -26,12 +26,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, ship, texts
+from .common import fold, ship, stored, texts
 
 PER_CLASS = 3000
 PAIRS = 60_000
 THRESHOLD = 0.3
 FOLDS = 5
+#: Labels that are broadcast to the texts; more are joined with their strengths.
+FEW_LABELS = 500_000
+#: Ranges counted at once on the way to a quantile, and distinct strengths that the driver takes.
+RANGES, LAST_VALUES = 4096, 10_000
 
 FEATURES = (
     "no_words", "words", "word_length", "repeated_next", "top_word", "distinct", "upper", "digits", "symbols",
@@ -167,7 +171,72 @@ def train(docs: DataFrame, labels: DataFrame) -> Ranker:
     found = rows.toPandas().sort_values("labelled", kind="stable")
     by = [np.array(found.loc[found["quality"] == q, "x"].tolist()).reshape(-1, len(FEATURES)) for q in (1, 0)]
     total = sum(counts.values())
-    return fit(by[0], by[1], counts.get(0, 0) / total if total else 0.0)
+    bad_share = counts.get(0, 0) / total if total else 0.0
+    ranker = fit(by[0], by[1], bad_share)
+    if max(counts.values(), default=0) > PER_CLASS and ranker.weights.any():
+        few = total <= FEW_LABELS
+        ranker.cut = quantile(stored(_strengths(docs, given, ranker, few), "strengths"), bad_share)
+    return ranker
+
+
+def _strengths(docs: DataFrame, given: DataFrame, ranker: Ranker, few: bool) -> DataFrame:
+    """quality, strength of every labelled row; of many labels the texts are scored before the join, not dealt out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            x = np.array([features(text) for text in frame["text"]]).reshape(-1, len(FEATURES))
+            # Adding 0 makes -0.0 the same as 0.0.
+            yield frame[["labelled"]].assign(strength=ranker.strengths(x) + 0.0)
+
+    rows = texts(docs.filter(F.col("doc_id").isNotNull()).filter(fold("doc_id", FOLDS) != 0), F.col("doc_id").alias("labelled"))
+    if few:
+        rows = rows.join(F.broadcast(given.select("labelled")), "labelled", "left_semi")
+    rows = rows.select(F.col("labelled").cast("long").alias("labelled"), "text")
+    return rows.mapInPandas(run, "labelled long, strength double").join(given, "labelled").select("quality", "strength")
+
+
+def quantile(rows: DataFrame, bad_share: float) -> float:
+    """The strength that has ``bad_share`` of all weight below it; each class weighs its share, whatever rows it has.
+
+    Ranges around the wanted place are counted until they hold few distinct values.
+    """
+    good = F.sum((F.col("quality") == 1).cast("long")).alias("good")
+    bad = F.sum((F.col("quality") == 0).cast("long")).alias("bad")
+    all_ = rows.agg(good, bad, F.min("strength").alias("lo"), F.max("strength").alias("hi")).first()
+    each = (1 - bad_share) / max(1, all_["good"]), bad_share / max(1, all_["bad"])
+    wanted, before, lo, hi = bad_share - 1e-9, 0.0, all_["lo"], all_["hi"]
+    while True:
+        inside = rows.filter(F.col("strength").between(lo, hi))
+        values = inside.groupBy("strength").agg(good, bad)
+        width = (hi - lo) / RANGES
+        last = values.orderBy("strength").limit(LAST_VALUES + 1).collect()
+        if len(last) <= LAST_VALUES or not width or lo + width == lo:
+            break
+        number = F.least(F.floor((F.col("strength") - lo) / width), F.lit(RANGES - 1))
+        ranges = inside.groupBy(number.alias("k")).agg(good, bad, F.min("strength").alias("lo"), F.max("strength").alias("hi"))
+        for one in ranges.orderBy("k").collect():
+            weight = one["good"] * each[0] + one["bad"] * each[1]
+            if before + weight >= wanted:
+                break
+            before += weight
+        if (one["lo"], one["hi"]) == (lo, hi):
+            break
+        lo, hi = one["lo"], one["hi"]
+    at = last[-1]["strength"]
+    more = False  # whether the place lies before the last of equal strengths
+    for one in last:
+        before += one["good"] * each[0] + one["bad"] * each[1]
+        if before >= wanted:
+            at, more = one["strength"], before - (each[1] if one["bad"] else each[0]) >= wanted
+            break
+    if more:
+        return float(at)
+    side = rows.agg(
+        F.min(F.when(F.col("strength") > at, F.col("strength"))).alias("above"),
+        F.max(F.when(F.col("strength") < at, F.col("strength"))).alias("below"),
+    ).first()
+    other = side["above"] if side["above"] is not None else side["below"]
+    return float(at if other is None else (at + other) / 2)
 
 
 def accepted(docs: DataFrame, ranker: Ranker) -> DataFrame:

@@ -16,7 +16,6 @@ from trendspark.schemas import RAW_ITEM_KEY
 SAFETY_LAG = timedelta(minutes=15)
 OVERLAP = timedelta(days=2)
 COLD_START = timedelta(days=7)
-CAPACITY = 1000
 # Up to this many keys (and the byte bound of a dimension) a batch is broadcast.
 MAX_BATCH_KEYS = 500_000
 
@@ -192,30 +191,33 @@ def in_windows(items: DataFrame, windows: DataFrame, kind: str) -> DataFrame:
 def capped_window(
     items: DataFrame,
     windows: DataFrame,
-    capacity: int = CAPACITY,
+    capacity: int | None = None,
     kind: str = "forward",
     tie_break: str = "native_id",
 ) -> DataFrame:
-    """The oldest ``capacity`` items of each source's window, ranked.
+    """The oldest ``capacity`` items of each source's window, ranked; all items without one.
 
     One row past the capacity is kept, as rank ``capacity + 1``: its presence
     says that the window was not exhausted. Callers landing rows filter on
     ``rank <= capacity``.
     """
     order = [F.col("event_ts"), F.col(tie_break)]
-    return top_n_per_group(in_windows(items, windows, kind), ["source_name"], order, capacity + 1)
+    inside = in_windows(items, windows, kind)
+    if capacity is None:
+        return number_within(inside, ["source_name"], order=order, out="rank")
+    return top_n_per_group(inside, ["source_name"], order, capacity + 1)
 
 
 def next_cursor(
-    forward: DataFrame, windows: DataFrame, capacity: int = CAPACITY
+    forward: DataFrame, windows: DataFrame, capacity: int | None = None
 ) -> DataFrame:
     """Where each source's cursor goes, from the ranked rows of its forward window.
 
     A window read to its end moves the cursor to ``upper``; otherwise it moves
     to the last event read. Not moving at all is a stall: more items share one
-    instant than a run can take.
+    instant than a run can take. Without ``capacity`` every window is read to its end.
     """
-    read = F.col("rank") <= capacity
+    read = F.lit(True) if capacity is None else F.col("rank") <= capacity
     seen = forward.groupBy("source_name").agg(
         F.max(F.when(read, F.col("event_ts"))).alias("_seen"),
         F.count(F.when(read, 1)).alias("rows_forward"),

@@ -24,7 +24,7 @@ def collect_by_cursor(
     sources: DataFrame,
     run_id: str,
     as_of: datetime,
-    capacity: int = ingest.CAPACITY,
+    capacity: int | None = None,
     backfill_capacity: int | None = None,
     failed: DataFrame | None = None,
     event_time_in_payload: bool = True,
@@ -35,6 +35,7 @@ def collect_by_cursor(
     payload_hash, event_ts), ``sources`` the names to run and ``failed`` the
     (source_name, error_msg) of sources that could not be read: they keep their
     cursor and do not hold back the others. Returns the run's log rows.
+    The forward window is read whole unless ``capacity`` bounds it; the next run goes on from there.
     The backfill reads its whole window unless ``backfill_capacity`` bounds it: its
     lower bound is the same in every run, so rows behind a bound would never land.
     ``event_time_in_payload`` says that a payload determines its event time (as
@@ -52,9 +53,12 @@ def collect_by_cursor(
     else:
         backfill = ingest.capped_window(items, windows, backfill_capacity, "backfill")
         backfill = backfill.filter(F.col("rank") <= backfill_capacity)
+    if capacity is None:
+        ahead = ingest.in_windows(items, windows, "forward").withColumn("rank", F.lit(0))
+    else:
+        ahead = ingest.capped_window(items, windows, capacity, "forward")
     staged = (
-        ingest.capped_window(items, windows, capacity, "forward")
-        .withColumn("kind", F.lit("forward"))
+        ahead.withColumn("kind", F.lit("forward"))
         .unionByName(backfill.withColumn("kind", F.lit("backfill")))
         .withColumn("fetched_at", as_of_column(as_of))
         .withColumn("run_id", F.lit(run_id))
@@ -63,7 +67,9 @@ def collect_by_cursor(
     try:
         forward = staged.filter("kind = 'forward'")
         cursors = ingest.next_cursor(forward, windows, capacity)
-        read = staged.filter((F.col("kind") != "forward") | (F.col("rank") <= capacity))
+        read = staged
+        if capacity is not None:
+            read = staged.filter((F.col("kind") != "forward") | (F.col("rank") <= capacity))
         _land(lake, read, run_id, event_time_in_payload)
         counts = _counts(lake, read, run_id)
         log = (

@@ -15,7 +15,8 @@ from trendspark.sinks import Lake
 from trendspark.sources.items import parse_items, stories
 from trendspark.streaming.ingest import ingest_stream, read_landed
 
-CAPACITY = ingest.CAPACITY
+# The items of one run in the queries' SQL.
+CAPACITY = 1000
 
 
 def payload_hash(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,15 +132,15 @@ def _half_way_windows(raw: DataFrame) -> DataFrame:
 
 def capped_forward_window(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.raw_items(spark, sf)
-    forward = ingest.capped_window(raw, _half_way_windows(raw), tie_break="event_id")
+    forward = ingest.capped_window(raw, _half_way_windows(raw), CAPACITY, tie_break="event_id")
     return forward.filter(F.col("rank") <= CAPACITY).select("source_name", "event_id", "rank")
 
 
 def next_cursor(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.raw_items(spark, sf)
     windows = _half_way_windows(raw)
-    forward = ingest.capped_window(raw, windows, tie_break="event_id")
-    return ingest.next_cursor(forward, windows).select(
+    forward = ingest.capped_window(raw, windows, CAPACITY, tie_break="event_id")
+    return ingest.next_cursor(forward, windows, CAPACITY).select(
         "source_name", "rows_forward", "exhausted", "next_cursor", "stalled"
     )
 

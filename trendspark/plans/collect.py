@@ -38,6 +38,7 @@ def collect_by_cursor(
     The forward window is read whole unless ``capacity`` bounds it; the next run goes on from there.
     The backfill reads its whole window unless ``backfill_capacity`` bounds it: its
     lower bound is the same in every run, so rows behind a bound would never land.
+    Items without ``event_ts`` land in any run.
     ``event_time_in_payload`` says that a payload determines its event time (as
     for every source of this package), which bounds the stored rows to compare.
     """
@@ -53,6 +54,12 @@ def collect_by_cursor(
     else:
         backfill = ingest.capped_window(items, windows, backfill_capacity, "backfill")
         backfill = backfill.filter(F.col("rank") <= backfill_capacity)
+    # No window holds a row without event time; it lands as any other and moves no cursor.
+    undated = (
+        Dimension(windows.filter("kind = 'forward'").select("source_name"))
+        .join(items.filter(F.col("event_ts").isNull()), ["source_name"], spread=["native_id"])
+        .withColumn("rank", F.lit(0))
+    )
     if capacity is None:
         ahead = ingest.in_windows(items, windows, "forward").withColumn("rank", F.lit(0))
     else:
@@ -60,6 +67,7 @@ def collect_by_cursor(
     staged = (
         ahead.withColumn("kind", F.lit("forward"))
         .unionByName(backfill.withColumn("kind", F.lit("backfill")))
+        .unionByName(undated.withColumn("kind", F.lit("undated")))
         .withColumn("fetched_at", as_of_column(as_of))
         .withColumn("run_id", F.lit(run_id))
         .persist(StorageLevel.DISK_ONLY)

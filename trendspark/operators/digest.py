@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trendspark import messages as say
 from trendspark.functions.text import collapse, escape_link_label, escape_markup, strip
 from trendspark.functions.timeutil import as_of_column
-from trendspark.operators.joins import Dimension
-from trendspark.operators.ordering import number_within, top_n_per_group
+from trendspark.operators.joins import maybe_among, spread_join
+from trendspark.operators.ordering import top_of_each
 
 AFFINITY_FLOOR = 0.45
 EXCERPT_CHARS = 220
@@ -21,18 +21,16 @@ DISPLAY_ZONE = "Asia/Seoul"
 def dispatch(
     scores: DataFrame,
     delivery: DataFrame,
-    config: DataFrame | Dimension,
+    config: DataFrame,
     as_of: datetime | str | Column,
     floor: float = AFFINITY_FLOOR,
 ) -> DataFrame:
     """Today's selection: the best ``digest_quota`` documents of each source.
 
     Documents delivered with success are out; a failed delivery comes back.
-    The floor is inclusive. The largest quota, where the config is small enough
-    to know it, bounds the ranking before the shuffle.
+    The floor is inclusive. Each slice of a source is cut to the source's quota
+    where the quotas are joined, then the source over its slices.
     """
-    if not isinstance(config, Dimension):
-        config = Dimension(config)
     now = as_of_column(as_of)
     sent = delivery.filter(F.col("status") == "sent").select("doc_id").distinct()
     candidates = (
@@ -40,17 +38,11 @@ def dispatch(
         .join(sent, "doc_id", "left_anti")
         .drop("half_life_hours", "digest_quota")
     )
-    with_quota = config.join(candidates, ["source"], spread=["doc_id"])
+    with_quota = spread_join(candidates, config, ["source"], ["doc_id"], "_slice")
     order = [F.col("score").desc_nulls_last(), F.col("doc_id")]
-    quota = F.col("digest_quota")
-    largest = config.max_of("digest_quota")
-    if largest is not None:
-        chosen = top_n_per_group(
-            with_quota, ["source"], order, largest, "rank_in_source", per_row_limit=quota
-        )
-    else:
-        ranked = number_within(with_quota, ["source"], order, "rank_in_source")
-        chosen = ranked.filter(F.col("rank_in_source") <= quota)
+    chosen = top_of_each(
+        with_quota, ["source"], "_slice", order, F.col("digest_quota"), "rank_in_source"
+    )
     return chosen.select(
         F.concat(F.to_date(now).cast("string"), F.lit(":"), F.col("doc_id")).alias("dispatch_id"),
         F.to_date(now).alias("digest_date"),
@@ -74,8 +66,9 @@ def pending_items(
 ) -> DataFrame:
     """Selected today and not delivered with success, with their body.
 
-    A day's selection is small, and if measured so it is broadcast: the bodies
-    are then read in place instead of being shuffled for a few rows.
+    A day's selection is small and a document table is not: a bitmap of the
+    selected ids, the same size for any selection, keeps nearly all other bodies
+    out of the join's shuffle. It is a scalar subquery, made when the plan runs.
     """
     today = F.to_date(as_of_column(as_of))
     sent = delivery.filter(F.col("status") == "sent").select("dispatch_id").distinct()
@@ -83,8 +76,7 @@ def pending_items(
         sent, "dispatch_id", "left_anti"
     )
     return (
-        Dimension(open_items)
-        .join(docs.select("doc_id", "body"), ["doc_id"], spread=())
+        open_items.join(maybe_among(docs.select("doc_id", "body"), open_items, "doc_id"), "doc_id")
         .select(
             "dispatch_id",
             "digest_date",

@@ -56,6 +56,22 @@ def top_n_per_group(
     return ranked if per_row_limit is None else ranked.filter(F.col(rank_col) <= per_row_limit)
 
 
+def top_of_each(
+    df: DataFrame, keys: Sequence[str], slice_col: str, order: Sequence[Column], limit: Column, rank_col: str
+) -> DataFrame:
+    """The first ``limit`` rows per key, a column that is constant within a key, ranked from 1.
+
+    First per (key, slice), on the partitioning that a join by both has left,
+    then per key over the survivors. The cut is the same at any size of the
+    limit, and the result does not depend on the slices.
+    """
+    first = Window.partitionBy(*keys, slice_col).orderBy(*order)
+    survivors = df.withColumn(rank_col, F.row_number().over(first)).filter(F.col(rank_col) <= limit)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    ranked = survivors.drop(slice_col).withColumn(rank_col, F.row_number().over(w))
+    return ranked.filter(F.col(rank_col) <= limit)
+
+
 def number_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str
 ) -> DataFrame:

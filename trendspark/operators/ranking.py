@@ -10,11 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trendspark.functions.timeutil import as_of_column, hours_between
-from trendspark.functions.vectors import cosine, dot, norm
-from trendspark.operators.joins import MAX_DIM_ROWS, Dimension
+from trendspark.functions.vectors import cosine
+from trendspark.operators.joins import MAX_DIM_ROWS
 from trendspark.operators.metrics import velocity_per_day
 
 FULL_SCALE = 2000
+# Vectors, and bytes of them, in a chunk or a block.
+BLOCK_ROWS = 1024
+BLOCK_BYTES = 8 << 20
+# Copies of a block, and parts that the chunks of a dimension are dealt to.
+SALTS = 8
 
 
 def of_current_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -25,42 +30,18 @@ def of_current_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def affinity_pairs(
-    docs: DataFrame, embeddings: DataFrame, interests: DataFrame | Dimension, model: str
+    docs: DataFrame, embeddings: DataFrame, interests: DataFrame, model: str
 ) -> DataFrame:
     """Cosine of each document with each interest of the same model.
 
-    Lengths are taken once per vector, not once per pair. The interests are
-    few, so they are broadcast, or salted where they are not. Vectors of another
-    dimension do not match.
+    The pairs are what a caller asks for here; ``document_affinity`` makes none.
+    They come out of the same products of blocks. Vectors of another dimension
+    do not match; the cosine with a vector of length 0 is unknown.
     """
-    if not isinstance(interests, Dimension):
-        interests = Dimension(interest_vectors(interests, model))
-    of_model = embeddings.filter(F.col("model_name") == model)
-    vectors = of_current_text(of_model, docs).select(
-        "doc_id",
-        F.col("vec"),
-        F.size("vec").alias("dim"),
-        norm(F.col("vec")).alias("_norm"),
-    )
-    paired = interests.join(vectors, ["dim"], spread=["doc_id"])
-    return paired.select(
-        "doc_id",
-        "interest_key",
-        "label",
-        F.try_divide(
-            dot(F.col("vec"), F.col("interest_vec")), F.col("_norm") * F.col("interest_norm")
-        ).alias("affinity"),
-    )
-
-
-def interest_vectors(interests: DataFrame, model: str) -> DataFrame:
-    return interests.filter(F.col("model_name") == model).select(
-        "interest_key",
-        "label",
-        F.size("vec").alias("dim"),
-        F.col("vec").alias("interest_vec"),
-        norm(F.col("vec")).alias("interest_norm"),
+    rows = _products(embeddings, interests, model).mapInArrow(
+        _multiplier(best_only=False), _MATCH
     )
+    return of_current_text(rows, docs).select("doc_id", "interest_key", "label", "affinity")
 
 
 def best_interest(pairs: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -89,71 +70,111 @@ def document_affinity(
 ) -> DataFrame:
     """Closest interest per document without making the pairs.
 
-    A measured-small interest table becomes one matrix per task, and every
-    Arrow batch of vectors read from the table is one matrix product. Matching
-    comes before the join with the documents, so vectors are never shuffled;
-    only (id, hash, best match) rows are. A larger table goes through the salted
-    pair join. The closing aggregate holds the one-row-per-document grain even
-    if a retried embedding job stored a vector twice; it runs on the
-    partitioning and order that the join left.
+    Vectors are packed into chunks where they are read and topics into blocks;
+    a task multiplies a chunk with a block and keeps the best topic of each
+    vector, so it holds one of each whatever the number of topics. The closing
+    aggregate takes the best over the blocks and holds the one-row-per-document
+    grain even if a vector was stored twice.
     """
-    topics = Dimension(interest_vectors(interests, model))
-    if not topics.small:
-        return best_interest(affinity_pairs(docs, embeddings, topics, model))
-    rows = sorted(topics.rows.to_pylist(), key=lambda r: r["interest_key"])
-    vectors = embeddings.filter(F.col("model_name") == model).select(
-        "doc_id", "content_hash", "vec"
-    )
-    matched = vectors.mapInArrow(
-        _matcher(rows),
-        "doc_id string, content_hash string, affinity double, interest_key string, label string",
+    matched = _products(embeddings, interests, model).mapInArrow(
+        _multiplier(best_only=True), _MATCH
     )
     return best_interest(of_current_text(matched, docs), ["doc_id", "content_hash"])
 
 
-def _matcher(topics: list[dict]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The per-task matching function; nested, so it travels to the workers by value."""
+_MATCH = "doc_id string, content_hash string, interest_key string, label string, affinity double"
+
+
+def _products(embeddings: DataFrame, interests: DataFrame, model: str) -> DataFrame:
+    """Rows of one chunk of vectors and one block of topics of the same dimension and model.
+
+    Most vectors share one dimension, so the join key is that and a salt. Blocks
+    that Catalyst knows to be small are broadcast, ``SALTS`` times their size;
+    others are joined by sorting, where adaptive execution splits further.
+    """
+    vectors = embeddings.filter(F.col("model_name") == model).select("doc_id", "content_hash", "vec")
+    topics = interests.filter(F.col("model_name") == model).select("interest_key", "label", "vec")
+    chunks = vectors.mapInArrow(
+        _packer(["doc_id", "content_hash"], "vectors"),
+        "dim int, doc_id array<string>, content_hash array<string>, vectors binary",
+    )
+    blocks = topics.mapInArrow(
+        _packer(["interest_key", "label"], "topics"),
+        "dim int, interest_key array<string>, label array<string>, topics binary",
+    )
+    salted = chunks.withColumn("_salt", F.pmod(F.xxhash64(F.col("doc_id")[0]), F.lit(SALTS)).cast("int"))
+    copies = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["dim", "_salt"]).drop("_salt")
+
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_dim: dict[int, tuple[np.ndarray, list[dict]]] = {}
-        for dim in {t["dim"] for t in topics}:
-            same = [t for t in topics if t["dim"] == dim and t["interest_norm"]]
-            if same:
-                matrix = np.array([t["interest_vec"] for t in same], dtype="float64")
-                by_dim[dim] = (matrix / np.linalg.norm(matrix, axis=1, keepdims=True), same)
+def _packer(names: list[str], kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of up to ``BLOCK_ROWS`` vectors of one dimension; nested, so it travels by value."""
+    most, most_bytes = BLOCK_ROWS, BLOCK_BYTES
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vecs = batch.column("vec")
-            sizes = vecs.value_lengths().to_numpy(zero_copy_only=False)
-            for dim, (matrix, same) in by_dim.items():
-                chosen = np.flatnonzero(sizes == dim)
-                if not len(chosen):
-                    continue
-                flat = vecs.take(pa.array(chosen)).flatten().to_numpy(zero_copy_only=False)
-                data = flat.astype("float64").reshape(len(chosen), dim)
-                length = np.linalg.norm(data, axis=1)
-                known = length > 0
-                cosines = (data[known] / length[known, None]) @ matrix.T
-                # Among equal maxima take the last, which has the largest key.
-                best = cosines.shape[1] - 1 - np.argmax(cosines[:, ::-1], axis=1)
+            sizes = vecs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            for dim in np.unique(sizes[sizes > 0]):
+                of_dim = np.flatnonzero(sizes == dim)
+                step = max(1, min(most, most_bytes // (8 * int(dim))))
+                for start in range(0, len(of_dim), step):
+                    rows = pa.array(of_dim[start : start + step])
+                    flat = vecs.take(rows).flatten().to_numpy(zero_copy_only=False).astype("<f8")
+                    named = [pa.array([batch.column(n).take(rows).to_pylist()], pa.list_(pa.string())) for n in names]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([dim], pa.int32()), *named, pa.array([flat.tobytes()], pa.binary())],
+                        ["dim", *names, kind],
+                    )
+
+    return pack
+
+
+def _multiplier(best_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cosines of each row's chunk and block: of a vector the best one, or all; nested as above."""
+
+    def unit(packed: bytes, dim: int) -> np.ndarray:
+        rows = np.frombuffer(packed, "<f8").reshape(-1, dim)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                order = sorted(range(len(row["interest_key"])), key=row["interest_key"].__getitem__)
+                # NaN where a vector has length 0.
+                cosines = unit(row["vectors"], row["dim"]) @ unit(row["topics"], row["dim"])[order].T
+                n, m = cosines.shape
+                if best_only:
+                    cosines[np.isnan(cosines)] = -np.inf
+                    # Among equal maxima the last, which has the largest key.
+                    across = m - 1 - np.argmax(cosines[:, ::-1], axis=1)
+                    down = np.flatnonzero(cosines[np.arange(n), across] > -np.inf)
+                    across = across[down]
+                else:
+                    down, across = np.repeat(np.arange(n), m), np.tile(np.arange(m), n)
+                found = cosines[down, across]
+                topic = [order[i] for i in across]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").take(pa.array(chosen[known])),
-                        batch.column("content_hash").take(pa.array(chosen[known])),
-                        pa.array(cosines[np.arange(len(best)), best]),
-                        pa.array([same[b]["interest_key"] for b in best], pa.string()),
-                        pa.array([same[b]["label"] for b in best], pa.string()),
+                        pa.array([row["doc_id"][i] for i in down], pa.string()),
+                        pa.array([row["content_hash"][i] for i in down], pa.string()),
+                        pa.array([row["interest_key"][i] for i in topic], pa.string()),
+                        pa.array([row["label"][i] for i in topic], pa.string()),
+                        pa.array(found, mask=np.isnan(found)),
                     ],
-                    ["doc_id", "content_hash", "affinity", "interest_key", "label"],
+                    ["doc_id", "content_hash", "interest_key", "label", "affinity"],
                 )
 
-    return match
+    return multiply
 
 
 def score(
     docs: DataFrame,
     affinity: DataFrame,
     latest_metric: DataFrame,
-    config: DataFrame | Dimension,
+    config: DataFrame,
     as_of: datetime | str | Column,
     full_scale: int = FULL_SCALE,
 ) -> DataFrame:
@@ -163,12 +184,11 @@ def score(
     logarithmic and a bonus, so a document without metrics is neutral. Sources
     missing from ``config`` drop out. Idempotent for a given ``as_of``.
     """
-    if not isinstance(config, Dimension):
-        config = Dimension(config)
     now = as_of_column(as_of)
     narrow = docs.select("doc_id", "source", "title", "url", "published_at")
+    # Of a config that is not broadcast, adaptive execution splits the hot sources.
     joined = (
-        config.join(narrow, ["source"], spread=["doc_id"])
+        narrow.join(config, "source")
         .join(affinity, "doc_id")
         .join(latest_metric, "doc_id", "left")
     )

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from trendspark.operators import alerts, digest, documents, embedding, metrics, quality, ranking
 from trendspark.operators.ingest import watermark_state
-from trendspark.operators.joins import Dimension
 from trendspark.sinks import Lake
 
 
@@ -17,10 +16,11 @@ def refresh_documents(lake: Lake) -> None:
     """Merge the latest revision of every recently fetched item.
 
     The first run and later runs share this plan; an empty table only moves
-    the lookback to 1970.
+    the lookback to 1970. The lookback is on the commit of a run, so a row that
+    landed late is merged whatever its own times say.
     """
     bound = documents.lookback_bound(lake.read("document"))
-    raw = lake.raw_items(fetched_after=bound)
+    raw = lake.raw_items(committed_after=bound)
     docs = documents.unify(documents.parse_feed(raw), documents.parse_items(raw))
     lake.write_upsert("document", docs, ["doc_id"])
 
@@ -30,7 +30,9 @@ def refresh_metrics(lake: Lake) -> None:
     bound = documents.lookback_bound(
         lake.read("metric_daily"), target_column="observed_at", whole_days=True
     )
-    observations = metrics.item_observations(lake.raw_items(fetched_after=bound))
+    # A run may reach over midnight; its rows of the day before the bound are merged already.
+    raw = lake.raw_items(committed_after=bound).filter(F.col("fetched_at") > bound)
+    observations = metrics.item_observations(raw)
     daily = metrics.daily_last(observations)
     lake.write_upsert("metric_daily", daily, ["doc_id", "metric_date"])
 
@@ -72,7 +74,7 @@ def scores(lake: Lake, config: DataFrame, model: str, as_of: datetime) -> DataFr
         docs, lake.read("embedding"), lake.read("interest_embedding"), model
     )
     latest = metrics.latest_delta(lake.read("metric_daily"))
-    return ranking.score(docs, affinity, latest, Dimension(config), as_of)
+    return ranking.score(docs, affinity, latest, config, as_of)
 
 
 def refresh_ranking(
@@ -87,7 +89,7 @@ def refresh_ranking(
     chosen = digest.dispatch(
         lake.read("document_score"), lake.read("delivery"), config, as_of, floor
     )
-    lake.replace_partitions("digest_dispatch", chosen, "digest_date")
+    lake.replace_partitions("digest_dispatch", chosen, "digest_date", [as_of.date()])
 
 
 def refresh_quality(lake: Lake, as_of: datetime) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendspark.operators import digest, embedding, metrics, quality, ranking
-from trendspark.operators.joins import Dimension
 from trendspark.queries import bindings as b
 from trendspark.queries.bindings import oracle
 
@@ -68,13 +67,13 @@ def document_affinity(spark: SparkSession, sf: str) -> DataFrame:
     return best.withColumn("affinity", F.round("affinity", 6))
 
 
-def _score(spark: SparkSession, sf: str, docs: DataFrame, config: Dimension) -> DataFrame:
+def _score(spark: SparkSession, sf: str, docs: DataFrame, config: DataFrame) -> DataFrame:
     latest = metrics.latest_delta(metrics.daily_last(b.observations(b.raw_items(spark, sf))))
     return ranking.score(docs, _affinity(spark, sf, docs), latest, config, b.AS_OF)
 
 
 def document_score(spark: SparkSession, sf: str) -> DataFrame:
-    config = Dimension(b.source_config(spark, sf))
+    config = b.source_config(spark, sf)
     scored = _score(spark, sf, b.documents(spark, sf), config)
     rounded = ["affinity", "recency_decay", "engagement_boost", "score"]
     return scored.select(
@@ -83,7 +82,7 @@ def document_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dispatch(spark: SparkSession, sf: str, docs: DataFrame) -> DataFrame:
-    config = Dimension(b.source_config(spark, sf))
+    config = b.source_config(spark, sf)
     scores = _score(spark, sf, docs, config)
     return digest.dispatch(scores, b.delivery(spark, sf), config, b.AS_OF, b.FLOOR)
 

@@ -20,6 +20,11 @@ WATERMARK = """
     last_success_at timestamp, consecutive_fail bigint, updated_at timestamp
 """
 
+# The revision of a merged table's part that readers see: the highest one.
+PUBLICATION = """
+    table_name string, part string, revision bigint, published_at timestamp
+"""
+
 EMBEDDING = """
     doc_id string, model_name string, content_hash string, dim int,
     vec array<float>, embedded_at timestamp

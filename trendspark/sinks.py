@@ -4,27 +4,33 @@ A run's raw rows become visible only when its run-log row exists, and that row
 is written last: a crash in between leaves hidden rows and an unmoved cursor,
 and a retry under the same run id replaces its own rows.
 
+A merged table is published the same way, part by part: the parts that a merge
+touches are written as a new revision, and one file of marker rows then makes
+all of them visible. A merge that dies earlier leaves the old revision readable
+and is simply made again; the replaced folders go last.
+
 Writes are rebalanced: adaptive execution then merges small output partitions
 and splits large ones, so neither a small run nor a hot part sets file sizes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+from datetime import date
 from urllib.parse import quote
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from trendspark import schemas
 from trendspark.operators.documents import upsert
 from trendspark.operators.ingest import committed_rows
-from trendspark.operators.joins import Dimension
-from trendspark.session import configure
+from trendspark.session import configure, stored
 
 TABLES = {
     "raw_item": schemas.RAW_ITEM,
     "run_log": schemas.RUN_LOG,
+    "publication": schemas.PUBLICATION,
     "embedding": schemas.EMBEDDING,
     "interest_embedding": schemas.INTEREST_EMBEDDING,
     "delivery": schemas.DELIVERY,
@@ -38,10 +44,14 @@ TABLES = {
 
 # The column a merged table is stored by. A document's block is its id without
 # the last characters: ids grow with time, so the documents of one run share few
-# blocks and a merge leaves the rest of the table alone.
+# blocks and a merge leaves the rest of the table alone. Ids that are no numbers
+# have no such order and go to a fixed number of blocks.
 LAYOUT = {"document": "block", "metric_daily": "metric_date"}
 BLOCK_CHARS = 4
+HASH_BLOCKS = 1024
+# Up to this many replaced parts are opened by path, without listing the table.
 MAX_LISTED_PARTS = 10_000
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Lake:
@@ -60,32 +70,57 @@ class Lake:
 
     def read(self, table: str) -> DataFrame:
         """A table with its declared schema; empty before the first write."""
-        schema = TABLES[table]
+        if table in LAYOUT:
+            return self._visible(table).select(*self.columns(table))
+        return self._files(table, TABLES[table]).select(*self.columns(table))
+
+    def _files(self, table: str, schema: str) -> DataFrame:
         try:
-            stored = self.spark.read.schema(schema).parquet(self.path(table))
-            # Without the block of merged tables.
-            return stored.select(*self.columns(table))
+            return self.spark.read.schema(schema).parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def _revisions(self, table: str) -> DataFrame:
+        """The visible revision of each part of a merged table."""
+        marked = self.read("publication").filter(F.col("table_name") == table)
+        return marked.groupBy("part").agg(F.max("revision").alias("revision"))
+
+    def _merged_schema(self, table: str) -> str:
+        own = "" if LAYOUT[table] in self.columns(table) else f", {LAYOUT[table]} string"
+        return f"{TABLES[table]}{own}, revision bigint"
+
+    def _visible(self, table: str, parts: DataFrame | None = None) -> DataFrame:
+        """The rows of visible revisions, of all parts or those in ``parts`` (part, revision).
+
+        Both join keys are folders, so the scan is pruned at run time.
+        """
+        if parts is None:
+            parts = self._revisions(table)
+        files = self._files(table, self._merged_schema(table))
+        same_part = files[LAYOUT[table]].cast("string").eqNullSafe(parts["part"])
+        return files.join(parts, same_part & (files["revision"] == parts["revision"]), "left_semi")
+
+    def _folder(self, table: str, part: str | None, revision: int) -> str:
+        name = NO_VALUE if part is None else part
+        return f"{self.path(table)}/revision={revision}/{LAYOUT[table]}={name}"
+
     def raw_items(
-        self, except_run: str | None = None, fetched_after: Column | None = None
+        self, except_run: str | None = None, committed_after: Column | None = None
     ) -> DataFrame:
         """Rows of committed runs only.
 
         ``except_run`` prunes the folder of a run that is about to be replaced.
-        ``fetched_after`` keeps later rows; a run ends no earlier than its rows
-        were fetched, so the run log prunes the folders of earlier runs.
+        ``committed_after`` keeps the runs that ended later, with all their rows,
+        whatever times these carry; the run log prunes the folders of the others.
         """
-        stored, log = self.read("raw_item"), self.read("run_log")
+        items, log = self.read("raw_item"), self.read("run_log")
         if except_run is not None:
-            stored = stored.filter(F.col("run_id") != except_run)
-        if fetched_after is not None:
-            stored = stored.filter(F.col("fetched_at") > fetched_after)
-            log = log.filter(F.col("ended_at") > fetched_after)
-        return committed_rows(stored, log)
+            items = items.filter(F.col("run_id") != except_run)
+        if committed_after is not None:
+            log = log.filter(F.col("ended_at") > committed_after)
+        return committed_rows(items, log)
 
     def logged(self, run_id: str) -> bool:
         return not self.read("run_log").filter(F.col("run_id") == run_id).limit(1).isEmpty()
@@ -110,54 +145,94 @@ class Lake:
             .parquet(self.path(table))
         )
 
-    def replace_partitions(self, table: str, rows: DataFrame, column: str) -> None:
-        """Replace the partitions that occur in ``rows`` and no others.
+    def replace_partitions(
+        self, table: str, rows: DataFrame, column: str, values: Sequence[str | date] | None = None
+    ) -> None:
+        """Replace whole partitions.
 
-        An empty result replaces nothing: the earlier rows of that day stay.
+        With ``values`` these partitions and no others: rows of other ones are not
+        written, and a partition that gets no rows is emptied. Without it the
+        partitions that occur in ``rows``.
         """
-        (
-            rows.hint("rebalance", column)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(column)
-            .parquet(self.path(table))
-        )
+        if values is None:
+            (
+                rows.hint("rebalance", column)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(column)
+                .parquet(self.path(table))
+            )
+            return
+        for value in values:
+            part = rows.filter(F.col(column) == F.lit(value)).drop(column)
+            folder = f"{self.path(table)}/{column}={quote(str(value), safe='')}"
+            part.hint("rebalance").write.mode("overwrite").parquet(folder)
 
     def write_upsert(self, table: str, source: DataFrame, keys: list[str]) -> None:
-        """Merge rows into a table stored by its ``LAYOUT`` column.
+        """Merge rows, one per key, into a table stored by its ``LAYOUT`` column.
 
-        Only the parts of the table that ``source`` touches are read and
-        rewritten. A list of them that is measured short prunes the target's
-        scan before it starts, a longer one through a join.
+        Only the parts that ``source`` touches are read and written again, as a
+        new revision. Marker rows in one file publish all of them together.
         """
         part = LAYOUT[table]
         source = source.select(*self.columns(table))
-        schema = TABLES[table]
         if part not in source.columns:
             source = source.withColumn(part, self._block(keys[0]))
-            schema = f"{schema}, {part} string"
-        source = source.persist(StorageLevel.DISK_ONLY)
-        try:
-            touched = Dimension(source.select(part).distinct(), max_rows=MAX_LISTED_PARTS)
-            if touched.small and not touched.rows.num_rows:
-                return
-            try:
-                target = self.spark.read.schema(schema).parquet(self.path(table))
-                if touched.small:
-                    listed = touched.rows.column(part).to_pylist()
-                    target = target.filter(F.col(part).isin(listed))
-                else:
-                    target = target.join(touched.df, part, "left_semi")
-                merged = upsert(target, source, keys)
-            except AnalysisException as error:
-                if error.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                merged = source
-            self.replace_partitions(table, merged, part)
-        finally:
-            source.unpersist()
+        source = stored(source, f"{table}-changes")
+        if source.isEmpty():
+            return
+        touched = source.select(F.col(part).cast("string").alias("part")).distinct()
+        before = self._revisions(table).alias("r").join(
+            touched.alias("t"), F.col("r.part").eqNullSafe(F.col("t.part")), "left_semi"
+        )
+        replaced = stored(before, f"{table}-replaced")
+        last = self.read("publication").filter(F.col("table_name") == table).agg(F.max("revision")).first()[0]
+        revision = 1 + (last or 0)
+        merged = upsert(self._opened(table, replaced).drop("revision"), source, keys)
+        # Static, so that what a merge left here that died before its markers goes.
+        (
+            merged.hint("rebalance", part)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(part)
+            .parquet(f"{self.path(table)}/revision={revision}")
+        )
+        markers = touched.select(
+            F.lit(table).alias("table_name"),
+            "part",
+            F.lit(revision).cast("bigint").alias("revision"),
+            F.current_timestamp().alias("published_at"),
+        )
+        self._publish(markers)
+        self._drop_folders(self._folder(table, r["part"], r["revision"]) for r in replaced.toLocalIterator())
+
+    def _opened(self, table: str, parts: DataFrame) -> DataFrame:
+        """Rows of the given (part, revision)."""
+        listed: list[Row] = parts.limit(MAX_LISTED_PARTS + 1).collect()
+        if len(listed) > MAX_LISTED_PARTS:
+            return self._visible(table, parts)
+        schema = self._merged_schema(table)
+        if not listed:
+            return self.spark.createDataFrame([], schema)
+        paths = [self._folder(table, r["part"], r["revision"]) for r in listed]
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+
+    def _publish(self, markers: DataFrame) -> None:
+        """One file, so that all markers of a merge appear at once."""
+        markers.coalesce(1).write.mode("append").parquet(self.path("publication"))
+
+    def _drop_folders(self, folders: Iterable[str]) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        conf = self.spark._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = hadoop(folder)
+            path.getFileSystem(conf).delete(path, True)
 
     def _block(self, key: str) -> Column:
-        # The leading letter keeps the name of a short id's block from being empty.
+        """A name that needs no escaping in a path."""
         kept = F.greatest(F.length(key) - self.block_chars, F.lit(0))
-        return F.concat(F.lit("b"), F.substring(F.col(key), F.lit(1), kept))
+        # The leading letter keeps the name of a short id's block from being empty.
+        front = F.regexp_replace(F.substring(F.col(key), F.lit(1), kept), "[^A-Za-z0-9.]", "-")
+        bucket = F.pmod(F.xxhash64(key), F.lit(HASH_BLOCKS)).cast("string")
+        counted = F.col(key).rlike("^[^0-9]*[0-9]+([.][0-9]+)?(v[0-9]+)?$")
+        return F.when(counted, F.concat(F.lit("b"), front)).otherwise(F.concat(F.lit("h"), bucket))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trendspark.operators.ingest import idempotent_rows, known_keys, same_event_times
@@ -20,11 +23,22 @@ def read_landed(
     return reader.parquet(path)
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
 def ingest_stream(
-    staged: DataFrame, lake: Lake, checkpoint: str, event_time_in_payload: bool = False
+    staged: DataFrame,
+    lake: Lake,
+    checkpoint: str,
+    event_time_in_payload: bool = False,
+    clock: Callable[[], datetime] = _now,
 ) -> StreamingQuery:
     """Land a stream of staged rows; late rows are accepted like any other.
 
+    ``fetched_at`` is the time of the batch, not what a producer wrote: it is
+    the time of the commit that later steps look back on, so a row that arrives
+    days late is seen by them like a new one.
     Each micro-batch is one run named after its batch id. A replayed batch
     compares against committed runs other than itself and replaces its own
     rows, so restarting after a failure neither loses nor repeats a row. Set
@@ -36,6 +50,8 @@ def ingest_stream(
         run_id = f"stream-{batch_id:012d}"
         if lake.logged(run_id):
             return
+        landed_at = F.lit(clock())
+        batch = batch.withColumn("fetched_at", landed_at)
         batch.persist()
         try:
             if batch.isEmpty():
@@ -46,7 +62,7 @@ def ingest_stream(
             fresh = idempotent_rows(batch, known_keys(committed, batch))
             lake.write_run(fresh, run_id)
             written = lake.read("raw_item").filter(F.col("run_id") == run_id)
-            lake.append("run_log", _log_rows(batch, written, run_id))
+            lake.append("run_log", _log_rows(batch, written, run_id, landed_at))
         finally:
             batch.unpersist()
 
@@ -58,22 +74,18 @@ def ingest_stream(
     )
 
 
-def _log_rows(batch: DataFrame, written: DataFrame, run_id: str) -> DataFrame:
+def _log_rows(batch: DataFrame, written: DataFrame, run_id: str, landed_at: Column) -> DataFrame:
     new = written.groupBy("source_name").agg(F.count(F.lit(1)).alias("rows_new"))
     none = F.lit(None).cast("timestamp")
     return (
         batch.groupBy("source_name")
-        .agg(
-            F.min("fetched_at").alias("started_at"),
-            F.max("fetched_at").alias("ended_at"),
-            F.count(F.lit(1)).alias("rows_fetched"),
-        )
+        .agg(F.count(F.lit(1)).alias("rows_fetched"))
         .join(new, "source_name", "left")
         .select(
             F.lit(run_id).alias("run_id"),
             "source_name",
-            "started_at",
-            "ended_at",
+            landed_at.alias("started_at"),
+            landed_at.alias("ended_at"),
             F.lit("ok").alias("status"),
             "rows_fetched",
             F.coalesce("rows_new", F.lit(0)).alias("rows_new"),

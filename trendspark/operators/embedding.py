@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trendspark.functions.text import collapse, embedding_text
+from trendspark.functions.text import WHITESPACE, collapse, embedding_text
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators.joins import MAX_DIM_ROWS
 
@@ -80,6 +80,41 @@ def hashing_encoder(dim: int = HASH_DIM) -> Callable[[], Encoder]:
     return build
 
 
+def term_vectors(df: DataFrame, model: str, as_of: datetime | str | Column, dim: int = HASH_DIM) -> DataFrame:
+    """Embedding rows as ``hashing_encoder`` makes them, without Python.
+
+    A word adds 1 to its place or takes 1 away. The words of a document are
+    counted by place where it is read, so at most ``dim`` rows a document are
+    dealt out and texts are not.
+    """
+    text = embedding_text(F.col("title"), F.col("body"))
+    words = F.filter(F.split(F.lower(text), f"{WHITESPACE}+"), lambda w: w != "")
+    documents = df.select("doc_id", "content_hash", F.explode_outer(words).alias("word"))
+    digest = F.md5(F.col("word"))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim
+    sign = 2 * (F.conv(F.substring(digest, 9, 2), 16, 10).cast("int") % 2) - 1
+    counted = documents.groupBy("doc_id", "content_hash", place.cast("int").alias("place")).agg(F.sum(sign).alias("n"))
+    by_document = counted.groupBy("doc_id", "content_hash").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("n") != 0, F.struct("place", F.col("n").cast("double"))))).alias("at"),
+        F.sqrt(F.sum(F.col("n") * F.col("n")).cast("double")).alias("length"),
+    )
+    none = F.coalesce("length", F.lit(0.0)) == 0
+    value = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)),
+        lambda i: F.when(none, (i == 0).cast("double"))
+        .otherwise(F.coalesce(F.try_element_at("at", i), F.lit(0.0)) / F.col("length"))
+        .cast("float"),
+    )
+    return by_document.select(
+        "doc_id",
+        F.lit(model).alias("model_name"),
+        "content_hash",
+        F.lit(dim).alias("dim"),
+        value.alias("vec"),
+        as_of_column(as_of).alias("embedded_at"),
+    )
+
+
 def encode(
     df: DataFrame,
     encoder_factory: Callable[[], Encoder],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators.joins import Dimension
@@ -103,33 +103,51 @@ def watermark_state(run_log: DataFrame) -> DataFrame:
 
     The cursor never regresses (a maximum), is left alone by failures and by
     runs without one, and ``consecutive_fail`` counts the errors since the last
-    success. Plain aggregates throughout: a source with a very long log is
-    reduced before it is shuffled.
+    success. The log is read once: each (source, hour) is summed up to a segment
+    that knows whether a run succeeded and how many errors follow the last one
+    that did; segments of a source then fold from the newest back, so no task
+    sees more than an hour of a source's runs, or its hours.
     """
     position = F.struct("started_at", "run_id")
     succeeded = F.col("status").isin(*COMMITTED)
-    state = run_log.groupBy("source_name").agg(
-        F.max(F.when(succeeded, F.col("watermark_after"))).alias("cursor_ts"),
-        F.max(position).getField("run_id").alias("last_run_id"),
-        F.max(F.when(succeeded, F.col("ended_at"))).alias("last_success_at"),
-        F.max(F.when(succeeded, position)).alias("_last_ok"),
+    hour = F.date_trunc("hour", F.col("started_at"))
+    newest_first = [F.col("started_at").desc_nulls_last(), F.col("run_id").desc_nulls_last()]
+    rest = Window.partitionBy("source_name", "_hour").orderBy(*newest_first).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    runs = run_log.select(
+        "source_name",
+        hour.alias("_hour"),
+        "started_at",
+        "run_id",
+        "ended_at",
+        F.when(succeeded, F.col("watermark_after")).alias("_cursor"),
+        F.when(succeeded, F.col("ended_at")).alias("_success"),
+        succeeded.alias("_ok"),
+        (F.col("status") == "error").alias("_error"),
+    ).withColumn("_ok_since", F.max("_ok").over(rest))
+    segments = runs.groupBy("source_name", "_hour").agg(
+        F.max("_cursor").alias("_cursor"),
+        F.max(position).alias("_last"),
+        F.max("_success").alias("_success"),
+        F.max("_ok").alias("_ok"),
+        F.count(F.when(F.col("_error") & ~F.col("_ok_since"), 1)).alias("_errors"),
         F.max("ended_at").alias("updated_at"),
     )
-    failures = (
-        run_log.filter(F.col("status") == "error")
-        .select("source_name", position.alias("_at"))
-        .join(state.select("source_name", "_last_ok"), "source_name")
-        .filter(F.col("_last_ok").isNull() | (F.col("_at") > F.col("_last_ok")))
-        .groupBy("source_name")
-        .agg(F.count(F.lit(1)).alias("consecutive_fail"))
+    newer = Window.partitionBy("source_name").orderBy(F.col("_hour").desc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    return state.join(failures, "source_name", "left").select(
-        "source_name",
-        "cursor_ts",
-        "last_run_id",
-        "last_success_at",
-        F.coalesce("consecutive_fail", F.lit(0)).alias("consecutive_fail"),
-        "updated_at",
+    open_ended = ~F.coalesce(F.max("_ok").over(newer), F.lit(False))
+    return (
+        segments.withColumn("_errors", F.when(open_ended, F.col("_errors")).otherwise(0))
+        .groupBy("source_name")
+        .agg(
+            F.max("_cursor").alias("cursor_ts"),
+            F.max("_last").getField("run_id").alias("last_run_id"),
+            F.max("_success").alias("last_success_at"),
+            F.sum("_errors").alias("consecutive_fail"),
+            F.max("updated_at").alias("updated_at"),
+        )
     )
 
 

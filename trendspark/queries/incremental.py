@@ -175,7 +175,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return lake.raw_items().select("source_name", "native_id", "payload_hash", "event_ts")
 
 
-def _payload_docs(spark: SparkSession, sf: str) -> DataFrame:
+def payload_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as raw items: English ones as feed entries, the rest as items."""
     docs = b.documents(spark, sf)
     feed = F.to_json(
@@ -206,17 +206,18 @@ def _payload_docs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("content_hash").alias("payload_hash"),
         F.col("published_at").alias("event_ts"),
         (F.col("published_at") + F.expr("interval 1 hour")).alias("fetched_at"),
+        F.col("source").alias("origin"),
     )
 
 
 def parse_documents(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _payload_docs(spark, sf)
+    raw = payload_documents(spark, sf)
     docs = documents.unify(documents.parse_feed(raw), documents.parse_items(raw))
     return docs.select("doc_id", "source", "title", "url", "published_at")
 
 
 def document_union(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _payload_docs(spark, sf)
+    raw = payload_documents(spark, sf)
     docs = documents.unify(documents.parse_feed(raw), documents.parse_items(raw))
     return docs.select(
         "doc_id",

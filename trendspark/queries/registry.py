@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from trendspark.queries import checks, incremental, rank
+from trendspark.queries import checks, incremental, lake, rank
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,9 +31,9 @@ def _naive_times(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    merged = {**incremental.QUERIES, **rank.QUERIES, **checks.QUERIES}
+    merged = {**incremental.QUERIES, **rank.QUERIES, **checks.QUERIES, **lake.QUERIES}
     return {name: _naive_times(query) for name, query in merged.items()}
 
 
 def all_oracles() -> dict[str, str]:
-    return {**incremental.ORACLE, **rank.ORACLE, **checks.ORACLE}
+    return {**incremental.ORACLE, **rank.ORACLE, **checks.ORACLE, **lake.ORACLE}

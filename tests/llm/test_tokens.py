@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -146,3 +147,35 @@ def test_pieces_have_the_ids_of_the_text():
         text = "".join(chance.choices([*marks, *letters, *special] if chance.random() < 0.1 else [*marks, *letters], k=12))
         found = library.encode_batch_fast(packing.pieces(text, special), add_special_tokens=False)
         assert [x for piece in found for x in piece.ids] == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_ids_over_batches_are_the_librarys():
+    import random
+
+    library, special, _ = packing.word_ids(WORDS)
+    chance = random.Random(8)
+    parts = ["the", "The", "cat", "naïve", "x'll", " ", "  ", "\n", "\r\n", "\t", "12", "!?", "中文", "İ", "é", "\u3000", *special]
+    for _ in range(60):
+        texts = ["".join(chance.choices(parts, k=chance.randint(0, 60))) for _ in range(40)]
+        ids, bounds = packing.encoded(pa.array(texts), WORDS)
+        for text, start, end in zip(texts, bounds, bounds[1:]):
+            assert ids[start:end].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert packing.encoded(pa.array([], pa.string()), WORDS)[1].tolist() == [0]
+    assert list(packing.runs_of(np.array([5, 0, 7, 20, 1, 1]), 10)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+
+
+def test_pieces_follow_the_curve(given):
+    """Documents come in the order of their place on the curve, worked out here from the library's ids."""
+    library = Tokenizer.from_file(WORDS)
+    place = {}
+    for doc, text in rows_of(given):
+        counts = np.zeros((1, packing.HASHED))
+        for i in library.encode(text, add_special_tokens=False).ids:
+            counts[0, (i * packing.HASH % 2**32) >> 24] += 1
+        place[doc] = int(packing.curve_keys(counts)[0])
+    first = {}
+    for r in packing.pack(given, WORDS).collect():
+        if r["start"] == 0:
+            first[r["doc_id"]] = r["sequence_id"] * 4096 + r["offset"]
+    order = [place[doc] for doc in sorted(first, key=first.get)]
+    assert len(order) == len(place) and order == sorted(order)

@@ -22,11 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, key_range, partitions, ship, stored, texts
+from .common import key_range, partitions, ship, stored, texts
 
 DIMENSIONS, BITS = 4, 8
 HASHED = 256  # 8 bits: the top ones of an id times HASH
@@ -50,18 +52,19 @@ _has_other = re.compile(_OTHER).search
 _plain_pieces = re.compile(_PLAIN).findall
 _mixed_pieces = re.compile(rf"(?<![^ \n\r])(?:(?! |\n|\r|{_OTHER})[\s\S])*{_OTHER}[^ \n\r]*|{_PLAIN}").findall
 
-_words: dict[str, tuple[tokenizers.Tokenizer, list[str], dict[str, bytes]]] = {}
+_libraries: dict[str, tuple[tokenizers.Tokenizer, list[str], dict[str, bytes]]] = {}
+_words: dict[str, dict[str, bytes]] = {}
 
 
 def word_ids(path: str) -> tuple[tokenizers.Tokenizer, list[str], dict[str, bytes]]:
     """The tokenizer, its special strings, and the ids of pieces seen by this worker, about ``MEMO`` of them."""
-    if path not in _words:
+    if path not in _libraries:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         loaded = tokenizers.Tokenizer.from_file(path)
         loaded.no_truncation()
         loaded.no_padding()
-        _words[path] = loaded, [x.content for x in loaded.get_added_tokens_decoder().values()], {}
-    return _words[path]
+        _libraries[path] = loaded, [x.content for x in loaded.get_added_tokens_decoder().values()], {}
+    return _libraries[path]
 
 
 def pieces(text: str, special: list[str]) -> list[str]:
@@ -121,42 +124,83 @@ def curve_keys(vectors: np.ndarray) -> np.ndarray:
     return hilbert_index(np.clip(cells, 0, (1 << BITS) - 1), BITS)
 
 
+def _ids_of(found: list[str], path: str) -> list[bytes]:
+    """The ids of each of some distinct words; of those not seen before the distinct new pieces are encoded."""
+    library, special, memo = word_ids(path)
+    words = _words.setdefault(path, {})
+    for held in (words, memo):
+        if len(held) > MEMO or sum(map(len, held)) > MEMO_CHARS:
+            held.clear()
+    unseen = {word: pieces(word, special) for word in found if word not in words}
+    new = list({piece for parts in unseen.values() for piece in parts if piece not in memo})
+    for start in range(0, len(new), 5000):
+        part = new[start : start + 5000]
+        for piece, seen in zip(part, library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            memo[piece] = array("I", seen.ids).tobytes()
+    for word, parts in unseen.items():
+        words[word] = b"".join([memo[piece] for piece in parts])
+    return [words[word] for word in found]
+
+
+def encoded(texts_: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some texts, end to end, and where each text's begin (and the last ends).
+
+    The tokenizer joins nothing over a space or a line end, so the words between these are told apart in Arrow,
+    each distinct one is encoded, and its ids are laid out wherever it stands.
+    """
+    body = pc.replace_substring(pc.replace_substring(texts_.cast(pa.large_string()), "\n", " "), "\r", " ")
+    split = pc.split_pattern(body, " ")
+    coded = split.flatten().dictionary_encode()
+    of_word = _ids_of(coded.dictionary.to_pylist(), path)
+    sizes = np.fromiter((len(x) // 4 for x in of_word), "i8", len(of_word))
+    flat, starts = np.frombuffer(b"".join(of_word), "<u4"), np.cumsum(sizes) - sizes
+    index = coded.indices.to_numpy()
+    n = sizes[index]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    ids = flat[np.repeat(starts[index] - ends[:-1], n) + np.arange(ends[-1])]
+    return ids, ends[split.offsets.to_numpy()]
+
+
+def runs_of(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of rows with about ``most`` bytes of text in all, one row at least."""
+    start, held = 0, 0
+    for at, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield start, at
+            start, held = at, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def tokenise(path: str, end_id: int):
     """Rows (row, doc_id, text) to ids with the end id, their number, and the place on the curve.
 
-    Each distinct piece is encoded once and remembered; the hashed vector counts the ids.
+    The hashed vector counts the ids but for the end id.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
-        library, special, memo = word_ids(path)
-        for frame in batches(frames, "text", 1 << 21):
-            if len(memo) > MEMO or sum(map(len, memo)) > MEMO_CHARS:
-                memo.clear()
-            found = [pieces(text, special) for text in frame["text"]]
-            known = [list(map(memo.get, parts)) for parts in found]
-            gaps = [at for at, seen in enumerate(known) if None in seen]
-            new = list({x for at in gaps for x, seen in zip(found[at], known[at], strict=True) if seen is None})
-            for start in range(0, len(new), 5000):
-                part = new[start : start + 5000]
-                for piece, seen in zip(part, library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    memo[piece] = array("I", seen.ids).tobytes()
-            for at in gaps:
-                known[at] = map(memo.__getitem__, found[at])
-            ids, vectors = [], np.zeros((len(found), HASHED))
-            for at, parts in enumerate(known):
-                data = b"".join(parts)
-                ids.append(data + end)
-                vectors[at] = np.bincount(np.frombuffer(data, "<u4") * np.uint32(HASH) >> np.uint32(24), minlength=HASHED)
-            yield pd.DataFrame(
-                {
-                    "row": frame["row"].array,
-                    "doc_id": frame["doc_id"].astype("Int64").array,
-                    "curve": curve_keys(vectors).astype("i8"),
-                    "n_tokens": [len(x) // 4 for x in ids],
-                    "ids": ids,
-                }
-            )
+        for batch in batches:
+            sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)
+            for first, last in runs_of(sizes, 1 << 21):
+                part = batch.slice(first, last - first)
+                ids, bounds = encoded(part["text"], path)
+                n = last - first
+                bucket = (ids * np.uint32(HASH) >> np.uint32(24)).astype("i8")
+                of = np.repeat(np.arange(n), np.diff(bounds)) * HASHED + bucket
+                vectors = np.bincount(of, minlength=n * HASHED).reshape(n, HASHED).astype("f8")
+                data = [ids[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part["row"],
+                        part["doc_id"],
+                        pa.array(curve_keys(vectors).astype("i8")),
+                        pa.array(np.diff(bounds) + 1, pa.int64()),
+                        pa.array(data, pa.binary()),
+                    ],
+                    ["row", "doc_id", "curve", "n_tokens", "ids"],
+                )
 
     return run
 
@@ -198,7 +242,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, length: int = 40
     spark = docs.sparkSession
     ship(spark)
     rows = texts(docs, F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    tokenised = stored(rows.mapInPandas(tokenise(tokenizer_path, end_id), ROWS), "ids")
+    tokenised = stored(rows.mapInArrow(tokenise(tokenizer_path, end_id), ROWS), "ids")
     line = places(tokenised, partitions(spark))
     placed = tokenised.select("row", "doc_id", "ids").join(line, "row")
     return placed.select("doc_id", "place", "ids").mapInPandas(cut(length), PIECES)

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tests.llm.conftest import prose
 from trendspark.llm import exact_dedup, minhash, spotsigs, suffixes
 
@@ -73,15 +74,15 @@ def test_quotient_filters_lose_nothing(bits):
     assert sum(int(f.counts.sum()) for f in merged.values()) == sum(map(len, parts))
 
 
-def shingle_set(text):
+def shingle_set(text, size=4):
     words = lowered(text).split()
-    return {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def near_expected(rows):
+def near_expected(rows, size=4):
     sets = {}
     for doc, text in rows:
-        sets[doc] = shingle_set(text)
+        sets[doc] = shingle_set(text, size)
     parent = {doc: doc for doc in sets}
 
     def root(x):
@@ -266,3 +267,44 @@ def test_first_documents_of_spans_in_several_tasks(spark):
                 expected.add(min(places)[0])
         assert r["first_doc_ids"] == sorted(expected) and r["first_doc_id"] == min(expected)
     assert any(len(r["first_doc_ids"]) > 1 for r in found)
+
+
+def test_words_are_hashed_like_single_ones():
+    hashes = minhash.WordHashes()
+    found = ["", "  ", "a", " a B\x1cé\x0b\x0c c ", "A a\n", "\u2003x y", "\t\t", "É é"]
+    for text, words in zip(found, minhash.hashed_words(found, hashes)):
+        assert words.tolist() == [hashes[x] for x in text.encode().lower().split()]
+    assert minhash.hashed_words([], hashes) == []
+
+
+def shared_ids(spark):
+    """Several texts under one doc_id: two that others are close to, an empty one, one with a repeated passage."""
+    a, b, passage = prose(50, 48), prose(51, 48), " ".join(prose(52, 70))
+    rows = [
+        (5, " ".join(a)), (5, " ".join(b)), (6, " ".join([*a, "q"])), (7, " ".join([*b, "q"])),
+        (8, ""), (8, " ".join(prose(53, 60))), (9, " ".join([*prose(53, 60), "z"])), (10, "alone here"), (10, None),
+        (11, passage + " tail of eleven"), (11, "short"), (12, " ".join(prose(54, 90)) + " " + passage),
+        (13, "one"), (13, passage),
+    ]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_links_of_all_texts_of_a_doc_id_count(spark):
+    rows = minhash.near_duplicates(shared_ids(spark)).collect()
+    found = {r["doc_id"]: (r["component_id"], r["kept"]) for r in rows}
+    assert len(rows) == 14
+    assert found[5] == (5, True) and found[6] == (5, False) and found[7] == (5, False)
+    assert {r["component_id"] for r in rows if r["doc_id"] in (8, 9)} == {8}
+    assert found[10] == (10, True) and found[12] == (12, True)
+
+
+def test_passages_of_texts_that_share_a_doc_id(spark):
+    docs = shared_ids(spark)
+    spans = suffixes.repeated_passages(docs).collect()
+    passage = {(r["doc_id"], r["n_words"]) for r in spans if r["n_words"] == 70}
+    assert {doc for doc, _ in passage} == {11, 12, 13}
+    assert all(set(r["first_doc_ids"]) <= {5, 6, 7, 8, 9, 11, 12, 13} for r in spans)
+    left = {(r["doc_id"], r["text"]) for r in corpus_pipeline.cut_repeated_passages(spark, docs, "").collect()}
+    assert (11, "short") in left and (10, "alone here") in left and (13, "one") in left
+    kept = [text for _, text in left if text and " ".join(prose(52, 70)) in text]
+    assert len(kept) == 1  # the first copy, whole

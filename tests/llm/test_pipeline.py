@@ -47,7 +47,7 @@ def test_one_of_equal_texts_stays(inputs):
 
 def test_one_of_near_copies_stays(inputs):
     rows = list(texts(inputs[2]).items())
-    expected = {doc for doc, _, _, kept in near_expected(rows) if kept}
+    expected = {doc for doc, _, _, kept in near_expected(rows, corpus_pipeline.SHINGLE) if kept}
     assert set(texts(inputs[3])) == expected and inputs[3].columns == KEYS
 
 

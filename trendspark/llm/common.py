@@ -81,6 +81,29 @@ def node_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
 
 
+#: Nodes of further texts under one doc_id come after all others.
+FURTHER = 1 << 62
+
+
+def text_nodes(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, text) with a node for each text: a doc_id's further texts get nodes of their own.
+
+    ``home`` is the node that came. Of the texts of one doc_id that with the least hash keeps it. The table of
+    doc_ids that have several texts is stored, so Catalyst knows its size and broadcasts it where that is small.
+    """
+    content = F.xxhash64("text")
+    several = (
+        rows.select(F.col("node").alias("home"), content.alias("content"))
+        .groupBy("home")
+        .agg(F.min("content").alias("own"), F.max("content").alias("last"))
+        .filter("own <> last")
+    )
+    joined = rows.withColumnRenamed("node", "home").join(stored(several.drop("last"), "several"), "home", "left")
+    further = F.xxhash64(F.col("home"), content).bitwiseAND(F.lit(FURTHER - 1)).bitwiseOR(F.lit(FURTHER))
+    node = F.when(F.col("own").isNull() | (F.col("own") == content), F.col("home")).otherwise(further)
+    return joined.withColumn("node", node).drop("own")
+
+
 def fold(column: str, remainder_of: int) -> Column:
     """crc32 of the doc_id as text modulo ``remainder_of``; a null doc_id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % remainder_of

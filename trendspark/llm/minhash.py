@@ -11,7 +11,7 @@
 
 Defined cases: a null text is empty; texts without words link with nothing; rows with equal
 sets share a component; a row without doc_id goes by a hash of its text; rows that share
-a doc_id are one node, whose set is one of theirs (the one with the smallest digest); an empty table
+a doc_id are one document: the links of each of its texts are its links; an empty table
 gives an empty result; columns other than doc_id and text are ignored.
 """
 
@@ -21,11 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import node_id, ship, stored, texts
+from .common import node_id, ship, stored, text_nodes, texts
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 26, 5
@@ -50,6 +52,26 @@ class WordHashes(dict):
         return found
 
 
+def hashed_words(found: list[str], hashes: WordHashes) -> list[np.ndarray]:
+    """Hashes of the words of each text, in order; A-Z lower-cased. Of a word that comes often one is made."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(found, pa.large_string())))
+    coded = split.flatten().dictionary_encode()
+    known = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    of_word = np.array([hashes[x] for x in known], "u8")
+    index = coded.indices.to_numpy()
+    words = of_word[index] if len(known) else np.empty(0, "u8")
+    bounds = split.offsets.to_numpy()
+    # White space at an end of a text leaves an empty word there.
+    empty = known.index(b"") if b"" in known else -1
+    out = []
+    for start, end in zip(bounds, bounds[1:], strict=False):
+        start, end = int(start), int(end)
+        start += start < end and index[start] == empty
+        end -= start < end and index[end - 1] == empty
+        out.append(words[start:end])
+    return out
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit numbers over all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -114,12 +136,12 @@ def signature(items: np.ndarray) -> np.ndarray:
     return least
 
 
-def _signatures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _signatures(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for frame in frames:
         sizes, digests, signatures = [], [], []
         for text in frame["text"]:
-            items = shingles(text, hashes)
+            items = shingles(text, hashes, shingle)
             sizes.append(len(items))
             digests.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
             signatures.append(signature(items).astype("<u4").tobytes() if len(items) else None)
@@ -146,24 +168,25 @@ def _alike(a: pd.Series, b: pd.Series) -> np.ndarray:
     return (one == two).mean(axis=1) >= SIGNATURE_SHARE
 
 
-def _verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verified(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for frame in frames:
         last, items = None, None
         keep = []
         for a, one, two in zip(frame["a"], frame["text_a"], frame["text_b"], strict=True):
             if a != last:
-                last, items = a, shingles(one, hashes)
-            keep.append(linked(items, shingles(two, hashes)))
+                last, items = a, shingles(one, hashes, shingle)
+            keep.append(linked(items, shingles(two, hashes, shingle)))
         yield frame.loc[keep, ["a", "b"]]
 
 
-def verify(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, bodies: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Those pairs (a, b) whose full sets are linked."""
     first = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     second = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(second, "b").join(first, "a")
-    return stored(joined.select("a", "b", "text_a", "text_b").mapInPandas(_verified, "a long, b long"), "links")
+    told = joined.select("a", "b", "text_a", "text_b")
+    return stored(told.mapInPandas(lambda frames: _verified(frames, shingle), "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -209,7 +232,7 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return known.filter(~(F.coalesce("of_a", "a") == F.coalesce("of_b", "b"))).select("a", "b")
 
 
-def _block_links(key: tuple, one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+def _block_links(key: tuple, one: pd.DataFrame, two: pd.DataFrame, shingle: int) -> pd.DataFrame:
     """Links between a block of nodes outside the leading component and any block of the same bucket.
 
     A pair is taken up in the first of the buckets that hold both, and only if its signatures are alike; one
@@ -230,16 +253,18 @@ def _block_links(key: tuple, one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFra
             for at in sorted(np.flatnonzero(near).tolist(), key=lambda k: -share[k]):
                 if parts[at] in met:
                     continue
-                found = shingles(text, hashes) if found is None else found
+                found = shingles(text, hashes, shingle) if found is None else found
                 if at not in sets:
-                    sets[at] = shingles(bodies[at], hashes)
+                    sets[at] = shingles(bodies[at], hashes, shingle)
                 if linked(found, sets[at]):
                     met.add(parts[at])
                     out.append((min(node, int(ids[at])), max(node, int(ids[at]))))
     return pd.DataFrame(out, columns=["a", "b"]).astype("i8")
 
 
-def _left_over(members: DataFrame, found: DataFrame, signatures: DataFrame, bodies: DataFrame) -> DataFrame:
+def _left_over(
+    members: DataFrame, found: DataFrame, signatures: DataFrame, bodies: DataFrame, shingle: int
+) -> DataFrame:
     """Links between components that share a large bucket, verified block by block; no pair leaves a task unverified.
 
     Each block of nodes outside the bucket's leading component meets each block of its nodes.
@@ -274,25 +299,36 @@ def _left_over(members: DataFrame, found: DataFrame, signatures: DataFrame, bodi
     right = again.withColumn("j", number("all_blocks")).withColumn("i", upto("outer_blocks"))
     keys = ["bucket", "i", "j"]
     met = left.select(*columns).groupBy(*keys).cogroup(right.select(*columns).groupBy(*keys))
-    return met.applyInPandas(_block_links, "a long, b long").distinct()
+    links = met.applyInPandas(lambda key, one, two: _block_links(key, one, two, shingle), "a long, b long")
+    return links.distinct()
 
 
 def _pairs(one: Column, two: Column) -> list[Column]:
     return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, node of every row."""
+def _same_document(signed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the sets of texts that share a doc_id."""
+    own = signed.select("home", "digest", (F.col("node") == F.col("home")).alias("first")).join(sets, "digest")
+    further = stored(own.filter("NOT first").select("home", F.col("node").alias("b")).distinct(), "further")
+    first = own.filter("first").select("home", F.col("node").alias("a"))
+    return first.join(further, "home").filter("a <> b").select(*_pairs(F.col("a"), F.col("b"))).distinct()
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, node of every row; sets are of ``shingle`` words."""
     ship(docs.sparkSession)
-    rows = texts(docs, F.col("doc_id").cast("long").alias("doc_id"), node_id().alias("node"))
+    rows = text_nodes(texts(docs, F.col("doc_id").cast("long").alias("doc_id"), node_id().alias("node")))
     made = rows.withColumn("content", F.xxhash64("text")).mapInPandas(
-        _signatures,
-        "doc_id long, node long, content long, n_shingles long, digest binary, signature binary",
+        lambda frames: _signatures(frames, shingle),
+        "home long, doc_id long, node long, content long, n_shingles long, digest binary, signature binary",
     )
+    made = made.select("doc_id", "home", "node", "content", "n_shingles", "digest", "signature")
     signed = stored(made, "signatures")
     sets = stored(
         signed.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("node").alias("node")), "sets"
     )
+    joint = stored(_same_document(signed, sets), "joint")
     one_set = sets.groupBy("node").agg(F.min(F.hex("digest")).alias("hexed")).select(
         "node", F.unhex("hexed").alias("digest")
     )
@@ -319,7 +355,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     stars = stored(stars, "stars")
     best = stars.groupBy("node").agg(F.max(F.struct("shared", F.negative("low").alias("l"))).alias("top"))
-    links = verify(best.select(*_pairs(F.col("node"), F.negative("top.l"))), bodies)
+    links = verify(best.select(*_pairs(F.col("node"), F.negative("top.l"))), bodies, shingle).unionByName(joint)
     found = stored(components(links), "components")
 
     # Second round: all candidates between components that are still apart.
@@ -336,12 +372,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             yield frame.loc[_alike(frame["s_a"], frame["s_b"]), ["a", "b"]] if len(frame) else frame[["a", "b"]]
 
     likely = apart.join(of("b"), "b").join(of("a"), "a").mapInPandas(alike, "a long, b long")
-    links = links.unionByName(verify(likely, bodies))
+    links = links.unionByName(verify(likely, bodies, shingle))
     found = stored(components(links), "components")
 
     # What large buckets still leave apart.
     large = members.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node")
-    rest = stored(_left_over(large, found, signatures, bodies), "rest")
+    rest = stored(_left_over(large, found, signatures, bodies, shingle), "rest")
     if not rest.isEmpty():
         links = links.unionByName(rest)
         found = stored(components(links), "components")
@@ -349,8 +385,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of_sets = sets.join(found, "node", "left").select(
         F.col("digest"), F.coalesce("component", "node").alias("component")
     )
-    joined = signed.select("doc_id", "node", "n_shingles", "digest").join(stored(of_sets, "of_sets"), "digest", "left")
-    component = F.coalesce("component", "node")
-    return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), (F.col("node") == component).alias("kept"), "node"
+    joined = signed.select("doc_id", "home", "node", "n_shingles", "digest").join(
+        stored(of_sets, "of_sets"), "digest", "left"
+    )
+    component = F.coalesce("component", F.col("home"))
+    # A component can be named by a further text's node if the first one has no words.
+    odd = stored(
+        joined.filter("node <> home").groupBy("component").agg(F.min("home").alias("least")).filter("least < component"),
+        "odd",
+    )
+    named = joined.join(odd.withColumnRenamed("component", "of"), F.col("component") == F.col("of"), "left")
+    name = F.coalesce("least", component)
+    return named.select(
+        "doc_id", "n_shingles", name.alias("component_id"), (F.col("home") == name).alias("kept"), F.col("home").alias("node")
     )

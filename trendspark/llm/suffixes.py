@@ -15,8 +15,8 @@ share brings a few rows for each task.
 
 Words are runs of other than ASCII white space, compared with A-Z lower-cased. Defined cases: null,
 empty and short texts have no span; a row without doc_id goes by a hash of its text and has a null
-doc_id in the result; rows repeated under one doc_id are one document; an empty table gives an
-empty result; other columns are ignored. Passages that repeat within one text count as well.
+doc_id in the result; rows repeated under one doc_id are one document, different texts under one doc_id
+are compared like those of two; an empty table gives an empty result; other columns are ignored. Passages that repeat within one text count as well.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import node_id, ship, stored, texts
-from .minhash import WordHashes, runs
+from .common import FURTHER, node_id, ship, stored, text_nodes, texts
+from .minhash import WordHashes, hashed_words, runs
 
 PASSAGE = 50
 PLACES = 25
@@ -42,10 +42,6 @@ TASK_ROWS = 1 << 20
 SPANS = "node long, start_word long, end_word long, n_words long, first_node long, is_first boolean, first_nodes array<long>"
 
 
-def word_hashes(text: str, hashes: WordHashes) -> np.ndarray:
-    return np.array([hashes[x] for x in text.encode("utf-8", "replace").lower().split()], "u8")
-
-
 def selected(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The retained places, and for each start of a passage the number of its place among them."""
     starts = len(words) - PASSAGE + 1
@@ -66,16 +62,31 @@ def keys_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (runs(words, PREFIX)[places] if len(places) else np.empty(0, "u8")), owner
 
 
+def _keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows (node, text) to (node, keys): the keys of its suffixes, twice those that it has several times.
+
+    The only pass that hashes the words of all texts.
+    """
+    hashes = WordHashes()
+    for frame in frames:
+        nodes, told = [], []
+        for node, words in zip(frame["node"], hashed_words(frame["text"].tolist(), hashes), strict=True):
+            keys, counts = np.unique(keys_of(words)[0], return_counts=True)
+            if len(keys):
+                nodes.append(node)
+                told.append(np.concatenate([keys, keys[counts > 1]]).view("i8"))
+        yield pd.DataFrame({"node": pd.Series(nodes, dtype="i8"), "keys": pd.Series(told, dtype=object)})
+
+
 def _count_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes, held, size = WordHashes(), [], 0
+    held, size = [], 0
 
     def flush() -> pd.DataFrame:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pd.DataFrame({"key": keys.view("i8"), "again": counts > 1})
+        return pd.DataFrame({"key": keys, "again": counts > 1})
 
     for frame in frames:
-        for text in frame["text"]:
-            keys, _ = keys_of(word_hashes(text, hashes))
+        for keys in frame["keys"]:
             held.append(keys)
             size += len(keys)
             if size >= TASK_ROWS:
@@ -102,15 +113,6 @@ def _equal_neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"key": found})
 
 
-def _keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes()
-    for frame in frames:
-        found = [np.unique(keys_of(word_hashes(text, hashes))[0]) for text in frame["text"]]
-        sizes = [len(x) for x in found]
-        keys = np.concatenate([*found, np.empty(0, "u8")]).view("i8")
-        yield pd.DataFrame({"key": keys, "node": np.repeat(frame["node"].to_numpy(), sizes)})
-
-
 def _first_of_runs(key: np.ndarray, node: np.ndarray, start: np.ndarray) -> np.ndarray:
     """For rows sorted by (key, node, start): the row at which each run of equal keys begins."""
     new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -148,8 +150,8 @@ def _extended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return frame[keep]
 
     for frame in frames:
-        for node, text, wanted in zip(frame["node"], frame["text"], frame["keys"], strict=True):
-            words = word_hashes(text, hashes)
+        hashed = hashed_words(frame["text"].tolist(), hashes)
+        for node, words, wanted in zip(frame["node"], hashed, frame["keys"], strict=True):
             keys, owner = keys_of(words)
             starts = np.flatnonzero(np.isin(keys.view("i8"), wanted)[owner]) if len(keys) else np.empty(0, "i8")
             if len(starts):
@@ -235,6 +237,11 @@ def _spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=[x.split()[0] for x in SPANS.split(", ")])
 
 
+def named_rows(docs: DataFrame) -> DataFrame:
+    """home, text, node of every row: a node for each text of a doc_id, as ``spans`` has them."""
+    return text_nodes(texts(docs, node_id().alias("node")))
+
+
 def spans(docs: DataFrame, firsts: bool = True) -> DataFrame:
     """node, start_word, end_word, n_words, first_node, is_first, first_nodes: one row for each span of repeated words.
 
@@ -242,11 +249,12 @@ def spans(docs: DataFrame, firsts: bool = True) -> DataFrame:
     them. Without ``firsts`` both may name the first copy of a task; the spans are the same.
     """
     ship(docs.sparkSession)
-    rows = texts(docs, node_id().alias("node"))
-    counted = rows.select("text").mapInPandas(_count_keys, "key long, again boolean")
+    rows = named_rows(docs).select("node", "text")
+    keyed = stored(rows.mapInPandas(_keys, "node long, keys array<long>"), "keyed")
+    counted = keyed.select("keys").mapInPandas(_count_keys, "key long, again boolean")
     ordered = counted.repartition("key").sortWithinPartitions("key")
     repeated = stored(ordered.mapInPandas(_equal_neighbours, "key long"), "keys")
-    suffixes = rows.mapInPandas(_keys, "key long, node long")
+    suffixes = keyed.select("node", F.explode("keys").alias("key"))
     kept = suffixes.join(repeated, "key", "left_semi").groupBy("node").agg(F.collect_set("key").alias("keys"))
     wanted = stored(kept, "suffixes")
     found = rows.join(wanted.hint("shuffle_hash"), "node").select("node", "text", "keys")
@@ -261,12 +269,19 @@ def spans(docs: DataFrame, firsts: bool = True) -> DataFrame:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, end_word, n_words, first_doc_id, is_first, first_doc_ids of every span."""
-    found = spans(docs)
-    nulls = docs.filter(F.col("doc_id").isNull()).select(node_id().alias("nameless")).distinct()
-    named = found.join(nulls, F.col("node") == F.col("nameless"), "left")
-    doc = F.when(F.col("nameless").isNull(), F.col("node"))
+    found = stored(spans(docs), "spans")
+    rows = docs.select(F.col("doc_id").isNull().alias("nameless"), node_id().alias("node"), "text")
+    rows = text_nodes(rows.withColumn("text", F.coalesce("text", F.lit(""))))
+    # Nodes that are not their row's doc_id, few unless doc_ids are null or shared.
+    other = rows.filter("nameless OR node <> home").select(
+        F.col("node").alias("other"), F.when(~F.col("nameless"), F.col("home")).alias("doc")
+    )
+    other = stored(other.distinct(), "other")
+    further = F.exists("first_nodes", lambda node: node >= FURTHER)
+    told = found.filter(~further).unionByName(_with_homes(found.filter(further), other.filter("doc IS NOT NULL")))
+    named = told.join(other, F.col("node") == F.col("other"), "left")
     return named.select(
-        doc.alias("doc_id"),
+        F.when(F.col("other").isNull(), F.col("node")).otherwise(F.col("doc")).alias("doc_id"),
         "start_word",
         "end_word",
         "n_words",
@@ -276,6 +291,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_homes(found: DataFrame, further: DataFrame) -> DataFrame:
+    """Spans whose first documents include further texts (other) of a doc_id (doc), by the doc_ids."""
+    keys = ["node", "start_word", "end_word", "n_words", "is_first"]
+    nodes = found.select(*keys, F.explode("first_nodes").alias("first")).join(further, F.col("first") == F.col("other"), "left")
+    firsts = F.sort_array(F.collect_set(F.coalesce("doc", "first")))
+    return nodes.groupBy(*keys).agg(firsts.alias("first_nodes")).select(
+        "node", "start_word", "end_word", "n_words", F.col("first_nodes")[0].alias("first_node"), "is_first", "first_nodes"
+    )
+
+
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendspark.llm import exact_dedup, minhash, packing, quality, suffixes
-from trendspark.llm.common import keep_documents, node_id, shared_dir
+from trendspark.llm.common import keep_documents, node_id, shared_dir, text_nodes
+
+#: Words of a shingle of the near-copy stage.
+SHINGLE = 5
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +37,8 @@ def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies."""
-    return keep_documents(docs, kept_nodes(minhash.near_duplicates(docs)))
+    """One document of each component of near copies, by sets of ``SHINGLE`` words."""
+    return keep_documents(docs, kept_nodes(minhash.near_duplicates(docs, SHINGLE)))
 
 
 def kept_nodes(found: DataFrame) -> DataFrame:
@@ -51,8 +54,9 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
         .groupBy(F.col("node").alias("cut_node"))
         .agg(F.collect_list(F.struct("start_word", "end_word")).alias("cuts"))
     )
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node_id().alias("node"))
-    joined = rows.join(cuts, F.col("node") == F.col("cut_node"), "left")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = text_nodes(docs.select(whole.alias("row"), node_id().alias("node"), F.coalesce("text", F.lit("")).alias("text")))
+    joined = rows.select("row", "node").join(cuts, F.col("node") == F.col("cut_node"), "left")
     changed = suffixes.cut_text("row.text", "cuts")
     out = joined.select("row", F.when(F.col("cuts").isNull(), F.col("row.text")).otherwise(changed).alias("left"), "cuts")
     out = out.filter(F.col("cuts").isNull() | (F.length(F.trim("left")) > 0))

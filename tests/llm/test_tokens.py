@@ -154,7 +154,7 @@ def test_ids_over_batches_are_the_librarys():
 
     library, special, _ = packing.word_ids(WORDS)
     chance = random.Random(8)
-    parts = ["the", "The", "cat", "naïve", "x'll", " ", "  ", "\n", "\r\n", "\t", "12", "!?", "中文", "İ", "é", "\u3000", *special]
+    parts = ["the", "The", "cat", "naïve", "x'll", " ", "  ", "\n", "\r\n", "\t", "12", "!?", "中文", "İ", "é", "\u3000", "\x1c", "\x00", "'", "<|ENDOFTEXT|>", *special]
     for _ in range(60):
         texts = ["".join(chance.choices(parts, k=chance.randint(0, 60))) for _ in range(40)]
         ids, bounds = packing.encoded(pa.array(texts), WORDS)

@@ -50,10 +50,10 @@ _PLAIN = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \t\n\r\x0b\x0c0-9{_LET
 _OTHER = f"[^\x00-\x7f{_LETTERS}]"
 _has_other = re.compile(_OTHER).search
 _plain_pieces = re.compile(_PLAIN).findall
+_marked_pieces = re.compile(f"\n|{_PLAIN}").findall
 _mixed_pieces = re.compile(rf"(?<![^ \n\r])(?:(?! |\n|\r|{_OTHER})[\s\S])*{_OTHER}[^ \n\r]*|{_PLAIN}").findall
 
 _libraries: dict[str, tuple[tokenizers.Tokenizer, list[str], dict[str, bytes]]] = {}
-_words: dict[str, dict[str, bytes]] = {}
 
 
 def word_ids(path: str) -> tuple[tokenizers.Tokenizer, list[str], dict[str, bytes]]:
@@ -124,22 +124,54 @@ def curve_keys(vectors: np.ndarray) -> np.ndarray:
     return hilbert_index(np.clip(cells, 0, (1 << BITS) - 1), BITS)
 
 
-def _ids_of(found: list[str], path: str) -> list[bytes]:
-    """The ids of each of some distinct words; of those not seen before the distinct new pieces are encoded."""
-    library, special, memo = word_ids(path)
-    words = _words.setdefault(path, {})
-    for held in (words, memo):
-        if len(held) > MEMO or sum(map(len, held)) > MEMO_CHARS:
-            held.clear()
-    unseen = {word: pieces(word, special) for word in found if word not in words}
-    new = list({piece for parts in unseen.values() for piece in parts if piece not in memo})
+def _encode(new: list[str], library: tokenizers.Tokenizer) -> Iterator[bytes]:
+    """The ids of pieces that are one pre-token each; between spaces they stay that, so many go at once."""
     for start in range(0, len(new), 5000):
         part = new[start : start + 5000]
-        for piece, seen in zip(part, library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            memo[piece] = array("I", seen.ids).tobytes()
-    for word, parts in unseen.items():
-        words[word] = b"".join([memo[piece] for piece in parts])
-    return [words[word] for word in found]
+        found = library.encode(" ".join(part), add_special_tokens=False)
+        sizes = np.bincount(np.array(found.word_ids, "i8"), minlength=len(part))
+        if len(sizes) != len(part) or not sizes.all():  # a piece has no ids, or several pre-tokens
+            for alone in library.encode_batch_fast(part, add_special_tokens=False):
+                yield array("I", alone.ids).tobytes()
+            continue
+        data, ends = np.array(found.ids, "<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+        yield from (data[a:b] for a, b in zip([0, *ends], ends, strict=False))
+
+
+def _laid_out(parts: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``parts`` in the order of ``index``, end to end, and where each begins (and the last ends)."""
+    sizes = np.fromiter(map(len, parts), "i8", len(parts)) // 4
+    flat, starts = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
+    n = sizes[index]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return flat[np.repeat(starts[index] - ends[:-1], n) + np.arange(ends[-1])], ends
+
+
+def _ids_of(words: pa.Array, path: str) -> list[bytes]:
+    """The ids of distinct words: of their distinct pieces those that are new to this worker are encoded."""
+    library, special, memo = word_ids(path)
+    if len(memo) > MEMO or sum(map(len, memo)) > MEMO_CHARS:
+        memo.clear()
+    odd = pc.match_substring_regex(words, _OTHER)
+    for string in special:
+        odd = pc.or_(odd, pc.match_substring(words, string))
+    plain = pc.ascii_lower(words.filter(pc.invert(odd))).to_pylist()
+    coded = pa.array(_marked_pieces("".join([f"{word}\n" for word in plain])), pa.large_string()).dictionary_encode()
+    known = coded.dictionary.to_pylist()
+    new = [piece for piece in known if piece not in memo and piece != "\n"]
+    memo.update(zip(new, _encode(new, library), strict=True))
+    index = coded.indices.to_numpy()
+    ids, ends = _laid_out([b"" if piece == "\n" else memo[piece] for piece in known], index)
+    data = ids.tobytes()
+    # A word ends where its mark stands.
+    marks = (4 * ends[np.flatnonzero(index == known.index("\n"))]).tolist() if plain else []
+    of_plain = (data[a:b] for a, b in zip([0, *marks], marks, strict=False))
+    if len(plain) == len(words):
+        return list(of_plain)
+    whole = [pieces(word, special) for word in words.filter(odd).to_pylist()]
+    encodings = iter(library.encode_batch_fast([x for parts in whole for x in parts], add_special_tokens=False))
+    of_odd = (b"".join([array("I", next(encodings).ids).tobytes() for _ in parts]) for parts in whole)
+    return [next(of_odd) if is_odd else next(of_plain) for is_odd in odd.to_pylist()]
 
 
 def encoded(texts_: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -151,13 +183,7 @@ def encoded(texts_: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     body = pc.replace_substring(pc.replace_substring(texts_.cast(pa.large_string()), "\n", " "), "\r", " ")
     split = pc.split_pattern(body, " ")
     coded = split.flatten().dictionary_encode()
-    of_word = _ids_of(coded.dictionary.to_pylist(), path)
-    sizes = np.fromiter((len(x) // 4 for x in of_word), "i8", len(of_word))
-    flat, starts = np.frombuffer(b"".join(of_word), "<u4"), np.cumsum(sizes) - sizes
-    index = coded.indices.to_numpy()
-    n = sizes[index]
-    ends = np.concatenate([[0], np.cumsum(n)])
-    ids = flat[np.repeat(starts[index] - ends[:-1], n) + np.arange(ends[-1])]
+    ids, ends = _laid_out(_ids_of(coded.dictionary, path), coded.indices.to_numpy())
     return ids, ends[split.offsets.to_numpy()]
 
 
@@ -183,7 +209,7 @@ def tokenise(path: str, end_id: int):
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)
-            for first, last in runs_of(sizes, 1 << 21):
+            for first, last in runs_of(sizes, 1 << 23):
                 part = batch.slice(first, last - first)
                 ids, bounds = encoded(part["text"], path)
                 n = last - first

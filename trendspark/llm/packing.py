@@ -72,11 +72,12 @@ def pieces(text: str, special: list[str]) -> list[str]:
 
     The tokenizer lower-cases, drops white space and never joins two of its pre-tokens in an id. Those
     of runs of ASCII and plain letters are found here; runs with other characters go to the library
-    whole, and so do all runs of a text with a special string, which is looked for before lower-casing.
+    whole, and so do all runs, in their own case, of a text that holds a special string in any: the library
+    looks for those before it lower-cases.
     """
-    if any(x in text for x in special):
-        return text.replace("\n", " ").replace("\r", " ").split(" ")
     low = text.encode().lower().decode()  # A-Z only
+    if any(x in low for x in special):
+        return text.replace("\n", " ").replace("\r", " ").split(" ")
     return _mixed_pieces(low) if _has_other(low) else _plain_pieces(low)
 
 

@@ -11,6 +11,7 @@ import __spark_entry__ as entry_point
 from trendspark.operators import embedding, ingest, ranking
 from trendspark.operators.joins import maybe_among
 from trendspark.plans.build import refresh_documents
+from trendspark.plans.collect import collect_by_cursor
 from trendspark.schemas import RAW_ITEM
 from trendspark.sinks import Lake
 from trendspark.streaming.ingest import ingest_stream, read_landed
@@ -164,3 +165,14 @@ def test_building_a_query_starts_no_job(spark, name):
         assert not tracker.getJobIdsForGroup(f"build-{name}")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_new_source_starts_at_its_oldest_item(spark, lake):
+    times = [T0 - timedelta(hours=2)] + [T0 - timedelta(days=d) for d in range(30, 35)]
+    data = [("s", str(i), f"h{i}", "{}", t) for i, t in enumerate(times)]
+    items = spark.createDataFrame(
+        data, "source_name string, native_id string, payload_hash string, payload string, event_ts timestamp"
+    )
+    sources = items.select("source_name").distinct()
+    assert collect_by_cursor(lake, items, sources, "r1", T0).first().rows_new == 6
+    assert collect_by_cursor(lake, items, sources, "r2", T0 + timedelta(hours=1)).first().rows_new == 0

@@ -157,21 +157,23 @@ def window_plan(
     sources: DataFrame | None = None,
     lag: timedelta = SAFETY_LAG,
     overlap: timedelta = OVERLAP,
-    cold_start: timedelta = COLD_START,
+    cold_start: timedelta | None = COLD_START,
 ) -> DataFrame:
     """The event-time windows the next run reads: (source, kind, lower, upper).
 
     Forward runs from the cursor to ``as_of - lag`` and alone moves the cursor;
     backfill rereads the ``overlap`` before it for items that surfaced late.
-    ``sources`` adds sources that have no state yet (a cold start).
+    ``sources`` adds sources that have no state yet (a cold start): they read
+    ``cold_start`` back, or from the first event where that is None.
     """
     if sources is not None:
         state = sources.select("source_name").distinct().join(state, "source_name", "left")
     upper = as_of_column(as_of) - F.lit(lag)
     cursor = F.col("cursor_ts")
+    first = F.lit(datetime.min).cast("timestamp") if cold_start is None else upper - F.lit(cold_start)
     forward = F.struct(
         F.lit("forward").alias("kind"),
-        F.coalesce(cursor, upper - F.lit(cold_start)).alias("lower"),
+        F.coalesce(cursor, first).alias("lower"),
         upper.alias("upper"),
     )
     backfill = F.struct(

@@ -6,7 +6,7 @@ repeating one that was logged changes nothing.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -28,6 +28,7 @@ def collect_by_cursor(
     backfill_capacity: int | None = None,
     failed: DataFrame | None = None,
     event_time_in_payload: bool = True,
+    cold_start: timedelta | None = None,
 ) -> DataFrame:
     """Collect every source that has a time cursor, in one job.
 
@@ -38,14 +39,15 @@ def collect_by_cursor(
     The forward window is read whole unless ``capacity`` bounds it; the next run goes on from there.
     The backfill reads its whole window unless ``backfill_capacity`` bounds it: its
     lower bound is the same in every run, so rows behind a bound would never land.
-    Items without ``event_ts`` land in any run.
+    Items without ``event_ts`` land in any run. A source without cursor starts at
+    its oldest item, or ``cold_start`` back: what lies before that never lands.
     ``event_time_in_payload`` says that a payload determines its event time (as
     for every source of this package), which bounds the stored rows to compare.
     """
     if lake.logged(run_id):
         return lake.read("run_log").filter(F.col("run_id") == run_id)
     state = ingest.watermark_state(lake.read("run_log"))
-    plan = Dimension(ingest.window_plan(state, as_of, sources=sources))
+    plan = Dimension(ingest.window_plan(state, as_of, sources=sources, cold_start=cold_start))
     windows = plan.df
     if failed is not None:
         windows = windows.join(failed.select("source_name"), "source_name", "left_anti")

@@ -15,8 +15,8 @@ from trendspark.sinks import Lake
 from trendspark.sources.items import parse_items, stories
 from trendspark.streaming.ingest import ingest_stream, read_landed
 
-# The items of one run in the queries' SQL.
-CAPACITY = 1000
+# The items that one run of ``cursor_stall`` takes from a source.
+RUN_ITEMS = 20
 
 
 def payload_hash(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,16 +131,40 @@ def _half_way_windows(raw: DataFrame) -> DataFrame:
 
 
 def capped_forward_window(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole forward window of each source, in the order in which it is read."""
     raw = b.raw_items(spark, sf)
-    forward = ingest.capped_window(raw, _half_way_windows(raw), CAPACITY, tie_break="event_id")
-    return forward.filter(F.col("rank") <= CAPACITY).select("source_name", "event_id", "rank")
+    forward = ingest.capped_window(raw, _half_way_windows(raw), tie_break="event_id")
+    return forward.select("source_name", "event_id", "rank")
 
 
 def next_cursor(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.raw_items(spark, sf)
     windows = _half_way_windows(raw)
-    forward = ingest.capped_window(raw, windows, CAPACITY, tie_break="event_id")
-    return ingest.next_cursor(forward, windows, CAPACITY).select(
+    forward = ingest.capped_window(raw, windows, tie_break="event_id")
+    return ingest.next_cursor(forward, windows).select(
+        "source_name", "rows_forward", "exhausted", "next_cursor", "stalled"
+    )
+
+
+def _coarse(raw: DataFrame) -> DataFrame:
+    """Sources with a long name know only the month of an event, so very many share one instant."""
+    coarse = F.length("source_name") > 9
+    return raw.withColumn("event_ts", F.when(coarse, F.date_trunc("month", "event_ts")).otherwise(F.col("event_ts")))
+
+
+def cursor_stall(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether a run of ``RUN_ITEMS`` items a source gets its cursor off the instant where it stands.
+
+    The limit of a run is the feature: a source with more items at that instant stalls.
+    """
+    raw = _coarse(b.raw_items(spark, sf))
+    start = raw.groupBy("source_name").agg(F.min("event_ts").alias("cursor_ts"))
+    windows = start.select(
+        "source_name", "cursor_ts", F.lit("forward").alias("kind"),
+        F.col("cursor_ts").alias("lower"), b.at(b.AS_OF).alias("upper"),
+    )
+    forward = ingest.capped_window(raw, windows, RUN_ITEMS, tie_break="event_id")
+    return ingest.next_cursor(forward, windows, RUN_ITEMS).select(
         "source_name", "rows_forward", "exhausted", "next_cursor", "stalled"
     )
 
@@ -289,6 +313,7 @@ QUERIES = {
     "window_plan": window_plan,
     "capped_forward_window": capped_forward_window,
     "next_cursor": next_cursor,
+    "cursor_stall": cursor_stall,
     "late_arrivals": late_arrivals,
     "bronze_summary": bronze_summary,
     "recent_runs": recent_runs,
@@ -422,19 +447,29 @@ ORACLE = {
         """,
     ),
     "capped_forward_window": oracle(
-        ["raw_item", "run_log"],
-        f"SELECT source_name, event_id, rank FROM ({_FORWARD}) WHERE rank <= {CAPACITY}",
+        ["raw_item", "run_log"], f"SELECT source_name, event_id, rank FROM ({_FORWARD})"
     ),
     "next_cursor": oracle(
         ["raw_item", "run_log"],
         f"""
-        SELECT source_name, least(n, {CAPACITY}) AS rows_forward, n <= {CAPACITY} AS exhausted,
-               CASE WHEN n <= {CAPACITY} THEN TIMESTAMP '{b.AS_OF}' - INTERVAL 15 MINUTE
-                    ELSE seen END AS next_cursor,
-               n > {CAPACITY} AND seen <= cursor_ts AS stalled
-        FROM (SELECT source_name, any_value(n) AS n, any_value(cursor_ts) AS cursor_ts,
-                     max(CASE WHEN rank <= {CAPACITY} THEN event_ts END) AS seen
-              FROM ({_FORWARD}) GROUP BY source_name)
+        SELECT source_name, count(*) AS rows_forward, true AS exhausted,
+               TIMESTAMP '{b.AS_OF}' - INTERVAL 15 MINUTE AS next_cursor, false AS stalled
+        FROM ({_FORWARD}) GROUP BY source_name
+        """,
+    ),
+    "cursor_stall": oracle(
+        ["raw_item"],
+        f"""
+        SELECT source_name, least(any_value(n), {RUN_ITEMS}) AS rows_forward, any_value(n) <= {RUN_ITEMS} AS exhausted,
+               if(any_value(n) <= {RUN_ITEMS}, TIMESTAMP '{b.AS_OF}', max(moment) FILTER (place <= {RUN_ITEMS})) AS next_cursor,
+               any_value(n) > {RUN_ITEMS} AND max(moment) FILTER (place <= {RUN_ITEMS}) <= min(moment) AS stalled
+        FROM (SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY moment, event_id) AS place,
+                     count(*) OVER (PARTITION BY source_name) AS n
+              FROM (SELECT source_name, event_id, if(length(source_name) > 9,
+                           CAST(date_trunc('month', event_ts) AS TIMESTAMP), event_ts) AS moment
+                    FROM raw_item)
+              WHERE moment <= TIMESTAMP '{b.AS_OF}')
+        GROUP BY source_name
         """,
     ),
     "late_arrivals": oracle(

@@ -210,7 +210,7 @@ def tokenise(path: str, end_id: int):
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)
-            for first, last in runs_of(sizes, 1 << 23):
+            for first, last in runs_of(sizes, 1 << 22):
                 part = batch.slice(first, last - first)
                 ids, bounds = encoded(part["text"], path)
                 n = last - first

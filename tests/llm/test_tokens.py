@@ -160,7 +160,13 @@ def test_ids_over_batches_are_the_librarys():
         ids, bounds = packing.encoded(pa.array(texts), WORDS)
         for text, start, end in zip(texts, bounds, bounds[1:]):
             assert ids[start:end].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        for most in (1, 40, 1 << 20):  # run by run
+            runs = list(packing.encoded_runs(pa.array(texts), WORDS, most))
+            assert [x for first, last, _, _ in runs for x in range(first, last)] == list(range(len(texts)))
+            assert np.concatenate([part for _, _, part, _ in runs]).tolist() == ids.tolist()
+            assert [n for *_, ends in runs for n in np.diff(ends)] == np.diff(bounds).tolist()
     assert packing.encoded(pa.array([], pa.string()), WORDS)[1].tolist() == [0]
+    assert list(packing.encoded_runs(pa.array([], pa.string()), WORDS, 9)) == []
     assert list(packing.runs_of(np.array([5, 0, 7, 20, 1, 1]), 10)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
 
 

@@ -35,6 +35,8 @@ HASHED = 256  # 8 bits: the top ones of an id times HASH
 HASH = 2654435769
 TIE_BITS = 20
 MEMO, MEMO_CHARS = 400_000, 16 << 20
+#: Bytes of text whose distinct words are encoded together, and those whose ids are laid out together.
+WORDS_OF, LAID_OUT = 8 << 20, 1 << 20
 
 ROWS = "row long, doc_id long, curve long, n_tokens long, ids binary"
 PIECES = (
@@ -139,13 +141,23 @@ def _encode(new: list[str], library: tokenizers.Tokenizer) -> Iterator[bytes]:
         yield from (data[a:b] for a, b in zip([0, *ends], ends, strict=False))
 
 
-def _laid_out(parts: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of ``parts`` in the order of ``index``, end to end, and where each begins (and the last ends)."""
-    sizes = np.fromiter(map(len, parts), "i8", len(parts)) // 4
-    flat, starts = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes
-    n = sizes[index]
-    ends = np.concatenate([[0], np.cumsum(n)])
-    return flat[np.repeat(starts[index] - ends[:-1], n) + np.arange(ends[-1])], ends
+class Parts:
+    """The ids of distinct strings, to be laid out in any order."""
+
+    def __init__(self, parts: list[bytes]):
+        self.sizes = np.fromiter(map(len, parts), "i8", len(parts)) // 4
+        self.flat = np.frombuffer(b"".join(parts), "<u4")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def laid_out(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the parts in the order of ``index``, end to end, and where each begins (and the last ends)."""
+        n = self.sizes[index]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return self.flat[np.repeat(self.starts[index] - ends[:-1], n) + np.arange(ends[-1])], ends
+
+
+def _strings(words: pa.Array) -> list[str]:
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
 def _ids_of(words: pa.Array, path: str) -> list[bytes]:
@@ -156,36 +168,53 @@ def _ids_of(words: pa.Array, path: str) -> list[bytes]:
     odd = pc.match_substring_regex(words, _OTHER)
     for string in special:
         odd = pc.or_(odd, pc.match_substring(words, string))
-    plain = pc.ascii_lower(words.filter(pc.invert(odd))).to_pylist()
+    plain = _strings(pc.ascii_lower(words.filter(pc.invert(odd))))
     coded = pa.array(_marked_pieces("".join([f"{word}\n" for word in plain])), pa.large_string()).dictionary_encode()
-    known = coded.dictionary.to_pylist()
+    known = _strings(coded.dictionary)
     new = [piece for piece in known if piece not in memo and piece != "\n"]
     memo.update(zip(new, _encode(new, library), strict=True))
     index = coded.indices.to_numpy()
-    ids, ends = _laid_out([b"" if piece == "\n" else memo[piece] for piece in known], index)
+    ids, ends = Parts([b"" if piece == "\n" else memo[piece] for piece in known]).laid_out(index)
     data = ids.tobytes()
     # A word ends where its mark stands.
     marks = (4 * ends[np.flatnonzero(index == known.index("\n"))]).tolist() if plain else []
     of_plain = (data[a:b] for a, b in zip([0, *marks], marks, strict=False))
     if len(plain) == len(words):
         return list(of_plain)
-    whole = [pieces(word, special) for word in words.filter(odd).to_pylist()]
+    whole = [pieces(word, special) for word in _strings(words.filter(odd))]
     encodings = iter(library.encode_batch_fast([x for parts in whole for x in parts], add_special_tokens=False))
     of_odd = (b"".join([array("I", next(encodings).ids).tobytes() for _ in parts]) for parts in whole)
     return [next(of_odd) if is_odd else next(of_plain) for is_odd in odd.to_pylist()]
 
 
-def encoded(texts_: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of some texts, end to end, and where each text's begin (and the last ends).
+def _coded(texts_: pa.Array, path: str) -> tuple[Parts, np.ndarray, np.ndarray]:
+    """The distinct words of texts with their ids, which of them stand where, and where each text's begin.
 
-    The tokenizer joins nothing over a space or a line end, so the words between these are told apart in Arrow,
-    each distinct one is encoded, and its ids are laid out wherever it stands.
+    The tokenizer joins nothing over a space or a line end, so the words between these are told apart in Arrow.
     """
     body = pc.replace_substring(pc.replace_substring(texts_.cast(pa.large_string()), "\n", " "), "\r", " ")
     split = pc.split_pattern(body, " ")
     coded = split.flatten().dictionary_encode()
-    ids, ends = _laid_out(_ids_of(coded.dictionary, path), coded.indices.to_numpy())
-    return ids, ends[split.offsets.to_numpy()]
+    return Parts(_ids_of(coded.dictionary, path)), coded.indices.to_numpy(), split.offsets.to_numpy()
+
+
+def encoded(texts_: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some texts, end to end, and where each text's begin (and the last ends)."""
+    parts, index, offsets = _coded(texts_, path)
+    ids, ends = parts.laid_out(index)
+    return ids, ends[offsets]
+
+
+def encoded_runs(texts_: pa.Array, path: str, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The same for runs of the texts (start, end) with about ``most`` bytes, one after the other.
+
+    Words are encoded once for all runs; the places of their ids, which take far more memory, are made run by run.
+    """
+    parts, index, offsets = _coded(texts_, path)
+    for first, last in runs_of(pc.binary_length(texts_).to_numpy(zero_copy_only=False), most):
+        begin = offsets[first]
+        ids, ends = parts.laid_out(index[begin : offsets[last]])
+        yield first, last, ids, ends[offsets[first : last + 1] - begin]
 
 
 def runs_of(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -210,24 +239,24 @@ def tokenise(path: str, end_id: int):
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)
-            for first, last in runs_of(sizes, 1 << 22):
-                part = batch.slice(first, last - first)
-                ids, bounds = encoded(part["text"], path)
-                n = last - first
-                bucket = (ids * np.uint32(HASH) >> np.uint32(24)).astype("i8")
-                of = np.repeat(np.arange(n), np.diff(bounds)) * HASHED + bucket
-                vectors = np.bincount(of, minlength=n * HASHED).reshape(n, HASHED).astype("f8")
-                data = [ids[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["row"],
-                        part["doc_id"],
-                        pa.array(curve_keys(vectors).astype("i8")),
-                        pa.array(np.diff(bounds) + 1, pa.int64()),
-                        pa.array(data, pa.binary()),
-                    ],
-                    ["row", "doc_id", "curve", "n_tokens", "ids"],
-                )
+            for start, stop in runs_of(sizes, WORDS_OF):
+                part = batch.slice(start, stop - start)
+                for first, last, ids, bounds in encoded_runs(part["text"], path, LAID_OUT):
+                    n = last - first
+                    bucket = (ids * np.uint32(HASH) >> np.uint32(24)).astype("i8")
+                    of = np.repeat(np.arange(n), np.diff(bounds)) * HASHED + bucket
+                    vectors = np.bincount(of, minlength=n * HASHED).reshape(n, HASHED).astype("f8")
+                    data = [ids[a:b].tobytes() + end for a, b in zip(bounds, bounds[1:], strict=False)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part["row"].slice(first, n),
+                            part["doc_id"].slice(first, n),
+                            pa.array(curve_keys(vectors).astype("i8")),
+                            pa.array(np.diff(bounds) + 1, pa.int64()),
+                            pa.array(data, pa.binary()),
+                        ],
+                        ["row", "doc_id", "curve", "n_tokens", "ids"],
+                    )
 
     return run
 

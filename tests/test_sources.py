@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+from trendspark.sources import landing
 from trendspark.sources.feeds import feed_rows, read_feed
 from trendspark.sources.seeds import default_source_config, load_profile, read_source_config
 
@@ -73,3 +74,30 @@ def test_profile_text_is_folded(spark, tmp_path):
     path.write_text(json.dumps({"key": "k", "label": "L", "text": " a\n  b "}) + "\n")
     row = load_profile(spark, str(path)).first()
     assert (row.interest_key, row.text) == ("k", "a b")
+
+
+def test_seed_notes_keep_quotes_and_line_ends(spark, tmp_path):
+    text = 'source,half_life_hours,digest_quota,authority_note\r\nblog,12,,"says ""why"",\nthen stops"\n'
+    (tmp_path / "config.csv").write_text(text, encoding="utf-8")
+    (row,) = read_source_config(spark, str(tmp_path)).collect()
+    assert tuple(row) == ("blog", 12, None, 'says "why",\nthen stops')
+
+
+def test_torn_pages_and_lines_fail_their_source_alone(spark, tmp_path):
+    def put(kind, source, name, text):
+        folder = tmp_path / kind / f"source_name={source}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(text, encoding="utf-8")
+
+    entry = "<entry><id>http://example.org/abs/{}</id><title>{}</title></entry>"
+    put("feeds", "whole", "a.xml", f"<feed>{entry.format('a1', 'x &amp; y')}{entry.format('a2', '')}</feed>")
+    put("feeds", "torn", "a.xml", f"<feed>{entry.format('b1', 'fine')}</feed>")
+    put("feeds", "torn", "b.xml", f"<feed>{entry.format('b2', 'fine')}<entry><id>b3</id><title>cut")
+    put("items", "lines", "a.json", '{"id": 1, "type": "story"}\n\n{"id": 2, "type": "job"}\n')
+    put("items", "half", "a.json", '{"id": 3, "type": "story"}\n{"id": 4, "ty\n')
+    feeds = landing.landed_feeds(spark, str(tmp_path / "feeds"))
+    items = landing.landed_items(spark, str(tmp_path / "items"))
+    assert {r.source_name for r in landing.failures(feeds, items).collect()} == {"torn", "half"}
+    rows = {(r.source_name, r.native_id) for r in landing.readable_rows(feeds, items).collect()}
+    assert {r for r in rows if r[0] in ("whole", "lines")} == {("whole", "a1"), ("whole", "a2"), ("lines", "1")}
+    assert landing.failures(feeds.filter("source_name = 'whole'")).count() == 0

@@ -10,6 +10,7 @@ from pyspark.sql import Column, functions as F
 
 # Run log.
 CURSOR_STALLED = "커서 정체: 런 용량 < 동일 시각 항목 수"
+UNREADABLE = "records cannot be read"
 ITEMS_FAILED = "item {n}건 실패"
 
 # Check details.

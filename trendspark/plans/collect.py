@@ -15,7 +15,9 @@ from trendspark import messages as say
 from trendspark.functions.timeutil import as_of_column
 from trendspark.operators import ingest
 from trendspark.operators.joins import Dimension
+from trendspark.session import stored
 from trendspark.sinks import Lake
+from trendspark.sources import landing
 
 
 def collect_by_cursor(
@@ -105,6 +107,14 @@ def collect_by_cursor(
     return lake.read("run_log").filter(F.col("run_id") == run_id)
 
 
+def collect_landed(
+    lake: Lake, feeds: DataFrame, items: DataFrame, sources: DataFrame, run_id: str, as_of: datetime
+) -> DataFrame:
+    """Collect the landed files of many sources in one run; a source that cannot be read is logged as an error."""
+    failed = stored(landing.failures(feeds, items), "failed")
+    return collect_by_cursor(lake, landing.readable_rows(feeds, items), sources, run_id, as_of, failed=failed)
+
+
 def collect_full(
     lake: Lake,
     items: DataFrame,

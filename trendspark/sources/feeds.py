@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendspark.functions.text import collapse, split_version, strip
 from trendspark.operators.ingest import canonical_payload, payload_hash
@@ -25,7 +25,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").option("rowTag", "entry").schema(ENTRY).load(path)
 
 
-def feed_rows(entries: DataFrame, source_name: str, source: str = "arxiv") -> DataFrame:
+def feed_rows(entries: DataFrame, source_name: str | Column, source: str = "arxiv") -> DataFrame:
     """Staged rows of feed entries; entries without an id are dropped.
 
     The revision suffix leaves the id, so a revision updates its document.
@@ -35,6 +35,7 @@ def feed_rows(entries: DataFrame, source_name: str, source: str = "arxiv") -> Da
     empty = F.array().cast("array<string>")
     pdf = F.filter("link", lambda x: x["_title"] == "pdf")
     parsed = entries.select(
+        F.lit(source_name).alias("source_name"),
         F.lit(source).alias("source"),
         base.alias("arxiv_id"),
         version.alias("version"),
@@ -56,7 +57,7 @@ def feed_rows(entries: DataFrame, source_name: str, source: str = "arxiv") -> Da
         F.try_element_at(pdf, F.lit(1))["_href"].alias("pdf_url"),
     ).filter("arxiv_id != ''")
     staged = parsed.select(
-        F.lit(source_name).alias("source_name"),
+        "source_name",
         F.col("arxiv_id").alias("native_id"),
         canonical_payload(PAYLOAD_COLUMNS).alias("payload"),
         F.col("published").try_cast("timestamp").alias("event_ts"),

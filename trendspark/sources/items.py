@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendspark.operators.ingest import canonical_payload, payload_hash
 from trendspark.schemas import LANDED_ITEM
@@ -20,14 +20,20 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     return parse_items(spark.read.text(path))
 
 
-def parse_items(lines: DataFrame, column: str = "value", schema: str = LANDED_ITEM) -> DataFrame:
-    """The fields of JSON items, one row per line.
+def parse_items(
+    lines: DataFrame,
+    column: str = "value",
+    schema: str = LANDED_ITEM,
+    keep: list[str] | None = None,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """The fields of JSON items, one row per line, after the columns to ``keep``.
 
     The generator keeps later filters above the parser. Pushed below, each of
     them would parse every line again.
     """
-    item = F.from_json(column, schema, {"mode": "PERMISSIVE"})
-    return lines.select(F.inline(F.array(item)))
+    item = F.from_json(column, schema, {"mode": "PERMISSIVE", **(options or {})})
+    return lines.select(*(keep or []), F.inline(F.array(item)))
 
 
 def failed_items(items: DataFrame) -> DataFrame:
@@ -41,7 +47,7 @@ def stories(items: DataFrame, types: tuple[str, ...] = ("story",)) -> DataFrame:
     return items.filter(F.col("id").isNotNull() & F.col("type").isin(*types) & ~gone)
 
 
-def item_rows(items: DataFrame, source_name: str, source: str = "hackernews") -> DataFrame:
+def item_rows(items: DataFrame, source_name: str | Column, source: str = "hackernews") -> DataFrame:
     """Staged rows of the kept items; a missing or zero time gives no event time."""
     fields = stories(items).select(
         F.lit(source).alias("source"), F.col("id").alias("hn_id"), "*"

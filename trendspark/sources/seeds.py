@@ -12,8 +12,9 @@ DEFAULT_SOURCES = [("arxiv", 72, 4), ("hackernews", 36, 4), ("github", 48, 2)]
 
 
 def read_source_config(spark: SparkSession, path: str) -> DataFrame:
-    """Half-life and quota per source from a CSV with a header."""
-    return spark.read.schema(SOURCE_CONFIG).option("header", True).csv(path)
+    """Half-life, quota and note per source from a CSV with a header; quotes are doubled inside quoted fields."""
+    reader = spark.read.schema(SOURCE_CONFIG).option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.csv(path)
 
 
 def default_source_config(spark: SparkSession) -> DataFrame:

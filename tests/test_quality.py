@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -282,3 +283,32 @@ def test_late_arrivals_percentile_interpolates(spark):
     row = late_arrivals(raw, runs).first()
     assert (row.n, row.worst_seconds) == (100, 100)
     assert row.p99_seconds == pytest.approx(99.01)
+
+
+def test_one_pass_over_the_log_finds_what_the_single_checks_find(spark):
+    chance = random.Random(4)
+    rows = []
+    for n in range(400):
+        started = datetime(2026, 3, 1) + timedelta(hours=7 * chance.randint(0, 200)) if chance.random() < 0.97 else None
+        moved = chance.random() < 0.5
+        rows.append((
+            f"r{n}", f"s{chance.randint(0, 11)}", started, started, chance.choice(["ok", "ok", "error", "stalled"]),
+            chance.choice([0, 5, 40, None]), chance.choice([0, 3, 30, None]), started if moved else None,
+            chance.choice([started, datetime(2026, 1, 1)]) if moved else None, chance.choice(["no answer", None]),
+        ))
+    log = spark.createDataFrame(rows, RUN_LOG)
+    as_of = datetime(2026, 5, 1)
+    state, daily = watermark_state(log), quality.last_run_per_day(log)
+    latest = quality.latest_run(daily)
+    single = [
+        quality.check_ingest_error(state, latest),
+        quality.check_volume_zero(latest),
+        quality.check_freshness(state, as_of),
+        quality.check_watermark_stall(daily),
+        quality.check_volume_drop(quality.volume_baseline(daily)),
+    ]
+    wanted = sorted(str(tuple(row)) for check in single for row in check.collect())
+    found = quality.check_sources(quality.source_facts(log), as_of)
+    assert sorted(str(tuple(row)) for row in found.collect()) == wanted
+    assert quality.check_sources(quality.source_facts(log.limit(0)), as_of).count() == 0
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1

@@ -98,17 +98,15 @@ def payload_history(raw: DataFrame) -> DataFrame:
     )
 
 
-def watermark_state(run_log: DataFrame) -> DataFrame:
-    """Cursor and failure state per source, derived from the run log.
+def run_segments(run_log: DataFrame, *fields: str) -> DataFrame:
+    """The run log summed up by (source, hour); ``_last`` is the last run, with ``fields`` of it.
 
-    The cursor never regresses (a maximum), is left alone by failures and by
-    runs without one, and ``consecutive_fail`` counts the errors since the last
-    success. The log is read once: each (source, hour) is summed up to a segment
-    that knows whether a run succeeded and how many errors follow the last one
-    that did; segments of a source then fold from the newest back, so no task
-    sees more than an hour of a source's runs, or its hours.
+    A segment knows whether a run succeeded and how many errors follow the last
+    one that did; segments of a source then fold from the newest back, so no task
+    sees more than an hour of a source's runs, or its hours. ``_errors`` are those
+    that count as in a row.
     """
-    position = F.struct("started_at", "run_id")
+    position = F.struct("started_at", "run_id", *fields)
     succeeded = F.col("status").isin(*COMMITTED)
     hour = F.date_trunc("hour", F.col("started_at"))
     newest_first = [F.col("started_at").desc_nulls_last(), F.col("run_id").desc_nulls_last()]
@@ -121,6 +119,7 @@ def watermark_state(run_log: DataFrame) -> DataFrame:
         "started_at",
         "run_id",
         "ended_at",
+        position.alias("_run"),
         F.when(succeeded, F.col("watermark_after")).alias("_cursor"),
         F.when(succeeded, F.col("ended_at")).alias("_success"),
         succeeded.alias("_ok"),
@@ -128,7 +127,7 @@ def watermark_state(run_log: DataFrame) -> DataFrame:
     ).withColumn("_ok_since", F.max("_ok").over(rest))
     segments = runs.groupBy("source_name", "_hour").agg(
         F.max("_cursor").alias("_cursor"),
-        F.max(position).alias("_last"),
+        F.max("_run").alias("_last"),
         F.max("_success").alias("_success"),
         F.max("_ok").alias("_ok"),
         F.count(F.when(F.col("_error") & ~F.col("_ok_since"), 1)).alias("_errors"),
@@ -138,8 +137,18 @@ def watermark_state(run_log: DataFrame) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     open_ended = ~F.coalesce(F.max("_ok").over(newer), F.lit(False))
+    return segments.withColumn("_errors", F.when(open_ended, F.col("_errors")).otherwise(0))
+
+
+def watermark_state(run_log: DataFrame) -> DataFrame:
+    """Cursor and failure state per source, derived from the run log, which is read once.
+
+    The cursor never regresses (a maximum), is left alone by failures and by
+    runs without one, and ``consecutive_fail`` counts the errors since the last
+    success.
+    """
     return (
-        segments.withColumn("_errors", F.when(open_ended, F.col("_errors")).otherwise(0))
+        run_segments(run_log)
         .groupBy("source_name")
         .agg(
             F.max("_cursor").alias("cursor_ts"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trendspark import messages as say
 from trendspark.functions.timeutil import as_of_column, day_type, hours_between
+from trendspark.operators.ingest import run_segments
 from trendspark.operators.ordering import latest_per_key
 
 DROP_RATIO = 0.4
@@ -34,17 +35,66 @@ def latest_run(daily_runs: DataFrame) -> DataFrame:
     return latest_per_key(daily_runs, ["source_name"], [F.col("run_date").desc()])
 
 
-def _check(
-    df: DataFrame,
+def source_facts(run_log: DataFrame, days: int = BASELINE_DAYS) -> DataFrame:
+    """One row per source with all that its checks ask for; the log is read and shuffled by source once.
+
+    ``last``: the last run of the latest day. ``moves`` and ``run_count``: the latest day, and the number of days,
+    whose run had a cursor. ``newest``, ``baseline_median`` and ``baseline_n`` as in ``volume_baseline``.
+    """
+    fields = ("status", "error_msg", "rows_fetched", "rows_new", "watermark_before", "watermark_after")
+    daily = (
+        run_segments(run_log, *fields)
+        .groupBy("source_name", F.to_date("_hour").alias("run_date"))
+        .agg(F.max("_last").alias("run"), F.sum("_errors").alias("errors"), F.max("_success").alias("success"))
+        .select("source_name", "run_date", "errors", "success", *[F.col(f"run.{name}").alias(name) for name in fields])
+    )
+    good = F.when(F.col("status") == "ok", F.struct("run_date", "rows_new", day_type(F.col("run_date")).alias("day_type")))
+    dated = daily.withColumn("newest", F.max(good).over(Window.partitionBy("source_name")))
+    compared = (
+        (F.col("status") == "ok")
+        & (F.col("run_date") < F.col("newest.run_date"))
+        & (F.col("run_date") >= F.date_sub("newest.run_date", days))
+        & (day_type(F.col("run_date")) == F.col("newest.day_type"))
+    )
+    with_cursor = F.col("watermark_after").isNotNull()
+    moves = F.struct("run_date", "watermark_before", "watermark_after", "rows_new")
+    return dated.groupBy("source_name").agg(
+        F.sum("errors").alias("consecutive_fail"),
+        F.max("success").alias("last_success_at"),
+        F.max(F.struct("run_date", "status", "error_msg", "rows_fetched")).alias("last"),
+        F.count(F.when(with_cursor, 1)).alias("run_count"),
+        F.max(F.when(with_cursor, moves)).alias("moves"),
+        F.max("newest").alias("newest"),
+        F.median(F.when(compared, F.col("rows_new"))).alias("baseline_median"),
+        F.count(F.when(compared, 1)).alias("baseline_n"),
+    )
+
+
+def check_sources(facts: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+    """The five checks of the run log over ``source_facts``."""
+    drop = _volume_drop(
+        F.col("newest.rows_new"), F.col("newest.day_type"), F.col("baseline_median"), F.col("baseline_n")
+    )
+    findings = F.array(
+        _ingest_error(F.col("consecutive_fail"), F.col("last.status"), F.col("last.error_msg")),
+        _volume_zero(F.col("last.status"), F.col("last.rows_fetched")),
+        _freshness(F.col("last_success_at"), as_of),
+        F.when(F.col("run_count") > 0, _watermark_stall(F.col("run_count"), F.col("moves"))),
+        F.when(F.col("newest").isNotNull(), drop),
+    )
+    return facts.select(F.inline(F.filter(findings, lambda finding: finding.isNotNull())))
+
+
+def _finding(
     name: str,
     status: Column,
     observed: Column,
     expected: Column | float | None,
     detail: Column,
     source: Column | None = None,
-) -> DataFrame:
+) -> Column:
     expected = expected if isinstance(expected, Column) else F.lit(expected)
-    return df.select(
+    return F.struct(
         F.lit(name).alias("check_name"),
         (F.col("source_name") if source is None else source).alias("source_name"),
         status.alias("status"),
@@ -54,14 +104,13 @@ def _check(
     )
 
 
-def check_ingest_error(state: DataFrame, latest: DataFrame) -> DataFrame:
-    fails = F.col("consecutive_fail")
-    failed_last = F.col("status") == "error"
-    joined = state.select("source_name", "consecutive_fail").join(
-        latest.select("source_name", "status", "error_msg"), "source_name", "left"
-    )
-    return _check(
-        joined,
+def _check(df: DataFrame, finding: Column) -> DataFrame:
+    return df.select(finding.alias("finding")).select("finding.*")
+
+
+def _ingest_error(fails: Column, status: Column, error_msg: Column) -> Column:
+    failed_last = status == "error"
+    return _finding(
         "ingest_error",
         F.when(fails >= 2, "critical")
         .when(fails == 1, "warn")
@@ -70,17 +119,22 @@ def check_ingest_error(state: DataFrame, latest: DataFrame) -> DataFrame:
         fails,
         0.0,
         F.when(fails > 0, say.fill(say.FAILS_IN_A_ROW, n=fails))
-        .when(failed_last, F.coalesce(F.col("error_msg"), F.lit(say.FETCH_FAILED)))
+        .when(failed_last, F.coalesce(error_msg, F.lit(say.FETCH_FAILED)))
         .otherwise(say.NORMAL),
     )
 
 
-def check_volume_zero(latest: DataFrame) -> DataFrame:
-    """A run that succeeded and received nothing; needs no history."""
-    fetched = F.coalesce(F.col("rows_fetched"), F.lit(0))
-    silent = (F.col("status") == "ok") & (fetched == 0)
-    return _check(
-        latest,
+def check_ingest_error(state: DataFrame, latest: DataFrame) -> DataFrame:
+    joined = state.select("source_name", "consecutive_fail").join(
+        latest.select("source_name", "status", "error_msg"), "source_name", "left"
+    )
+    return _check(joined, _ingest_error(F.col("consecutive_fail"), F.col("status"), F.col("error_msg")))
+
+
+def _volume_zero(status: Column, rows_fetched: Column) -> Column:
+    fetched = F.coalesce(rows_fetched, F.lit(0))
+    silent = (status == "ok") & (fetched == 0)
+    return _finding(
         "volume_zero",
         F.when(silent, "critical").otherwise("ok"),
         fetched,
@@ -89,25 +143,49 @@ def check_volume_zero(latest: DataFrame) -> DataFrame:
     )
 
 
-def check_freshness(
-    state: DataFrame,
+def check_volume_zero(latest: DataFrame) -> DataFrame:
+    """A run that succeeded and received nothing; needs no history."""
+    return _check(latest, _volume_zero(F.col("status"), F.col("rows_fetched")))
+
+
+def _freshness(
+    last_success: Column,
     as_of: datetime | str | Column,
     warn_hours: int = FRESH_WARN_HOURS,
     critical_hours: int = FRESH_CRITICAL_HOURS,
-) -> DataFrame:
-    hours = hours_between(F.col("last_success_at"), as_of_column(as_of))
-    return _check(
-        state,
+) -> Column:
+    hours = hours_between(last_success, as_of_column(as_of))
+    return _finding(
         "freshness",
-        F.when(F.col("last_success_at").isNull(), "insufficient_data")
+        F.when(last_success.isNull(), "insufficient_data")
         .when(hours >= critical_hours, "critical")
         .when(hours >= warn_hours, "warn")
         .otherwise("ok"),
         hours,
         float(warn_hours),
-        F.when(F.col("last_success_at").isNull(), say.NEVER_SUCCEEDED).otherwise(
-            say.fill(say.LAST_SUCCESS, hours=hours)
-        ),
+        F.when(last_success.isNull(), say.NEVER_SUCCEEDED).otherwise(say.fill(say.LAST_SUCCESS, hours=hours)),
+    )
+
+
+def check_freshness(
+    state: DataFrame,
+    as_of: datetime | str | Column,
+    warn_hours: int = FRESH_WARN_HOURS,
+    critical_hours: int = FRESH_CRITICAL_HOURS,
+) -> DataFrame:
+    return _check(state, _freshness(F.col("last_success_at"), as_of, warn_hours, critical_hours))
+
+
+def _watermark_stall(runs: Column, last: Column) -> Column:
+    stuck = (last["watermark_before"] == last["watermark_after"]) & (last["rows_new"] == 0)
+    return _finding(
+        "watermark_stall",
+        F.when(runs < 2, "insufficient_data").when(stuck, "warn").otherwise("ok"),
+        runs,
+        None,
+        F.when(runs < 2, say.fill(say.TOO_FEW_RUNS, n=runs))
+        .when(stuck, say.CURSOR_STUCK)
+        .otherwise(say.CURSOR_MOVES),
     )
 
 
@@ -123,20 +201,7 @@ def check_watermark_stall(daily_runs: DataFrame) -> DataFrame:
     per_source = with_cursor.groupBy("source_name").agg(
         F.count(F.lit(1)).alias("run_count"), newest
     )
-    runs = F.col("run_count")
-    stuck = (F.col("last.watermark_before") == F.col("last.watermark_after")) & (
-        F.col("last.rows_new") == 0
-    )
-    return _check(
-        per_source,
-        "watermark_stall",
-        F.when(runs < 2, "insufficient_data").when(stuck, "warn").otherwise("ok"),
-        runs,
-        None,
-        F.when(runs < 2, say.fill(say.TOO_FEW_RUNS, n=runs))
-        .when(stuck, say.CURSOR_STUCK)
-        .otherwise(say.CURSOR_MOVES),
-    )
+    return _check(per_source, _watermark_stall(F.col("run_count"), F.col("last")))
 
 
 def volume_baseline(daily_runs: DataFrame, days: int = BASELINE_DAYS) -> DataFrame:
@@ -177,34 +242,35 @@ def volume_baseline(daily_runs: DataFrame, days: int = BASELINE_DAYS) -> DataFra
     )
 
 
-def check_volume_drop(
-    baseline: DataFrame,
+def _volume_drop(
+    rows_new: Column,
+    day: Column,
+    median: Column,
+    n: Column,
     drop_ratio: float = DROP_RATIO,
     min_observations: int = MIN_OBSERVATIONS,
-) -> DataFrame:
-    few = F.col("baseline_n") < min_observations
-    return _check(
-        baseline,
+) -> Column:
+    few = n < min_observations
+    return _finding(
         "volume_drop",
-        F.when(few, "insufficient_data")
-        .when(F.col("rows_new") < F.col("baseline_median") * drop_ratio, "warn")
-        .otherwise("ok"),
-        F.col("rows_new"),
-        F.col("baseline_median"),
-        F.when(
-            few,
-            say.fill(say.NO_BASELINE, n=F.col("baseline_n"), least=F.lit(min_observations)),
-        ).otherwise(
-            say.fill(
-                say.VOLUME,
-                n=F.col("rows_new"),
-                day_type=F.col("day_type"),
-                median=F.col("baseline_median"),
-            )
+        F.when(few, "insufficient_data").when(rows_new < median * drop_ratio, "warn").otherwise("ok"),
+        rows_new,
+        median,
+        F.when(few, say.fill(say.NO_BASELINE, n=n, least=F.lit(min_observations))).otherwise(
+            say.fill(say.VOLUME, n=rows_new, day_type=day, median=median)
         ),
     )
 
 
+def check_volume_drop(
+    baseline: DataFrame,
+    drop_ratio: float = DROP_RATIO,
+    min_observations: int = MIN_OBSERVATIONS,
+) -> DataFrame:
+    columns = [F.col(name) for name in ("rows_new", "day_type", "baseline_median", "baseline_n")]
+    return _check(baseline, _volume_drop(*columns, drop_ratio, min_observations))
+
+
 def topic_counts(affinity: DataFrame) -> DataFrame:
     return affinity.groupBy(F.col("best_interest_label").alias("label")).agg(
         F.count(F.lit(1)).alias("n")
@@ -235,8 +301,7 @@ def check_topic_domination(
         )
     )
     share = F.col("share")
-    return _check(
-        top,
+    finding = _finding(
         "topic_domination",
         F.when(share > ratio, "warn").otherwise("ok"),
         F.round(share, 3),
@@ -244,6 +309,7 @@ def check_topic_domination(
         say.fill(say.TOPIC_SHARE, label=F.col("label"), percent=F.round(share * 100, 1)),
         source=F.lit(say.ALL_SOURCES),
     )
+    return _check(top, finding)
 
 
 def duplicate_titles(docs: DataFrame) -> DataFrame:
@@ -264,8 +330,7 @@ def duplicate_titles(docs: DataFrame) -> DataFrame:
 def check_duplicate(docs: DataFrame) -> DataFrame:
     counted = duplicate_titles(docs).groupBy().agg(F.count(F.lit(1)).alias("n"))
     n = F.col("n")
-    return _check(
-        counted,
+    finding = _finding(
         "duplicate_candidate",
         F.when(n > 0, "warn").otherwise("ok"),
         n,
@@ -273,6 +338,7 @@ def check_duplicate(docs: DataFrame) -> DataFrame:
         F.when(n > 0, say.fill(say.SAME_TITLES, n=n)).otherwise(say.NO_DUPLICATES),
         source=F.lit(say.ALL_SOURCES),
     )
+    return _check(counted, finding)
 
 
 def check_result(checks: list[DataFrame], as_of: datetime | str | Column) -> DataFrame:
@@ -294,22 +360,12 @@ def check_result(checks: list[DataFrame], as_of: datetime | str | Column) -> Dat
 
 
 def run_checks(
-    run_log: DataFrame,
-    state: DataFrame,
-    docs: DataFrame,
-    affinity: DataFrame,
-    as_of: datetime | str | Column,
+    run_log: DataFrame, docs: DataFrame, affinity: DataFrame, as_of: datetime | str | Column
 ) -> DataFrame:
     """The seven checks with their default limits."""
-    daily = last_run_per_day(run_log)
-    latest = latest_run(daily)
     return check_result(
         [
-            check_ingest_error(state, latest),
-            check_volume_zero(latest),
-            check_freshness(state, as_of),
-            check_watermark_stall(daily),
-            check_volume_drop(volume_baseline(daily)),
+            check_sources(source_facts(run_log), as_of),
             check_topic_domination(affinity),
             check_duplicate(docs),
         ],

@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from trendspark.operators import alerts, digest, documents, embedding, metrics, quality, ranking
-from trendspark.operators.ingest import watermark_state
 from trendspark.sinks import Lake
 
 
@@ -98,7 +97,7 @@ def refresh_quality(lake: Lake, as_of: datetime) -> None:
     score = lake.read("document_score").select("doc_id", "best_interest_label")
     lake.overwrite(
         "check_result",
-        quality.run_checks(log, watermark_state(log), lake.read("document"), score, as_of),
+        quality.run_checks(log, lake.read("document"), score, as_of),
     )
     due = alerts.alert_dispatch(lake.read("check_result"), lake.read("alert"), as_of)
     lake.append("alert", due)

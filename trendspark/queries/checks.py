@@ -17,7 +17,6 @@ from trendspark.operators.ingest import watermark_state
 from trendspark.queries import bindings as b
 from trendspark.queries.bindings import oracle
 from trendspark.queries.rank import _affinity
-from trendspark.session import stored
 
 
 def _log(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,12 +76,8 @@ def dq_duplicate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
-    """All checks over a run log that is stored first, as four of them read it."""
-    log = stored(_log(spark, sf), "run_log")
     docs = b.documents(spark, sf)
-    return quality.run_checks(
-        log, watermark_state(log), docs, _affinity(spark, sf, docs), b.CHECK_AS_OF
-    )
+    return quality.run_checks(_log(spark, sf), docs, _affinity(spark, sf, docs), b.CHECK_AS_OF)
 
 
 def dq_check_result(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,13 +89,13 @@ def _alerts(results: DataFrame) -> DataFrame:
 
 
 def alert_cooldown(spark: SparkSession, sf: str) -> DataFrame:
-    due = _alerts(stored(_results(spark, sf), "check_result"))
+    due = _alerts(_results(spark, sf))
     return due.select("alert_id", "check_name", "source_name", "severity", "detail", "alerted_at")
 
 
 def warning_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The banner of a day on which every finding is announced."""
-    results = stored(_results(spark, sf), "check_result")
+    results = _results(spark, sf)
     everything = alerts.alert_dispatch(results, b.alert_history(results.limit(0)), b.CHECK_AS_OF)
     return alerts.warning_lines(everything, results, b.CHECK_AS_OF)
 

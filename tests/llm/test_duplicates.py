@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -308,3 +309,23 @@ def test_passages_of_texts_that_share_a_doc_id(spark):
     assert (11, "short") in left and (10, "alone here") in left and (13, "one") in left
     kept = [text for _, text in left if text and " ".join(prose(52, 70)) in text]
     assert len(kept) == 1  # the first copy, whole
+
+
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_further_links_join_components_that_were_found(spark, monkeypatch, few):
+    monkeypatch.setattr(minhash, "FEW_LINKS", few)
+    frame = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    first, more = [(1, 2), (3, 4), (4, 5), (8, 9), (20, 21)], [(5, 9), (30, 31), (2, 40), (41, 40)]
+    found = minhash.components(frame(first))
+    together = {r["node"]: r["component"] for r in minhash.components(frame(first + more)).collect()}
+    rows = minhash.merged(found, frame(more)).collect()
+    assert {r["node"]: r["component"] for r in rows} == together and len(rows) == len(together)
+    assert together == {1: 1, 2: 1, 40: 1, 41: 1, 3: 3, 4: 3, 5: 3, 8: 3, 9: 3, 20: 20, 21: 20, 30: 30, 31: 30}
+
+
+def test_few_links_are_not_dealt_out(spark, monkeypatch):
+    made = []
+    keep = minhash.stored
+    monkeypatch.setattr(minhash, "stored", lambda df, name: made.append((name, df.rdd.getNumPartitions())) or keep(df, name))
+    minhash.components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")).collect()
+    assert {n for name, n in made if name != "edges"} == {1}

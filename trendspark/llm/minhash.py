@@ -38,6 +38,8 @@ BLOCK, BLOCK_CHARS = 256, 8 << 20
 #: Signatures of linked sets agree in at least this share of places, but for one pair in about 10^6.
 SIGNATURE_SHARE = 0.62
 MEMO = 300_000
+#: Up to this many links (16 bytes each) are turned into stars by one task.
+FEW_LINKS = 1 << 17
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -194,20 +196,27 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star links the larger neighbours of each node to its smallest one, small-star the smaller
     ones; both in turn until the links stay as they are. Minima are aggregated before they are dealt out and
-    stored, so that a join on a node with very many neighbours can be split.
+    stored, so that a join on a node with very many neighbours can be split. Up to ``FEW_LINKS`` links are not
+    dealt out at all.
     """
     low, high = F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")
     edges = stored(links.select(high, low).filter("u <> v").distinct(), "edges")
+    few = edges.count() <= FEW_LINKS
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return stored(df, name).coalesce(1) if few else stored(df, name)
+
+    edges = edges.coalesce(1) if few else edges
     while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = stored(
-            both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
+        both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+        least = kept(both.groupBy(F.col("e.u").alias("u")).agg(F.least(F.min("e.v"), F.col("u")).alias("m")), "least")
+        large = kept(
+            both.select("e.u", "e.v").filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
             "large",
         )
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = kept(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = large.join(least, "u")
-        small = stored(
+        small = kept(
             moved.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
             .select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
             .filter("u <> v")
@@ -221,15 +230,34 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(heads)
 
 
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``found`` after further ``links`` (a, b); a node that is in none is one of its own.
+
+    Only the links are turned into stars again, between the components that they join.
+    """
+    ends = stored(_known(links, found), "ends")
+    again = components(ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    again = stored(again.select(F.col("node").alias("old"), F.col("component").alias("new")), "again")
+    new = [F.struct(F.col(x).alias("node"), F.col(f"of_{x}").alias("component")) for x in ("a", "b")]
+    new = ends.select(F.explode(F.array(*new)).alias("e")).filter("e.component IS NULL")
+    rows = found.unionByName(new.select("e.node", F.col("e.node").alias("component")).distinct())
+    joined = rows.join(again, F.col("component") == F.col("old"), "left")
+    return joined.select("node", F.coalesce("new", "component").alias("component"))
+
+
 def _sum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
 
+def _known(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs with the components of their ends, null for a node in none."""
+    of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", "of_a", "of_b")
+
+
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs whose ends are not yet in one component."""
-    of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
-    known = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return known.filter(~(F.coalesce("of_a", "a") == F.coalesce("of_b", "b"))).select("a", "b")
+    return _known(pairs, found).filter(~(F.coalesce("of_a", "a") == F.coalesce("of_b", "b"))).select("a", "b")
 
 
 def _block_links(key: tuple, one: pd.DataFrame, two: pd.DataFrame, shingle: int) -> pd.DataFrame:
@@ -332,7 +360,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     one_set = sets.groupBy("node").agg(F.min(F.hex("digest")).alias("hexed")).select(
         "node", F.unhex("hexed").alias("digest")
     )
-    heads = signed.join(one_set, ["node", "digest"])
+    heads = stored(signed.join(one_set, ["node", "digest"]).select("node", "content", "signature"), "heads")
     bands = heads.select("node", "signature").mapInPandas(_bands, "bucket long, node long").distinct()
     bands = stored(bands, "bands")
     buckets = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"))
@@ -372,15 +400,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield frame.loc[_alike(frame["s_a"], frame["s_b"]), ["a", "b"]] if len(frame) else frame[["a", "b"]]
 
     likely = apart.join(of("b"), "b").join(of("a"), "a").mapInPandas(alike, "a long, b long")
-    links = links.unionByName(verify(likely, bodies, shingle))
-    found = stored(components(links), "components")
+    more = verify(likely, bodies, shingle)
+    if not more.isEmpty():
+        found = stored(merged(found, more), "components")
 
     # What large buckets still leave apart.
     large = members.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node")
     rest = stored(_left_over(large, found, signatures, bodies, shingle), "rest")
     if not rest.isEmpty():
-        links = links.unionByName(rest)
-        found = stored(components(links), "components")
+        found = stored(merged(found, rest), "components")
 
     of_sets = sets.join(found, "node", "left").select(
         F.col("digest"), F.coalesce("component", "node").alias("component")

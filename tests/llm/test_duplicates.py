@@ -329,3 +329,13 @@ def test_few_links_are_not_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(minhash, "stored", lambda df, name: made.append((name, df.rdd.getNumPartitions())) or keep(df, name))
     minhash.components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")).collect()
     assert {n for name, n in made if name != "edges"} == {1}
+
+
+def test_a_task_combines_matches_in_bounded_runs(monkeypatch):
+    monkeypatch.setattr(suffixes, "TASK_ROWS", 8000)
+    words = [f"w{i}" for i in range(200)]
+    given = pd.DataFrame({"node": range(100), "text": [" ".join(words)] * 100})
+    wanted = next(suffixes._keys(iter([given])))["keys"].iloc[0]
+    given["keys"] = [wanted] * 100
+    frames = list(suffixes._extended(iter([given])))
+    assert sum(map(len, frames)) == 100 * 151 and max(map(len, frames)) <= 1000 + 151

@@ -36,7 +36,7 @@ PASSAGE = 50
 PLACES = 25
 PREFIX = PASSAGE - PLACES + 1
 GRAM = 4
-#: Rows combined at once in a task.
+#: Rows combined at once in a task; of matches, which are wide and held several times over, an eighth.
 TASK_ROWS = 1 << 20
 
 SPANS = "node long, start_word long, end_word long, n_words long, first_node long, is_first boolean, first_nodes array<long>"
@@ -157,7 +157,7 @@ def _extended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(starts):
                 held.append((runs(words, PASSAGE)[starts], np.full(len(starts), node, "i8"), starts))
                 size += len(starts)
-            if size >= TASK_ROWS:
+            if size >= max(1, TASK_ROWS // 8):
                 yield flush()
                 held, size = [], 0
     if size:

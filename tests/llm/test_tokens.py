@@ -185,3 +185,26 @@ def test_pieces_follow_the_curve(given):
             first[r["doc_id"]] = r["sequence_id"] * 4096 + r["offset"]
     order = [place[doc] for doc in sorted(first, key=first.get)]
     assert len(order) == len(place) and order == sorted(order)
+
+
+def test_counts_of_parts_equal_those_of_whole_texts(monkeypatch):
+    import random
+
+    chance = random.Random(1)
+    signs = [" ", " ", "a", "the", "'s", "42", "!", "\n", "\t", "é", "中", "　", "​", "\x85", "  ", "<|endoftext|>"]
+    texts = ["".join(chance.choices(signs, k=chance.randrange(25))) for _ in range(3000)] + ["", " ", " a", "a ", "a" * 100]
+    library = Tokenizer.from_file(JSON)
+    expected = [len(library.encode(text, add_special_tokens=False).ids) for text in texts]
+    counts = token_counts.PartCounts(JSON)
+    assert token_counts.n_tokens(pa.array(texts), counts).tolist() == expected
+    assert "a" * 100 not in counts  # long parts are not remembered
+    monkeypatch.setattr(token_counts, "MEMO", 5)
+    assert token_counts.n_tokens(pa.array(texts[:50]), counts).tolist() == expected[:50]
+
+
+def test_a_word_is_encoded_once(monkeypatch):
+    counts, said = token_counts.PartCounts(JSON), []
+    whole = counts.of
+    monkeypatch.setattr(counts, "of", lambda parts: said.extend(parts) or whole(parts))
+    token_counts.n_tokens(pa.array(["some words and some words more"] * 50), counts)
+    assert len(said) == len(set(said)) == 5

@@ -14,18 +14,30 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, shared_dir, ship, texts
+from .common import shared_dir, ship, texts
+from .packing import runs_of
 
 SCHEMA = "tokenizer string, digest binary, n_tokens long"
-BATCH_CHARS = 1 << 20
+#: Bytes of text whose words are told apart at once; characters that the library encodes at once.
+TEXTS, BATCH_CHARS = 4 << 20, 1 << 17
+#: Remembered parts, and the characters of the longest of them.
+MEMO, MEMO_PART = 250_000, 64
+
+#: All that some library may take for white space, and control characters.
+_SPACE = "\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
+_ODD = f" [{_SPACE}]|[{_SPACE}] "
+_cut = re.compile(f"(?<=[^{_SPACE}])(?= [^{_SPACE}])").split
 
 _loaded: dict[str, tokenizers.Tokenizer] = {}
 
@@ -46,13 +58,71 @@ def version(path: str) -> str:
         return hashlib.sha256(file.read() + tokenizers.__version__.encode()).hexdigest()
 
 
+class PartCounts(dict):
+    """Number of tokens of a part of a text; remembers up to ``MEMO`` short parts."""
+
+    def __init__(self, path: str):
+        self.library = tokenizer(path)
+
+    def of(self, parts: list[str]) -> np.ndarray:
+        """Numbers for distinct parts; the new ones are encoded some at a time."""
+        if len(self) > MEMO:
+            self.clear()
+        new = [x for x in parts if x not in self]
+        sizes = np.fromiter(map(len, new), "i8", len(new))
+        for start, end in runs_of(sizes, BATCH_CHARS):
+            found = self.library.encode_batch_fast(new[start:end], add_special_tokens=False)
+            self.update(zip(new[start:end], map(len, found), strict=True))
+        out = np.fromiter(map(self.__getitem__, parts), "i8", len(parts))
+        for part in [x for x in new if len(x) > MEMO_PART]:
+            del self[part]
+        return out
+
+
+def n_tokens(texts_: pa.Array, counts: PartCounts) -> np.ndarray:
+    """Number of tokens of each text, from those of its distinct parts.
+
+    The pre-tokenizer joins nothing over a place before a space that has no white space beside it, so the words
+    between such spaces are told apart in Arrow and encoded with the space before them. Texts with other spaces
+    are cut at such places one by one; those with a special string go to the library whole.
+    """
+    body = texts_.cast(pa.large_string())
+    odd = pc.match_substring_regex(body, _ODD)
+    whole = pa.array(np.zeros(len(body), bool))
+    for added in counts.library.get_added_tokens_decoder().values():
+        whole = pc.or_(whole, pc.match_substring(body, added.content))
+    even = pc.invert(pc.or_(odd, whole)).to_numpy(zero_copy_only=False)
+    out = np.zeros(len(body), "i8")
+    if even.any():
+        split = pc.split_pattern(body.filter(pa.array(even)), " ")
+        coded = split.flatten().dictionary_encode()
+        index, starts = coded.indices.to_numpy(), split.offsets.to_numpy()[:-1]
+        known = coded.dictionary.to_pylist()
+        of_part = counts.of([f" {x}" for x in known])[index]
+        # The first part of a text has no space before it.
+        firsts, at = np.unique(index[starts], return_inverse=True)
+        of_part[starts] = counts.of([known[x] for x in firsts])[at]
+        out[even] = np.add.reduceat(of_part, starts)
+    for row in np.flatnonzero(~even).tolist():
+        text = body[row].as_py()
+        parts = [text] if whole[row].as_py() else _cut(text)
+        distinct = list(dict.fromkeys(parts))
+        number = dict(zip(distinct, counts.of(distinct).tolist(), strict=True))
+        out[row] = sum(map(number.__getitem__, parts))
+    return out
+
+
 def encode_counts(path: str):
-    """Rows (digest, text) to (digest, n_tokens), in batches of about a million characters."""
+    """Rows (digest, text) to (digest, n_tokens); the texts of ``TEXTS`` bytes are taken apart at once."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches(frames, "text", BATCH_CHARS):
-            found = tokenizer(path).encode_batch_fast(part["text"].tolist(), add_special_tokens=False)
-            yield pd.DataFrame({"digest": part["digest"].array, "n_tokens": [len(x.ids) for x in found]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = PartCounts(path)
+        for batch in batches:
+            sizes = pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False)
+            for start, end in runs_of(sizes, TEXTS):
+                part = batch.slice(start, end - start)
+                found = pa.array(n_tokens(part["text"], counts), pa.int64())
+                yield pa.RecordBatch.from_arrays([part["digest"], found], ["digest", "n_tokens"])
 
     return run
 
@@ -83,7 +153,7 @@ class CountCache:
             .join(self.entries(known), "digest", "left_anti")
         )
         chosen = keyed.join(missing.hint("shuffle_hash"), ["digest", "node"], "left_semi")
-        counted = chosen.select("digest", "text").mapInPandas(
+        counted = chosen.select("digest", "text").mapInArrow(
             encode_counts(tokenizer_path), "digest binary, n_tokens long"
         )
         once = counted.groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))  # a row may repeat

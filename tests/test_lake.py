@@ -176,3 +176,40 @@ def test_a_new_source_starts_at_its_oldest_item(spark, lake):
     sources = items.select("source_name").distinct()
     assert collect_by_cursor(lake, items, sources, "r1", T0).first().rows_new == 6
     assert collect_by_cursor(lake, items, sources, "r2", T0 + timedelta(hours=1)).first().rows_new == 0
+
+
+def test_a_merge_writes_its_source_once(spark, lake, monkeypatch):
+    from trendspark import sinks
+
+    made, written = [], []
+    keep, write = sinks.stored, lake._write_parts
+    monkeypatch.setattr(sinks, "stored", lambda df, name: made.append((name, df.columns)) or keep(df, name))
+    monkeypatch.setattr(lake, "_write_parts", lambda rows, *a: written.append(rows.count()) or write(rows, *a))
+    frame = lambda ids, title: spark.createDataFrame([(i, title) for i in ids], "doc_id string, title string").select(
+        *[F.col(c) if c in ("doc_id", "title") else F.lit(None).cast(lake.read("document").schema[c].dataType).alias(c)
+          for c in lake.columns("document")]
+    )
+    lake.write_upsert("document", frame(["a:10001", "a:10002", "a:20001", "x"], "old"), ["doc_id"])
+    lake.write_upsert("document", frame(["a:10002", "a:10003"], "new"), ["doc_id"])
+    lake.write_upsert("document", frame([], "none"), ["doc_id"])
+    rows = {r["doc_id"]: r["title"] for r in lake.read("document").collect()}
+    assert rows == {"a:10001": "old", "a:10002": "new", "a:10003": "new", "a:20001": "old", "x": "old"}
+    assert written == [4, 2, 1, 0]  # of the old rows only the one that stays in a touched block
+    assert all("title" not in columns for _, columns in made)
+
+
+def test_raw_rows_are_not_shuffled_again_to_be_written(spark, lake):
+    plans = []
+
+    class Rows:
+        def drop(self, *_):
+            return self
+
+        def hint(self, name, *_):
+            plans.append(name)
+            return self
+
+        write = spark.range(1).write
+
+    lake.write_run(Rows(), "run")
+    assert not plans

@@ -125,11 +125,16 @@ def lookback(df: DataFrame, target: DataFrame, column: str = "fetched_at", **opt
     return df.filter(F.col(column) > lookback_bound(target, **options))
 
 
+def unmatched(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows whose keys ``source`` lacks; no row of either side is compared field by field."""
+    kept = target.join(source.select(*keys), keys, "left_anti")
+    return kept.select(*target.columns)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The target after replacing matched keys and adding new ones.
 
     ``source`` holds one row per key. Target rows without a match pass through
-    a left anti join; no row of either side is compared field by field.
+    a left anti join.
     """
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.select(*target.columns).unionByName(source.select(*target.columns))
+    return unmatched(target, source, keys).unionByName(source.select(*target.columns))

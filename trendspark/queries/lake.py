@@ -15,7 +15,7 @@ from trendspark.queries.bindings import oracle
 from trendspark.queries.incremental import payload_documents
 from trendspark.schemas import RAW_ITEM
 from trendspark.session import scratch_dir
-from trendspark.sinks import Lake
+from trendspark.sinks import TEXT_CODEC, Lake
 from trendspark.sources import landing, seeds
 from trendspark.sources.feeds import feed_rows
 from trendspark.streaming.ingest import ingest_stream, read_landed
@@ -57,7 +57,7 @@ def document_merge(spark: SparkSession, sf: str) -> DataFrame:
     late = items(final.filter(english | held_back))
     staged = late.withColumns({"fetched_at": F.lit(NOW - timedelta(days=30)), "run_id": F.lit("")})
     raw_columns = [c.split()[0] for c in RAW_ITEM.replace("\n", " ").split(",")]
-    staged.select(*raw_columns).write.parquet(f"{root}/landed")
+    staged.select(*raw_columns).write.option("compression", TEXT_CODEC).parquet(f"{root}/landed")
     stream = ingest_stream(read_landed(spark, f"{root}/landed"), lake, f"{root}/checkpoint", clock=lambda: NEXT)
     stream.awaitTermination()
     build.refresh_documents(lake)

@@ -5,11 +5,12 @@ is written last: a crash in between leaves hidden rows and an unmoved cursor,
 and a retry under the same run id replaces its own rows.
 
 A merged table is published the same way, part by part: the parts that a merge
-touches are written as a new revision, and one file of marker rows then makes
+touches are written as a new revision, first the source rows and then those of the
+old revision that they do not replace, and one file of marker rows then makes
 all of them visible. A merge that dies earlier leaves the old revision readable
 and is simply made again; the replaced folders go last.
 
-Writes are rebalanced: adaptive execution then merges small output partitions
+Writes but those of raw rows are rebalanced: adaptive execution then merges small output partitions
 and splits large ones, so neither a small run nor a hot part sets file sizes.
 """
 
@@ -23,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from trendspark import schemas
-from trendspark.operators.documents import upsert
+from trendspark.operators.documents import unmatched
 from trendspark.operators.ingest import committed_rows
 from trendspark.session import configure, stored
 
@@ -51,6 +52,8 @@ BLOCK_CHARS = 4
 HASH_BLOCKS = 1024
 # Up to this many replaced parts are opened by path, without listing the table.
 MAX_LISTED_PARTS = 10_000
+# Payloads and bodies are most of what is written.
+TEXT_CODEC = "zstd"
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -128,10 +131,12 @@ class Lake:
     def write_run(self, rows: DataFrame, run_id: str) -> None:
         """Replace the raw rows of one run; hidden until the run is logged.
 
-        ``rows`` must not read that run's folder.
+        ``rows`` must not read that run's folder. They come dealt out by key from
+        ``ingest.idempotent_rows``, whose small partitions adaptive execution merges,
+        so payloads are not shuffled once more.
         """
         folder = f"{self.path('raw_item')}/run_id={quote(run_id, safe='')}"
-        rows.drop("run_id").hint("rebalance").write.mode("overwrite").parquet(folder)
+        rows.drop("run_id").write.mode("overwrite").option("compression", TEXT_CODEC).parquet(folder)
 
     def append(self, table: str, rows: DataFrame) -> None:
         rows.select(*self.columns(table)).hint("rebalance").write.mode("append").parquet(self.path(table))
@@ -178,25 +183,25 @@ class Lake:
         source = source.select(*self.columns(table))
         if part not in source.columns:
             source = source.withColumn(part, self._block(keys[0]))
-        source = stored(source, f"{table}-changes")
+        last = self.read("publication").filter(F.col("table_name") == table).agg(F.max("revision")).first()[0] or 0
+        # Folders of merges that died before their markers; ``source`` may list them, so they are not written again.
+        dead = [n for n in self._revisions_on_disk(table) if n > last]
+        revision = 1 + max([last, *dead])
+        folder = f"{self.path(table)}/revision={revision}"
+        self._write_parts(source, part, folder)
+        source = self.spark.read.schema(self._merged_schema(table)).option("basePath", self.path(table)).parquet(folder)
         if source.isEmpty():
+            self._drop_folders([folder])
             return
         touched = source.select(F.col(part).cast("string").alias("part")).distinct()
         before = self._revisions(table).alias("r").join(
             touched.alias("t"), F.col("r.part").eqNullSafe(F.col("t.part")), "left_semi"
         )
         replaced = stored(before, f"{table}-replaced")
-        last = self.read("publication").filter(F.col("table_name") == table).agg(F.max("revision")).first()[0]
-        revision = 1 + (last or 0)
-        merged = upsert(self._opened(table, replaced).drop("revision"), source, keys)
-        # Static, so that what a merge left here that died before its markers goes.
-        (
-            merged.hint("rebalance", part)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(part)
-            .parquet(f"{self.path(table)}/revision={revision}")
-        )
+        if not replaced.isEmpty():
+            # The other half of the upsert: its source rows lie in the folder already.
+            kept = unmatched(self._opened(table, replaced).drop("revision"), source, keys)
+            self._write_parts(kept, part, folder)
         markers = touched.select(
             F.lit(table).alias("table_name"),
             "part",
@@ -205,6 +210,16 @@ class Lake:
         )
         self._publish(markers)
         self._drop_folders(self._folder(table, r["part"], r["revision"]) for r in replaced.toLocalIterator())
+        self._drop_folders(f"{self.path(table)}/revision={n}" for n in dead)
+
+    def _write_parts(self, rows: DataFrame, part: str, folder: str) -> None:
+        write = rows.hint("rebalance", part).write.mode("append").option("compression", TEXT_CODEC)
+        write.partitionBy(part).parquet(folder)
+
+    def _revisions_on_disk(self, table: str) -> list[int]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/revision=*")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return [int(x.getPath().getName().split("=")[1]) for x in found or []]
 
     def _opened(self, table: str, parts: DataFrame) -> DataFrame:
         """Rows of the given (part, revision)."""

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -339,3 +340,17 @@ def test_a_task_combines_matches_in_bounded_runs(monkeypatch):
     given["keys"] = [wanted] * 100
     frames = list(suffixes._extended(iter([given])))
     assert sum(map(len, frames)) == 100 * 151 and max(map(len, frames)) <= 1000 + 151
+
+
+def test_matches_are_joined_in_arrow():
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("first_node", pa.int64()), ("is_first", pa.bool_())]))
+    matches = [[(9, 7, False), (0, 8, False), (0, 5, True), (59, 8, False), (110, 3, False)], [(1, 4, True)]]
+    told = [[dict(zip(("start", "first_node", "is_first"), m, strict=True)) for m in row] for row in matches]
+    batch = pa.RecordBatch.from_arrays([pa.array([6, 4]), pa.array(told, kind)], ["node", "matches"])
+    found = {tuple(r.values())[:6] + (tuple(r["first_nodes"]),) for x in suffixes._spans(iter([batch])) for r in x.to_pylist()}
+    assert found == {
+        (6, 0, 50, 50, 5, True, (5,)),
+        (6, 0, 109, 109, 7, False, (7, 8)),
+        (6, 110, 160, 50, 3, False, (3,)),
+        (4, 1, 51, 50, 4, True, (4,)),
+    }

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -215,26 +216,27 @@ def _with_firsts(matches: DataFrame) -> DataFrame:
     return final.unionByName(settled)
 
 
-def _spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (node, matches) to spans of joined matches, first copies and later ones apart."""
-    for frame in frames:
-        out = []
-        for node, matches in zip(frame["node"], frame["matches"], strict=True):
-            for is_first in (True, False):
-                found = sorted((m["start"], m["first_node"]) for m in matches if m["is_first"] == is_first)
-                begin = end = None
-                firsts = set()
-                for start, first in found:
-                    if end is not None and start <= end:
-                        end = start + PASSAGE
-                        firsts.add(first)
-                        continue
-                    if end is not None:
-                        out.append((node, begin, end, end - begin, min(firsts), is_first, sorted(firsts)))
-                    begin, end, firsts = start, start + PASSAGE, {first}
-                if end is not None:
-                    out.append((node, begin, end, end - begin, min(firsts), is_first, sorted(firsts)))
-        yield pd.DataFrame(out, columns=[x.split()[0] for x in SPANS.split(", ")])
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = batch["matches"].flatten()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(batch["matches"].offsets.to_numpy()))
+        later = ~found.field("is_first").to_numpy(zero_copy_only=False)
+        start, first = (found.field(x).to_numpy() for x in ("start", "first_node"))
+        order = np.lexsort((first, start, later, row))
+        row, later, start, first = row[order], later[order], start[order], first[order]
+        new = (row[1:] != row[:-1]) | (later[1:] != later[:-1]) | (start[1:] > start[:-1] + PASSAGE)
+        begins = np.flatnonzero(np.concatenate([[True], new]))
+        lasts = np.concatenate([begins[1:], [len(row)]]) - 1
+        firsts = [np.unique(first[x : y + 1]) for x, y in zip(begins, lasts, strict=True)]
+        begin, end = start[begins], start[lasts] + PASSAGE
+        least = np.array([x[0] for x in firsts], "i8")
+        columns = [batch["node"].take(pa.array(row[begins])), begin, end, end - begin, least, ~later[begins], firsts]
+        types = [pa.int64()] * 5 + [pa.bool_(), pa.list_(pa.int64())]
+        made = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(columns, types, strict=True)]
+        yield pa.RecordBatch.from_arrays(made, [x.split()[0] for x in SPANS.split(", ")])
 
 
 def named_rows(docs: DataFrame) -> DataFrame:
@@ -264,7 +266,7 @@ def spans(docs: DataFrame, firsts: bool = True) -> DataFrame:
     matches = dealt.mapInPandas(_compare, MATCHES)
     matches = _with_firsts(matches) if firsts else matches.filter(F.col("kind") != MOVED)
     of_node = matches.groupBy("node").agg(F.collect_list(F.struct("start", "first_node", "is_first")).alias("matches"))
-    return of_node.mapInPandas(_spans, SPANS)
+    return of_node.mapInArrow(_spans, SPANS)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

@@ -98,3 +98,12 @@ def test_odd_rows_pass(spark, docs, empty):
     assert ids[3] == 1 and ids[None] == 1 and ids[20] == 1 and not ids[1] and not ids[2] and ids[6] == 1
     assert packing.pack(empty, corpus_pipeline.public_tokenizers.path("word_bpe_49k.json")).count() == 0
     assert suffixes.repeated_passages(empty).count() == 0
+
+
+def test_texts_are_cut_once(spark, monkeypatch):
+    spans = spark.createDataFrame([(1, 0, 2, False)], "node long, start_word int, end_word int, is_first boolean")
+    monkeypatch.setattr(corpus_pipeline.suffixes, "spans", lambda docs, firsts: spans)
+    docs = spark.createDataFrame([(1, "a b c d", 7), (2, "x y", 3)], "doc_id long, text string, n_chars long")
+    out = corpus_pipeline.cut_repeated_passages(spark, docs, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    assert sorted(map(tuple, out.collect())) == [(1, "c d", 3), (2, "x y", 3)]

@@ -327,4 +327,5 @@ def cut_text(text: str, cuts: str) -> Column:
         ]
         return pd.Series(found, dtype=object)
 
-    return cut(text, cuts)
+    # Else Catalyst evaluates it once for a filter on the result and once more for the result.
+    return cut.asNondeterministic()(text, cuts)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import node_id, ship, stored, texts
+from .common import node_id, released, ship, stored, texts
 
 #: Fingerprints that one slot range of the merged filter should hold.
 RANGE_ROWS = 1 << 16
@@ -79,6 +79,7 @@ def normalised(text: pa.Array) -> list[bytes]:
     return [x.lower() for x in text.cast(pa.binary()).to_pylist()]
 
 
+@released
 def _digest(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for frame in frames:
         found = normalised(frame["text"])
@@ -92,6 +93,7 @@ def _digest(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@released
 def _bytes(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for frame in frames:
         found = normalised(frame["text"])
@@ -110,6 +112,7 @@ def repeated_fingerprints(prints: DataFrame) -> DataFrame:
     rows = prints.count()
     bits = max(0, int(rows / RANGE_ROWS).bit_length())
 
+    @released
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
         size = 0
@@ -128,6 +131,7 @@ def repeated_fingerprints(prints: DataFrame) -> DataFrame:
         if size:
             yield flush()
 
+    @released
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, whole = None, None
 

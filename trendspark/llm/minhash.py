@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import node_id, ship, stored, text_nodes, texts
+from .common import node_id, released, ship, stored, text_nodes, texts
 
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS = 26, 5
@@ -138,6 +138,7 @@ def signature(items: np.ndarray) -> np.ndarray:
     return least
 
 
+@released
 def _signatures(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for frame in frames:
@@ -159,6 +160,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return keys
 
 
+@released
 def _bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         keys = band_keys(np.frombuffer(b"".join(frame["signature"]), "<u4").reshape(len(frame), BANDS * ROWS))
@@ -170,6 +172,7 @@ def _alike(a: pd.Series, b: pd.Series) -> np.ndarray:
     return (one == two).mean(axis=1) >= SIGNATURE_SHARE
 
 
+@released
 def _verified(frames: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for frame in frames:
@@ -395,6 +398,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     apart = _apart(pairs.distinct(), found)
     of = lambda name: signatures.select(F.col("node").alias(name), F.col("signature").alias(f"s_{name}"))
 
+    @released
     def alike(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield frame.loc[_alike(frame["s_a"], frame["s_b"]), ["a", "b"]] if len(frame) else frame[["a", "b"]]

@@ -28,7 +28,7 @@ import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import key_range, partitions, ship, stored, texts
+from .common import key_range, partitions, released, ship, stored, texts
 
 DIMENSIONS, BITS = 4, 8
 HASHED = 256  # 8 bits: the top ones of an id times HASH
@@ -194,8 +194,12 @@ def _coded(texts_: pa.Array, path: str) -> tuple[Parts, np.ndarray, np.ndarray]:
     """
     body = pc.replace_substring(pc.replace_substring(texts_.cast(pa.large_string()), "\n", " "), "\r", " ")
     split = pc.split_pattern(body, " ")
+    offsets = split.offsets.to_numpy()
+    del body
     coded = split.flatten().dictionary_encode()
-    return Parts(_ids_of(coded.dictionary, path)), coded.indices.to_numpy(), split.offsets.to_numpy()
+    words, index = coded.dictionary, coded.indices.to_numpy()
+    del split, coded  # texts and words of all texts, not needed while the distinct ones are encoded
+    return Parts(_ids_of(words, path)), index, offsets
 
 
 def encoded(texts_: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -235,6 +239,7 @@ def tokenise(path: str, end_id: int):
     The hashed vector counts the ids but for the end id.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
@@ -264,6 +269,7 @@ def tokenise(path: str, end_id: int):
 def cut(length: int):
     """Rows (doc_id, place, ids) to the pieces between the cuts."""
 
+    @released
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []

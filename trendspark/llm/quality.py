@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, ship, stored, texts
+from .common import fold, released, ship, stored, texts
 
 PER_CLASS = 3000
 PAIRS = 60_000
@@ -97,6 +97,7 @@ def features(text: str) -> list[float]:
     ]
 
 
+@released
 def _rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         out = frame.drop(columns="text")
@@ -182,6 +183,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Ranker:
 def _strengths(docs: DataFrame, given: DataFrame, ranker: Ranker, few: bool) -> DataFrame:
     """quality, strength of every labelled row; of many labels the texts are scored before the join, not dealt out."""
 
+    @released
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x = np.array([features(text) for text in frame["text"]]).reshape(-1, len(FEATURES))
@@ -254,6 +256,7 @@ def quality_scores(docs: DataFrame, ranker: Ranker) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     ship(docs.sparkSession)
 
+    @released
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             x = np.array([features(text) for text in frame["text"]]).reshape(-1, len(FEATURES))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FURTHER, node_id, ship, stored, text_nodes, texts
+from .common import FURTHER, batches, node_id, released, ship, stored, text_nodes, texts
 from .minhash import WordHashes, hashed_words, runs
 
 PASSAGE = 50
@@ -39,6 +39,8 @@ PREFIX = PASSAGE - PLACES + 1
 GRAM = 4
 #: Rows combined at once in a task; of matches, which are wide and held several times over, an eighth.
 TASK_ROWS = 1 << 20
+#: Characters of text that are split into words at once; the words take many times the memory of the text.
+WORDS_OF = 1 << 20
 
 SPANS = "node long, start_word long, end_word long, n_words long, first_node long, is_first boolean, first_nodes array<long>"
 
@@ -63,13 +65,14 @@ def keys_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (runs(words, PREFIX)[places] if len(places) else np.empty(0, "u8")), owner
 
 
+@released
 def _keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (node, text) to (node, keys): the keys of its suffixes, twice those that it has several times.
 
     The only pass that hashes the words of all texts.
     """
     hashes = WordHashes()
-    for frame in frames:
+    for frame in batches(frames, "text", WORDS_OF):
         nodes, told = [], []
         for node, words in zip(frame["node"], hashed_words(frame["text"].tolist(), hashes), strict=True):
             keys, counts = np.unique(keys_of(words)[0], return_counts=True)
@@ -79,6 +82,7 @@ def _keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": pd.Series(nodes, dtype="i8"), "keys": pd.Series(told, dtype=object)})
 
 
+@released
 def _count_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
 
@@ -97,6 +101,7 @@ def _count_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
+@released
 def _equal_neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of sorted keys those that come twice, or came twice in one task; each once."""
     last, told = None, None
@@ -120,6 +125,7 @@ def _first_of_runs(key: np.ndarray, node: np.ndarray, start: np.ndarray) -> np.n
     return np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
 
 
+@released
 def _extended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows (node, text, keys) to passages around suffixes with those keys.
 
@@ -150,7 +156,7 @@ def _extended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
         return frame[keep]
 
-    for frame in frames:
+    for frame in batches(frames, "text", WORDS_OF):
         hashed = hashed_words(frame["text"].tolist(), hashes)
         for node, words, wanted in zip(frame["node"], hashed, frame["keys"], strict=True):
             keys, owner = keys_of(words)
@@ -170,6 +176,7 @@ MATCHES = "kind int, key long, node long, start long, first_node long, is_first
 FINAL, SETTLED, MOVED = 0, 1, 2
 
 
+@released
 def _compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by (settled, route, node, start) to matches: later copies, and the first of each passage."""
     waiting = None  # the first copy of the passage in hand; whether it has others is known at its end
@@ -216,6 +223,7 @@ def _with_firsts(matches: DataFrame) -> DataFrame:
     return final.unionByName(settled)
 
 
+@released
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (node, matches) to spans of joined matches, first copies and later ones apart."""
     for batch in batches:

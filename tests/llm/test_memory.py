@@ -73,3 +73,22 @@ print(held() - before)
 def test_words_of_a_large_batch_are_split_a_part_at_a_time():
     """Arrow holds the split words of a part, not of all 7 MB."""
     assert told("use(suffixes._keys(iter([frame])))\nprint(pa.default_memory_pool().max_memory() / 2**20)") < 20
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory is read from /proc")
+def test_a_counting_worker_gives_its_memory_back():
+    """What a second task of the token counts leaves beside what the first one has to keep (the tokenizer)."""
+    code = """
+import ctypes
+from trendspark.llm import token_counts
+
+path = public_tokenizers.path("byte_bpe_50k.json")
+rows = pa.RecordBatch.from_pydict({"digest": pa.array([b"%d" % i for i in range(len(texts))]), "text": pa.array(texts)})
+use(token_counts.encode_counts(path)(iter([rows])))
+pa.default_memory_pool().release_unused()
+ctypes.CDLL(None).malloc_trim(0)
+before = held()
+use(token_counts.encode_counts(path)(iter([rows] * 2)))
+print(held() - before)
+"""
+    assert told(code) < 15

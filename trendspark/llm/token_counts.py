@@ -25,7 +25,7 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, ship, texts
+from .common import released, shared_dir, ship, texts
 from .packing import runs_of
 
 SCHEMA = "tokenizer string, digest binary, n_tokens long"
@@ -115,6 +115,7 @@ def n_tokens(texts_: pa.Array, counts: PartCounts) -> np.ndarray:
 def encode_counts(path: str):
     """Rows (digest, text) to (digest, n_tokens); the texts of ``TEXTS`` bytes are taken apart at once."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = PartCounts(path)
         for batch in batches:
